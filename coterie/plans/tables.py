@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from coterie.operators.skew import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,7 +50,7 @@ def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as (post_id, body)."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return documents.select(F.col("doc_id").alias("post_id"), F.col("text").alias("body"))
 
 
