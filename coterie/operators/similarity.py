@@ -38,34 +38,52 @@ def min_tokens(posts: DataFrame, n: int = SHINGLE_SIZE) -> DataFrame:
     return posts.where(F.size(tokens(F.col("body"))) >= n)
 
 
+def min_characters(posts: DataFrame, n: int = SHINGLE_SIZE) -> DataFrame:
+    """Posts of at least ``n`` characters."""
+    return posts.where(F.length("body") >= n)
+
+
 def word_shingles(posts: DataFrame, size: int = SHINGLE_SIZE) -> DataFrame:
     """(post_id, position, shingle): every run of ``size`` tokens."""
-    return posts.select(
-        "post_id", F.posexplode(word_windows(F.col("body"), size)).alias("position", "shingle")
+    runs = word_windows(F.col("body"), size)
+    return min_tokens(posts, size).select(
+        "post_id", F.posexplode_outer(runs).alias("position", "shingle")
     )
 
 
 def character_shingles(posts: DataFrame, size: int = SHINGLE_SIZE) -> DataFrame:
     """(post_id, position, shingle): every run of ``size`` characters."""
-    return posts.select(
-        "post_id", F.posexplode(character_windows(F.col("body"), size)).alias("position", "shingle")
+    runs = character_windows(F.col("body"), size)
+    return min_characters(posts, size).select(
+        "post_id", F.posexplode_outer(runs).alias("position", "shingle")
     )
 
 
-def shingle_sets(posts: DataFrame, size: int = SHINGLE_SIZE, windows=word_windows) -> DataFrame:
+def _hash_sets(posts: DataFrame, runs: Column) -> DataFrame:
+    hashes = F.transform(runs, lambda shingle: md5_int(shingle))
+    return posts.select("post_id", F.array_distinct(hashes).alias("shingles"))
+
+
+def word_shingle_sets(posts: DataFrame, size: int = SHINGLE_SIZE) -> DataFrame:
     """(post_id, shingles): the distinct 32-bit shingle hashes of each post, without a shuffle.
 
     Posts too short for one shingle are left out.
     """
-    hashes = F.transform(windows(F.col("body"), size), lambda shingle: md5_int(shingle))
-    return posts.select("post_id", F.array_distinct(hashes).alias("shingles")).where(
-        F.size("shingles") > 0
-    )
+    return _hash_sets(min_tokens(posts, size), word_windows(F.col("body"), size))
+
+
+def character_shingle_sets(posts: DataFrame, size: int = SHINGLE_SIZE) -> DataFrame:
+    """The same over runs of characters."""
+    return _hash_sets(min_characters(posts, size), character_windows(F.col("body"), size))
 
 
 def hashed_shingles(sets: DataFrame) -> DataFrame:
-    """(post_id, shingle): one row per distinct hash of a post."""
-    return sets.select("post_id", F.explode("shingles").alias("shingle"))
+    """(post_id, shingle): one row per distinct hash of a post.
+
+    Sets are never empty; the outer form only keeps Catalyst from filtering on their size, which
+    would compute every set twice.
+    """
+    return sets.select("post_id", F.explode_outer("shingles").alias("shingle"))
 
 
 def shingle_universe(sets: DataFrame) -> DataFrame:
@@ -151,7 +169,7 @@ def _candidates(representatives: DataFrame, threshold: float) -> DataFrame:
     first ``n - ceil(t n) + 1`` of each; the most common shingles are never joined on. Any fixed
     order is exact, so shingles in one post only need no frequency.
     """
-    rows = representatives.select("post_id", "n", F.explode("shingles").alias("shingle"))
+    rows = representatives.select("post_id", "n", F.explode_outer("shingles").alias("shingle"))
     shared = (
         rows.groupBy("shingle")
         .agg(F.count(F.lit(1)).alias("frequency"))

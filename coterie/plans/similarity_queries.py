@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from coterie.functions.text import character_windows
 from coterie.operators import minhash, similarity
 from coterie.plans.registry import Registry
 from coterie.plans.tables import posts, table
@@ -17,18 +16,26 @@ def md5_sql(value: str, digits: int = 8) -> str:
     return f"CAST('0x' || substr(md5({value}), 1, {digits}) AS BIGINT)"
 
 
+def runs_sql(separator: str) -> str:
+    """Every run of five tokens (or characters) of each document: (post_id, position, shingle)."""
+    following = "".join(
+        f" || '{separator}' || lead(unit, {i}) OVER in_order" for i in range(1, 5)
+    )
+    return f"""WITH units AS (
+  SELECT doc_id AS post_id, unnest(string_split(text, '{separator}')) AS unit,
+    generate_subscripts(string_split(text, '{separator}'), 1) AS i FROM documents),
+runs AS MATERIALIZED (
+  SELECT post_id, i - 1 AS position, shingle FROM (
+    SELECT post_id, i, unit{following} AS shingle FROM units
+    WINDOW in_order AS (PARTITION BY post_id ORDER BY i)) WHERE shingle IS NOT NULL)"""
+
+
 # Distinct shingle hashes of each document, as a list.
-WORD_SETS = f"""WITH words AS (
-  SELECT doc_id AS post_id, string_split(text, ' ') AS w FROM documents),
+SETS = f""",
 sets AS MATERIALIZED (
-  SELECT post_id, list_distinct(list_transform(range(1, len(w) - 3),
-    lambda i: {md5_sql("array_to_string(w[i:i+4], ' ')")})) AS shingles
-  FROM words WHERE len(w) >= 5)"""
-
-CHARACTER_SETS = f"""WITH sets AS MATERIALIZED (
-  SELECT doc_id AS post_id, list_distinct(list_transform(range(1, length(text) - 3),
-    lambda i: {md5_sql("substr(text, i, 5)")})) AS shingles
-  FROM documents WHERE length(text) >= 5)"""
+  SELECT post_id, list(DISTINCT {md5_sql("shingle")}) AS shingles FROM runs GROUP BY post_id)"""
+WORD_SETS = runs_sql(" ") + SETS
+CHARACTER_SETS = runs_sql("") + SETS
 
 # Classes of equal sets, and the similarity of all representatives that share a shingle.
 PAIRS = """,
@@ -112,7 +119,7 @@ def long_posts(spark, sf_dir):
 
 
 def word_sets(spark, sf_dir):
-    return similarity.shingle_sets(posts(spark, sf_dir))
+    return similarity.word_shingle_sets(posts(spark, sf_dir))
 
 
 def rounded(pairs):
@@ -130,22 +137,12 @@ def filter_min_tokens(spark, sf_dir):
     )
 
 
-@QUERIES.add(
-    "word_shingles",
-    """SELECT post_id, unnest(range(len(w) - 4)) AS position,
-  unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS shingle
-FROM (SELECT doc_id AS post_id, string_split(text, ' ') AS w FROM documents) WHERE len(w) >= 5""",
-)
+@QUERIES.add("word_shingles", runs_sql(" ") + " SELECT post_id, position, shingle FROM runs")
 def word_shingles(spark, sf_dir):
     return similarity.word_shingles(posts(spark, sf_dir))
 
 
-@QUERIES.add(
-    "char_shingles",
-    """SELECT doc_id AS post_id, unnest(range(length(text) - 4)) AS position,
-  unnest(list_transform(range(1, length(text) - 3), lambda i: substr(text, i, 5))) AS shingle
-FROM documents WHERE length(text) >= 5""",
-)
+@QUERIES.add("char_shingles", runs_sql("") + " SELECT post_id, position, shingle FROM runs")
 def char_shingles(spark, sf_dir):
     return similarity.character_shingles(posts(spark, sf_dir))
 
@@ -212,7 +209,7 @@ UNION ALL SELECT post_b, post_a, round(jaccard, 9) FROM listed""",
 )
 def jaccard_allpairs_ordered(spark, sf_dir):
     """Character shingles, each pair in both directions."""
-    sets = similarity.shingle_sets(posts(spark, sf_dir), windows=character_windows)
+    sets = similarity.character_shingle_sets(posts(spark, sf_dir))
     found = rounded(similarity.similar_pairs(sets, CHARACTER_CUT).rows())
     both = F.array(
         F.struct(F.col("post_a"), F.col("post_b")),

@@ -16,6 +16,9 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 
 
+SPARK_SECONDS = []
+
+
 def local_session(cpus: int = 8) -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -51,8 +54,10 @@ def canonical(columns: list[str], rows: list[tuple]) -> list[tuple]:
 
 def difference(spark, connection, sf_dir: str, run, sql: str) -> str | None:
     """None if both sides agree, else what differs."""
+    started = time.time()
     frame = run(spark, sf_dir)
     ours = canonical(frame.columns, [tuple(row) for row in frame.collect()])
+    SPARK_SECONDS.append(time.time() - started)
     cursor = connection.execute(sql)
     names = [column[0] for column in cursor.description]
     theirs = canonical(names, cursor.fetchall())
@@ -91,7 +96,8 @@ def main() -> int:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         failures += problem is not None
         kind = "sql" if query.sql else "rows"
-        print(f"{name:32s} {kind} {time.time() - started:6.1f}s {problem or 'ok'}", flush=True)
+        taken = f"{time.time() - started:6.1f}s, Spark {SPARK_SECONDS[-1] if SPARK_SECONDS else 0:.1f}s"
+        print(f"{name:32s} {kind} {taken} {problem or 'ok'}", flush=True)
     print(f"{len(names) - failures} of {len(names)} agree")
     return failures
 
