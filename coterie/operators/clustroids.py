@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from coterie.functions.distance import levenshtein
 from coterie.operators.lineage import cut
+from coterie.operators.skew import spread
 
 SEED = 459392
 
@@ -109,7 +110,8 @@ def nearest_clustroid(
     )
     kept = [column for column in points.columns if column not in ("cluster", "clustroid", "distance")]
     return (
-        points.join(F.broadcast(lists), by)
+        spread(points)
+        .join(F.broadcast(lists), by)
         .withColumn("_best", F.array_min(options))
         .select(*kept, "_best.cluster", "_best.clustroid", "_best.distance")
     )
@@ -125,7 +127,8 @@ def _measure(members: DataFrame, chosen: DataFrame, key: list[str], distance: Di
         ),
     )
     return (
-        members.join(F.broadcast(lists), key)
+        spread(members)
+        .join(F.broadcast(lists), key)
         .select(*key, F.inline(measured))
         .groupBy(*key, "candidate")
         .agg(F.max("distance").alias("reach"))

@@ -69,7 +69,7 @@ def single_linkage_merges(titles: DataFrame, first_radius: int = 2) -> DataFrame
     whose nearest known neighbour is not within the radius of all its titles has their radius
     widened first, so that each pass sees every nearest pair and only outliers look far.
     """
-    points = titles.select("title").distinct()
+    points = cut(titles.select("title").distinct())
     clusters = cut(points.select("title", F.col("title").alias("cluster")))
     radii = cut(points.select("title", F.lit(first_radius).alias("radius")))
     edges = cut(both_ways(edit_distance_join(points, first_radius)))

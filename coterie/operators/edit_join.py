@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coterie.operators.lineage import cut
+
 
 def _segment(length: Column, part: Column, n_parts: int) -> tuple[Column, Column]:
     """Start (from 0) and length of an even split's part; the last parts take the remainder."""
@@ -62,7 +64,8 @@ def edit_distance_join(titles: DataFrame, eps: int, of: DataFrame | None = None)
     and only true pairs are shuffled once more to drop repeats.
     """
     key = ["size", "part", "segment"]
-    every = titles.select("title").distinct().withColumn("size", F.length("title"))
+    # both sides of the join read the titles, so they are computed once
+    every = cut(titles.select("title").distinct().withColumn("size", F.length("title")))
     if of is None:
         met = _indexed(every, eps).join(_probes(every, eps), key)
     else:
