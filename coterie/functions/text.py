@@ -76,10 +76,7 @@ def strip_markup(html: Column) -> Column:
 def content_words(text: Column, stop_words: list[str], min_letters: int = 3) -> Column:
     """Lower-case runs of letters, without stop words and words under ``min_letters`` letters."""
     words = F.transform(F.regexp_extract_all(text, F.lit(r"(\p{L}+)"), 1), F.lower)
-    listed = F.array(*[F.lit(word) for word in stop_words])
-    return F.filter(
-        words, lambda word: ~F.array_contains(listed, word) & (F.length(word) >= min_letters)
-    )
+    return F.filter(words, lambda word: ~word.isin(stop_words) & (F.length(word) >= min_letters))
 
 
 def title_words(title: Column) -> Column:

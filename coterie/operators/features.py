@@ -10,11 +10,9 @@ from coterie.operators.lineage import cut
 SEED = 459392
 
 
-def _terms(body: Column, stop_words: list[str]) -> Column:
-    """Lower-case runs of at least two word characters that are no stop words."""
-    runs = F.regexp_extract_all(F.lower(body), F.lit(r"([\p{L}\p{N}_]{2,})"), 1)
-    listed = F.array(*[F.lit(word) for word in stop_words])
-    return F.filter(runs, lambda term: ~F.array_contains(listed, term))
+def _terms(body: Column) -> Column:
+    """Lower-case runs of at least two word characters."""
+    return F.regexp_extract_all(F.lower(body), F.lit(r"([\p{L}\p{N}_]{2,})"), 1)
 
 
 def vocabulary(
@@ -25,7 +23,8 @@ def vocabulary(
     Terms are sorted inside each row so that a post's first occurrence of a term can be marked
     there; the only shuffle is the count per term, which combines map-side.
     """
-    ordered = posts.select(F.array_sort(_terms(F.col("body"), stop_words)).alias("terms"))
+    kept = F.filter(_terms(F.col("body")), lambda term: ~term.isin(stop_words))
+    ordered = posts.select(F.sort_array(kept).alias("terms"))
     previous = F.concat(
         F.array(F.lit(None).cast("string")),
         F.slice("terms", F.lit(1), F.greatest(F.size("terms") - 1, F.lit(0))),
@@ -37,7 +36,7 @@ def vocabulary(
             term.alias("term"), (~term.eqNullSafe(before)).cast("int").alias("first")
         ),
     )
-    occurrences = ordered.where(F.size("terms") > 0).select(F.inline_outer(marked))
+    occurrences = ordered.select(F.inline_outer(marked)).where(F.col("term").isNotNull())
     return (
         occurrences.groupBy("term")
         .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
@@ -57,12 +56,14 @@ def tfidf(
     """(post_id, term, tfidf): smoothed inverse frequency, rows scaled to length 1."""
     n_posts = posts.count()
     terms = vocabulary(posts, stop_words, max_df, min_df, max_features)
-    weighted = terms.select(
-        "term", (F.log((1 + F.lit(n_posts)) / (1 + F.col("df"))) + 1).alias("idf")
+    weighted = cut(
+        terms.select("term", (F.log((1 + F.lit(n_posts)) / (1 + F.col("df"))) + 1).alias("idf"))
     )
-    occurrences = posts.select("post_id", F.explode(_terms(F.col("body"), stop_words)).alias("term"))
+    names = [row["term"] for row in weighted.select("term").collect()]  # max_features at most
+    listed = F.filter(_terms(F.col("body")), lambda term: term.isin(names))
     raw = (
-        occurrences.join(F.broadcast(weighted), "term")  # at most max_features rows
+        posts.select("post_id", F.explode(listed).alias("term"))
+        .join(F.broadcast(weighted), "term")  # max_features rows at most
         .groupBy("post_id", "term")
         .agg((F.count(F.lit(1)) * F.max("idf")).alias("raw"))
     )

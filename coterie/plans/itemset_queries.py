@@ -43,6 +43,11 @@ supports AS (
 )
 
 
+def kept_baskets(spark, sf_dir):
+    """The baskets written once in compact form, since mining passes over them repeatedly."""
+    return ops.cut(order_brands(spark, sf_dir))
+
+
 def shown(itemsets):
     """Itemsets as comma-joined text."""
     return itemsets.withColumn("itemset", F.array_join("itemset", ","))
@@ -125,7 +130,7 @@ FROM pairs WHERE item_a IN (FROM frequent) AND item_b IN (FROM frequent)
   AND bucket IN (SELECT bucket FROM buckets WHERE cnt >= {PAIR_SUPPORT})""",
 )
 def pcy_pruning_stats(spark, sf_dir):
-    baskets = order_brands(spark, sf_dir)
+    baskets = kept_baskets(spark, sf_dir)
     return ops.pcy_candidate_counts(baskets, PAIR_SUPPORT, portable_bucket())
 
 
@@ -134,7 +139,7 @@ def pcy_pruning_stats(spark, sf_dir):
     SUPPORTS + f" SELECT k, itemset, support FROM supports WHERE support >= {SET_SUPPORT}",
 )
 def apriori_itemsets(spark, sf_dir):
-    return shown(ops.frequent_itemsets(order_brands(spark, sf_dir), SET_SUPPORT))
+    return shown(ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT))
 
 
 @QUERIES.add(
@@ -144,7 +149,7 @@ def apriori_itemsets(spark, sf_dir):
 )
 def pcy_pairs(spark, sf_dir):
     found = ops.frequent_itemsets(
-        order_brands(spark, sf_dir), PAIR_SUPPORT, max_k=2, pruning=ops.BucketPruning(BUCKETS)
+        kept_baskets(spark, sf_dir), PAIR_SUPPORT, max_k=2, pruning=ops.BucketPruning(BUCKETS)
     )
     return shown(found.where("k = 2"))
 
@@ -157,7 +162,7 @@ def pcy_pairs(spark, sf_dir):
 def pcy_multilevel_triples(spark, sf_dir):
     pruning = ops.BucketPruning(5_000_000_000, levels=(2, 3), max_basket_items=TRIPLE_HASH_CAP)
     found = ops.frequent_itemsets(
-        order_brands(spark, sf_dir), SET_SUPPORT, max_k=3, pruning=pruning
+        kept_baskets(spark, sf_dir), SET_SUPPORT, max_k=3, pruning=pruning
     )
     return shown(found.where("k = 3"))
 
@@ -179,7 +184,7 @@ FROM thresholds JOIN supports ON support >= threshold AND k <= 3
 WHERE round <= (SELECT round FROM stop) GROUP BY ALL""",
 )
 def adaptive_threshold_trace(spark, sf_dir):
-    baskets = order_brands(spark, sf_dir)
+    baskets = kept_baskets(spark, sf_dir)
     trace = ops.adaptive_threshold(baskets, START_THRESHOLD, target_k=3)[1]
     return spark.createDataFrame(trace, "round int, threshold int, k int, n_sets bigint")
 
@@ -191,7 +196,7 @@ def adaptive_threshold_trace(spark, sf_dir):
 WHERE k <= 2 AND support >= 1 GROUP BY ALL""",
 )
 def support_histogram(spark, sf_dir):
-    found = ops.frequent_itemsets(order_brands(spark, sf_dir), 1, max_k=2)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), 1, max_k=2)
     return ops.support_histogram(found).orderBy("k", "support")
 
 
@@ -202,7 +207,7 @@ def support_histogram(spark, sf_dir):
 QUALIFY rank() OVER (PARTITION BY k ORDER BY support DESC) = 1""",
 )
 def max_frequency_sets(spark, sf_dir):
-    found = ops.frequent_itemsets(order_brands(spark, sf_dir), SET_SUPPORT)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT)
     return shown(ops.max_frequency_sets(found))
 
 
@@ -213,7 +218,7 @@ def max_frequency_sets(spark, sf_dir):
 QUALIFY row_number() OVER (PARTITION BY k ORDER BY support DESC, string_split(itemset, ',')) = 1""",
 )
 def best_itemset_per_k(spark, sf_dir):
-    found = ops.frequent_itemsets(order_brands(spark, sf_dir), SET_SUPPORT)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT)
     return shown(ops.best_itemset_per_size(found))
 
 
@@ -227,7 +232,7 @@ SELECT k, itemset, support FROM frequent f WHERE NOT EXISTS (
   SELECT 1 FROM frequent g WHERE g.k = f.k + 1 AND list_has_all(g.items, f.items))""",
 )
 def maximal_itemsets(spark, sf_dir):
-    found = ops.frequent_itemsets(order_brands(spark, sf_dir), SET_SUPPORT, max_k=3)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT, max_k=3)
     return shown(ops.maximal_itemsets(found))
 
 
@@ -236,7 +241,7 @@ def maximal_itemsets(spark, sf_dir):
     SUPPORTS + f" SELECT k, itemset, support FROM supports WHERE support > {SET_SUPPORT}",
 )
 def fpgrowth_itemsets(spark, sf_dir):
-    return shown(ops.fpgrowth_itemsets(order_brands(spark, sf_dir), SET_SUPPORT, strict=True))
+    return shown(ops.fpgrowth_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT, strict=True))
 
 
 @QUERIES.add(
@@ -246,7 +251,7 @@ def fpgrowth_itemsets(spark, sf_dir):
 QUALIFY row_number() OVER (PARTITION BY k ORDER BY support DESC, string_split(itemset, ',')) = 1""",
 )
 def verify_itemset_counts(spark, sf_dir):
-    baskets = order_brands(spark, sf_dir)
+    baskets = kept_baskets(spark, sf_dir)
     chosen = ops.best_itemset_per_size(ops.fpgrowth_itemsets(baskets, SET_SUPPORT))
     counted = ops.containment_counts(baskets, chosen).withColumnRenamed("support", "counted")
     return shown(chosen.join(counted, "itemset").select("k", "itemset", "support", "counted"))
@@ -265,7 +270,7 @@ GROUP BY a.item, b.item, c.item""",
 )
 def itemset_containment_count(spark, sf_dir):
     """Triples all of whose pairs are frequent, counted against the baskets."""
-    baskets = order_brands(spark, sf_dir)
+    baskets = kept_baskets(spark, sf_dir)
     pairs = ops.frequent_itemsets(baskets, PAIR_SUPPORT, max_k=2).where("k = 2")
     links = pairs.select(F.col("itemset")[0].alias("a"), F.col("itemset")[1].alias("b"))
     ab = links
@@ -286,5 +291,5 @@ SELECT basket_id, item, support,
 FROM baskets JOIN frequent USING (item)""",
 )
 def frequency_ordered_baskets(spark, sf_dir):
-    baskets = order_brands(spark, sf_dir)
+    baskets = kept_baskets(spark, sf_dir)
     return ops.frequency_ordered_baskets(baskets, PAIR_SUPPORT, strict=True)

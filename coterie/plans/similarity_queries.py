@@ -122,6 +122,11 @@ def word_sets(spark, sf_dir):
     return similarity.word_shingle_sets(posts(spark, sf_dir))
 
 
+def kept_sets(spark, sf_dir):
+    """The shingle sets written once, for queries that pass over them more than once."""
+    return minhash.cut(word_sets(spark, sf_dir))
+
+
 def rounded(pairs):
     return pairs.withColumn("jaccard", F.round("jaccard", 9))
 
@@ -235,7 +240,7 @@ def similarity_histogram(spark, sf_dir):
 
 @QUERIES.add("minhash_signatures", SIGNATURES + " SELECT post_id, hash_no, minhash FROM signatures")
 def minhash_signatures(spark, sf_dir):
-    return minhash.signature_rows(minhash.minhash_signatures(word_sets(spark, sf_dir)))
+    return minhash.signature_rows(minhash.minhash_signatures(kept_sets(spark, sf_dir)))
 
 
 @QUERIES.add(
@@ -243,7 +248,7 @@ def minhash_signatures(spark, sf_dir):
     banded_sql(minhash.BUCKETS) + " SELECT post_id, band, bucket FROM members",
 )
 def lsh_band_buckets(spark, sf_dir):
-    signatures = minhash.minhash_signatures(word_sets(spark, sf_dir))
+    signatures = minhash.minhash_signatures(kept_sets(spark, sf_dir))
     return minhash.band_buckets(signatures, n_buckets=minhash.BUCKETS)
 
 
@@ -254,7 +259,7 @@ def lsh_band_buckets(spark, sf_dir):
 FROM members QUALIFY n_members > 1""",
 )
 def lsh_bucket_groups(spark, sf_dir):
-    signatures = minhash.minhash_signatures(word_sets(spark, sf_dir))
+    signatures = minhash.minhash_signatures(kept_sets(spark, sf_dir))
     members = minhash.band_buckets(signatures, n_buckets=minhash.BUCKETS)
     return minhash.bucket_groups(minhash.cut(members))
 
@@ -265,7 +270,7 @@ def lsh_bucket_groups(spark, sf_dir):
     + " SELECT band, bucket, n_bands, n_members, post_id FROM candidates",
 )
 def lsh_candidate_groups(spark, sf_dir):
-    return minhash.near_duplicate_groups(word_sets(spark, sf_dir), n_buckets=minhash.BUCKETS)
+    return minhash.near_duplicate_groups(kept_sets(spark, sf_dir), n_buckets=minhash.BUCKETS)
 
 
 @QUERIES.add(
@@ -274,7 +279,7 @@ def lsh_candidate_groups(spark, sf_dir):
 )
 def near_duplicate_documents(spark, sf_dir):
     """The whole chain with unreduced band hashes, so that only equal bands meet."""
-    return minhash.near_duplicate_groups(word_sets(spark, sf_dir))
+    return minhash.near_duplicate_groups(kept_sets(spark, sf_dir))
 
 
 @QUERIES.add(
@@ -287,7 +292,7 @@ def near_duplicate_documents(spark, sf_dir):
 UNION ALL SELECT {PAIR_COLUMNS} FROM ties""",
 )
 def lsh_verified_pairs(spark, sf_dir):
-    sets = minhash.cut(word_sets(spark, sf_dir))
+    sets = kept_sets(spark, sf_dir)
     found = minhash.verified_pairs(sets, minhash.near_duplicate_groups(sets))
     return rounded(found.rows())
 
@@ -300,7 +305,7 @@ def lsh_verified_pairs(spark, sf_dir):
 FROM candidates JOIN documents ON doc_id = post_id""",
 )
 def lsh_candidate_contents(spark, sf_dir):
-    groups = minhash.near_duplicate_groups(word_sets(spark, sf_dir))
+    groups = minhash.near_duplicate_groups(kept_sets(spark, sf_dir))
     return minhash.group_contents(posts(spark, sf_dir), groups)
 
 

@@ -31,10 +31,12 @@ def counted_lists(baskets):
     return per_basket.groupBy("items").agg(F.count(F.lit(1)).alias("n_baskets"))
 
 
-@QUERIES.add("io_basket_text_roundtrip", BASKET_LISTS)
+@QUERIES.add("io_basket_text_roundtrip", BASKET_LISTS.replace("p_brand", "replace(p_brand, '#', ' ')"))
 def io_basket_text_roundtrip(spark, sf_dir):
+    """Brands hold the format's delimiter, which the writer refuses, so it is replaced."""
     path = scratch_path(spark, "baskets")
-    lines.write_baskets(order_brands(spark, sf_dir), path)
+    baskets = order_brands(spark, sf_dir).withColumn("item", F.translate("item", "#", " "))
+    lines.write_baskets(baskets, path)
     return counted_lists(lines.read_baskets(spark, path))
 
 
