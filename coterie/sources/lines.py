@@ -37,10 +37,9 @@ def write_baskets(baskets: DataFrame, path: str) -> None:
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
     """(basket_id, item): items as they stand on the line, repeats included."""
     lines = spark.read.text(path).where("value <> ''")
-    return lines.select(
-        F.monotonically_increasing_id().alias("basket_id"),
-        F.explode(F.split("value", FIELD)).alias("item"),
-    )
+    # numbered before the items are exploded, or each item would get a number of its own
+    numbered = lines.select(F.monotonically_increasing_id().alias("basket_id"), "value")
+    return numbered.select("basket_id", F.explode(F.split("value", FIELD)).alias("item"))
 
 
 def write_titles(titles: DataFrame, path: str) -> None:
