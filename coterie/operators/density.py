@@ -9,6 +9,7 @@ from coterie.operators.edit_join import both_ways, edit_distance_join
 from coterie.operators.graph import connected_components
 from coterie.operators.indexing import dense_index
 from coterie.operators.lineage import cut
+from coterie.operators.skew import salted_join
 
 
 def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
@@ -193,7 +194,8 @@ def _pass_messages(messages: DataFrame, damping: float) -> DataFrame:
     top = scored.groupBy("title").agg(
         F.min(F.struct((-F.col("score")).alias("score"), "neighbour")).alias("top")
     )
-    scored = scored.join(top, "title")
+    # salted, since one title may be listed with most others
+    scored = salted_join(scored, top, ["title"], "neighbour")
     is_top = F.col("neighbour") == F.col("top.neighbour")
     second = scored.where(~is_top).groupBy("title").agg(F.max("score").alias("second"))
     rival = F.when(is_top, F.col("second")).otherwise(-F.col("top.score"))
@@ -212,7 +214,7 @@ def _pass_messages(messages: DataFrame, damping: float) -> DataFrame:
     available = F.when(is_own, F.col("support")).otherwise(
         F.least(F.lit(0.0), F.col("own_r") + others)
     )
-    return responded.join(support, "neighbour").select(
+    return salted_join(responded, support, ["neighbour"], "title").select(
         "title", "neighbour", "similarity", "r",
         (damping * F.col("a") + (1 - damping) * available).alias("a"),
     )

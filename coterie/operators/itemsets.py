@@ -306,7 +306,7 @@ def adaptive_threshold(
     step = 0
     while True:
         step += 1
-        found = cut(frequent_itemsets(baskets, threshold, max_k=target_k, **options))
+        found = frequent_itemsets(baskets, threshold, max_k=target_k, **options)
         per_level = found.groupBy("k").agg(F.count(F.lit(1)).alias("n_sets")).orderBy("k")
         rows = [(step, threshold, r["k"], r["n_sets"]) for r in per_level.collect()]
         trace.extend(rows)

@@ -285,7 +285,8 @@ def nearest_clustroid(spark, sf_dir):
 )
 def clustroid_update(spark, sf_dir):
     assigned = clustroids.cut(first_assignment(spark, sf_dir))
-    return clustroids.update_clustroids(assigned, ["period_start"])
+    total = sum(wanted for _, wanted in period_counts(product_titles(spark, sf_dir)))
+    return clustroids.update_clustroids(assigned, ["period_start"], total=total)
 
 
 @QUERIES.add(
