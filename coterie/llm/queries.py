@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coterie.llm import line_dedup, mixing, sharding
-from coterie.llm.sql import LINE_DEDUP_SQL, MIXING_SQL, SHARDING_SQL
+from coterie.llm import decontamination, line_dedup, mixing, sharding
+from coterie.llm.sql import DECONTAMINATION_SQL, LINE_DEDUP_SQL, MIXING_SQL, SHARDING_SQL
 from coterie.plans.registry import Registry
 from coterie.plans.tables import table
 
@@ -13,6 +13,21 @@ QUERIES = Registry()
 SHARDS = 16
 
 
+@QUERIES.add("op2_decontamination", DECONTAMINATION_SQL)
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside passages of the benchmark."""
+    documents = table(spark, sf_dir, "documents")
+    found = decontamination.contamination(documents, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @QUERIES.add("op3_mix_sources", MIXING_SQL)
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words of every document that a mix of weights 3, 1, 2 takes, at most two epochs."""

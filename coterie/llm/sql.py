@@ -80,3 +80,32 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_
   'key' AS law, shard, grown_shard,
   row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot
 FROM sized"""
+
+_WORDS = (
+    f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATION_SQL = f"""
+WITH doc_words AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, w, least(len(w), 13) AS m
+  FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, m, array_to_string(w[p:p + m - 1], ' ') AS words
+  FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS p FROM item_words)),
+doc_windows AS (
+  SELECT doc_id, m, p, array_to_string(w[p:p + m - 1], ' ') AS words
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS p
+    FROM doc_words, (SELECT DISTINCT m FROM windows) WHERE len(w) >= m)),
+found AS (SELECT doc_id, p, m, item FROM doc_windows JOIN windows USING (m, words)),
+hits AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + m)) AS word FROM found) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
