@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coterie.llm import decontamination, line_dedup, mixing, sharding
+from coterie.llm import decontamination, line_dedup, mixing, sharding, suffix_dedup
 from coterie.llm.sql import DECONTAMINATION_SQL, LINE_DEDUP_SQL, MIXING_SQL, SHARDING_SQL
 from coterie.plans.registry import Registry
 from coterie.plans.tables import table
@@ -46,3 +46,17 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 16 equal ones, and where a 17th would move it."""
     documents = table(spark, sf_dir, "documents")
     return sharding.shard_documents(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
+
+
+@QUERIES.add("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier."""
+    removed = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    n_kept = F.octet_length("kept")
+    return removed.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - n_kept).cast("bigint").alias("n_removed"),
+        F.size("starts").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
