@@ -3,8 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from coterie.llm import decontamination, line_dedup, mixing, sharding, suffix_dedup
-from coterie.llm.sql import DECONTAMINATION_SQL, LINE_DEDUP_SQL, MIXING_SQL, SHARDING_SQL
+from coterie.llm import (
+    decontamination,
+    jaccard_join,
+    line_dedup,
+    mixing,
+    sharding,
+    suffix_dedup,
+)
+from coterie.llm.sql import (
+    DECONTAMINATION_SQL,
+    JACCARD_JOIN_SQL,
+    LINE_DEDUP_SQL,
+    MIXING_SQL,
+    SHARDING_SQL,
+)
 from coterie.plans.registry import Registry
 from coterie.plans.tables import table
 
@@ -48,6 +61,12 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents, [1.0] * SHARDS, [1.0] * (SHARDS + 1))
 
 
+@QUERIES.add("op8_ngram_jaccard_join", JACCARD_JOIN_SQL)
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component under links of three quarters common shingles of five words."""
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"))
+
+
 @QUERIES.add("op9_suffix_dedup")
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 100-byte strings that start earlier."""

@@ -109,3 +109,29 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
   sha256(coalesce(names, '')) AS items_sha256,
   coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
 FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+JACCARD_JOIN_SQL = f"""
+WITH RECURSIVE doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p
+    FROM doc_words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id
+  WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT DISTINCT a AS doc_id, a AS other FROM both_ways
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN both_ways l ON r.other = l.a)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.component, d.doc_id) AS component_id
+FROM doc_words d LEFT JOIN sizes s USING (doc_id)
+LEFT JOIN (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id) r USING (doc_id)"""
