@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from coterie.llm.buffers import byte_view, mixed
 
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 FLUSH_BYTES = 16 << 20
 NO_ID = (1 << 63) - 1
 

@@ -28,7 +28,6 @@ from coterie.operators.lineage import cut
 LENGTH = 100
 ANCHOR = 24
 TILE = 16
-COLLECTION_ROWS = 1 << 17
 
 # kinds of packed rows, and what they hold
 STRETCH, REPEAT, OPEN, PIECE = 0, 1, 2, 3
@@ -218,7 +217,7 @@ def _piece_function(n_buckets: int, length: int, tile: int):
         by_id: dict[tuple, int] = {}
         order = np.lexsort((rows["version"], rows["doc_id"]))
         rows = {name: values[order] for name, values in rows.items()}
-        out, hasher = [], SpanHash(1)
+        out, hasher, held = [], SpanHash(1), []
         if len(order):
             names = np.stack([rows["doc_id"], rows["version"].astype(np.int64)], axis=1)
             found, begin = np.unique(names, axis=0, return_index=True)
@@ -269,14 +268,17 @@ def _piece_function(n_buckets: int, length: int, tile: int):
                 "skipped": skipped, "strings": end - begin + 1,
                 "bytes": block.view(f"V{width}").ravel(),
             }
-            sort = np.lexsort((pieces_["start"], pieces_["doc_id"], content, key))
-            first, later = repeats(pieces_, sort, ["key", "content"])
+            held.append(pieces_)
+        if held:
+            gathered = {name: np.concatenate([h[name] for h in held]) for name, _ in types}
+            sort = np.lexsort(tuple(gathered[k] for k in ("start", "doc_id", "content", "key")))
+            first, later = repeats(gathered, sort, ["key", "content"])
             out += repeat_rows(
-                pieces_["doc_id"][later], pieces_["version"][later], pieces_["start"][later],
-                (pieces_["start"] + pieces_["strings"] - 1)[later], n_buckets,
+                gathered["doc_id"][later], gathered["version"][later], gathered["start"][later],
+                (gathered["start"] + gathered["strings"] - 1)[later], n_buckets,
             )
-            columns = [pieces_[name][first] for name, _ in types]
-            packed = by_bucket(bucket_of(key[first], n_buckets), columns, types)
+            columns = [gathered[name][first] for name, _ in types]
+            packed = by_bucket(bucket_of(gathered["key"][first], n_buckets), columns, types)
             out += [(PIECE, b, blob) for b, blob in packed]
         return pa.Table.from_batches([rows_batch(out)])
 
