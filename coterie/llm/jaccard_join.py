@@ -25,6 +25,7 @@ from coterie.llm.exchange import (
     bucket_of_ids,
     by_bucket,
     keyed,
+    pack,
     rows_batch,
     text_blocks,
     texts_by_bucket,
@@ -35,18 +36,19 @@ from coterie.operators.lineage import cut
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-CELL_BITS = 18
-SLICE_CELLS = 1 << 12
+CELL_BITS = 22
+SLICE_CELLS = 1 << 16
 PARTS_SUMMED = 1000
-FLUSH_BYTES = 8 << 20
+FLUSH_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 HOT_MEMBERS = 64
 CHUNK_NODES = 1000
-SKETCH_BITS = 2048
+SKETCH_BITS = 1024
 SINGLE_BELOW = 64  # sets below this size have a word for each shingle
 SPARE_BITS = 2  # larger ones four words per shingle of the band's smallest set
 
 KEY, STAR, EQUAL = 0, 1, 2
+COUNT_TYPES = [("count", "i8")]
 KEY_TYPES = [("key", "u8"), ("doc_id", "i8")]
 PAIR_TYPES = [("hub", "i8"), ("member", "i8")]
 
@@ -146,7 +148,7 @@ def _count_function(width: int):
             [
                 pa.array([part] * len(slices), pa.int32()),
                 pa.array(range(len(slices)), pa.int32()),
-                pa.array([s.tobytes() for s in slices], pa.binary()),
+                pa.array([pack([s], COUNT_TYPES) for s in slices], pa.binary()),
             ],
             names=["part", "slice", "counts"],
         )
@@ -155,9 +157,10 @@ def _count_function(width: int):
 
 
 def _sum_slices(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(b.as_py(), np.int64) for b in table.column("counts"))
+    total = sum(unpack([b.as_py()], COUNT_TYPES)["count"] for b in table.column("counts"))
     columns = [table.column(n)[:1] for n in ("part", "slice")]
-    return pa.table([*columns, pa.array([total.tobytes()], pa.binary())], table.column_names)
+    packed = pa.array([pack([total], COUNT_TYPES)], pa.binary())
+    return pa.table([*columns, packed], table.column_names)
 
 
 def shingle_levels(docs: DataFrame, width: int) -> np.ndarray:
@@ -172,7 +175,8 @@ def shingle_levels(docs: DataFrame, width: int) -> np.ndarray:
     summed = parts.groupBy("slice").applyInArrow(_sum_slices, schema).collect()
     counts = np.zeros(1 << CELL_BITS, np.int64)
     for row in summed:
-        counts[row["slice"] * SLICE_CELLS :][:SLICE_CELLS] = np.frombuffer(row["counts"], np.int64)
+        here = unpack([row["counts"]], COUNT_TYPES)["count"]
+        counts[row["slice"] * SLICE_CELLS :][:SLICE_CELLS] = here
     return np.minimum(255, 4 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
@@ -280,27 +284,30 @@ def _id_buckets(n_buckets: int):
     return deal
 
 
-SIZED = "doc_id bigint, n_shingles bigint, text binary"
+SIZED = "doc_id bigint, n_shingles bigint, sketch binary, text binary"
 
 
 def _size_function(width: int):
-    """The set size of every document, and the compressed text of those in a pair."""
+    """The set size of every document, and sketch and compressed text of those in a pair."""
 
     def measure(texts: pa.Table, wanted: pa.Table) -> pa.Table:
         wanted = set(wanted.column("doc_id").to_pylist())
         hasher, codec = SpanHash(), pa.Codec("zstd", 1)
         out = []
         for ids, _, data, offsets in text_blocks(texts):
-            _, bounds = shingle_sets(data, offsets, hasher, width)
-            packed = [None] * len(ids)
+            hashes, bounds = shingle_sets(data, offsets, hasher, width)
+            packed, sketches = [None] * len(ids), [None] * len(ids)
             for row in [i for i, name in enumerate(ids.tolist()) if name in wanted]:
                 raw = data[offsets[row] : offsets[row + 1]].tobytes()
                 packed[row] = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
-            columns = [pa.array(ids), pa.array(np.diff(bounds)), pa.array(packed, pa.binary())]
-            out.append(pa.table(columns, ["doc_id", "n_shingles", "text"]))
+                sketches[row] = parity_sketches([hashes[bounds[row] : bounds[row + 1]]]).tobytes()
+            columns = [pa.array(ids), pa.array(np.diff(bounds))]
+            columns += [pa.array(sketches, pa.binary()), pa.array(packed, pa.binary())]
+            out.append(pa.table(columns, ["doc_id", "n_shingles", "sketch", "text"]))
         empty = pa.schema(
-            [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("text", pa.binary())]
-        )
+            [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary()),
+             ("text", pa.binary())]
+        )
         return pa.concat_tables(out) if out else empty.empty_table()
 
     return measure
@@ -323,6 +330,30 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return both > 0 and 100 * both >= percent * union
 
 
+def sketch_words(column) -> np.ndarray:
+    """A column of sketches as rows of 64-bit words."""
+    data, _ = byte_view(column)
+    return data.view(np.uint64).reshape(len(column), -1)
+
+
+def _near_function(percent: int):
+    """Whether the sketches of a pair differ in so few bits that the sets can be linked."""
+
+    def near(batches):
+        for batch in batches:
+            a, b = (sketch_words(batch.column(f"{end}_sketch")) for end in ("hub", "member"))
+            n, m = (batch.column(f"{end}_n").to_numpy() for end in ("hub", "member"))
+            differ = np.bitwise_count(a ^ b).sum(axis=1)
+            found = differ <= largest_difference(n, m, percent)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(name) for name in ("kind", "hub", "member")]
+                + [pa.array(found, pa.bool_())],
+                names=["kind", "hub", "member", "near"],
+            )
+
+    return near
+
+
 def _verify_function(width: int, percent: int):
     def verify(batches):
         hasher = SpanHash()
@@ -353,6 +384,26 @@ def parity_sketches(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(flipped.astype(np.uint8)).view(np.uint64).reshape(len(sets), -1)
 
 
+def _apart_function(percent: int):
+    """The documents of two chunks that have a partner of another root with a near sketch."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        roots, sizes = table.column("root").to_numpy(), table.column("n_shingles").to_numpy()
+        sketches = sketch_words(table.column("sketch").combine_chunks())
+        kept = np.zeros(len(side), bool)
+        for i in np.flatnonzero(side == 0):
+            j = np.flatnonzero((roots != roots[i]) & (side == 1 if (side == 1).any() else True))
+            differ = np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1)
+            j = j[differ <= largest_difference(sizes[j], sizes[i], percent)]
+            kept[j] = True
+            kept[i] |= len(j) > 0
+        names = ["gid", "lo", "hi", "side", "node", "root"]
+        return table.select(names).filter(pa.array(kept))
+
+    return compare
+
+
 def _between_function(width: int, percent: int):
     """Links between the documents of two chunks that nothing connects yet.
 
@@ -435,9 +486,16 @@ def _remaining_links(verified: DataFrame, sized: DataFrame, width: int, percent:
         .select("gid", "node", "root", F.explode(tiles).alias("tile"))
         .select("gid", "node", "root", "tile.*")
     )
-    texts = sized.where("text IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
+    of_node = sized.where("text IS NOT NULL").withColumnRenamed("doc_id", "node")
+    schema = "gid bigint, lo int, hi int, side int, node bigint, root bigint"
+    near = (
+        tiled.join(of_node.drop("text"), "node")
+        .groupBy("gid", "lo", "hi")
+        .applyInArrow(_apart_function(percent), schema)
+        .distinct()
+    )
     return (
-        tiled.join(texts, "node")
+        near.join(of_node.select("node", "text"), "node")
         .groupBy("gid", "lo", "hi")
         .applyInArrow(_between_function(width, percent), "a bigint, b bigint")
     )
@@ -475,18 +533,30 @@ def link_documents(
         .cogroup(wanted.groupBy("bucket"))
         .applyInArrow(_size_function(width), SIZED)
     )
-    texts = sized.where("text IS NOT NULL")
-    of_hub = texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("hub_text"))
-    of_member = texts.select(F.col("doc_id").alias("member"), F.col("text").alias("member_text"))
-    verified = cut(
+    ends = sized.where("text IS NOT NULL")
+
+    def of(end: str, **columns: str) -> DataFrame:
+        names = {"doc_id": end} | {c: f"{end}_{short}" for short, c in columns.items()}
+        return ends.select(*[F.col(c).alias(name) for c, name in names.items()])
+
+    met = cut(
         pairs.where(F.col("kind") != EQUAL)
-        .join(of_member, "member")
-        .join(of_hub, "hub")
-        .select("kind", "hub", "member", "hub_text", "member_text")
+        .join(of("member", n="n_shingles", sketch="sketch"), "member")
+        .join(of("hub", n="n_shingles", sketch="sketch"), "hub")
+        .mapInArrow(_near_function(percent), PAIRS + ", near boolean")
+        .groupBy("kind", "hub", "member")
+        .agg(F.max("near").alias("near"))
+    )
+    checked = (
+        met.where("near")
+        .join(of("member", text="text"), "member")
+        .join(of("hub", text="text"), "hub")
         .mapInArrow(_verify_function(width, percent), PAIRS + ", linked boolean")
         .groupBy("kind", "hub", "member")
         .agg(F.max("linked").alias("linked"))
     )
+    far = met.where(~F.col("near")).select("kind", "hub", "member", F.lit(False).alias("linked"))
+    verified = cut(checked.unionByName(far))
     more = _remaining_links(verified, sized, width, percent)
     links = (
         pairs.where(F.col("kind") == EQUAL)
