@@ -4,10 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coterie.llm import (
+    cross_polytope,
     decontamination,
     jaccard_join,
     line_dedup,
     mixing,
+    quality_knn,
     sharding,
     suffix_dedup,
 )
@@ -47,6 +49,26 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), (3, 1, 2), 1.5, 2.0)
 
 
+@QUERIES.add("op4_nearest_neighbours")
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found rows of every embedding whose id is divisible by 100."""
+    vectors = cross_polytope.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return cross_polytope.nearest(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+@QUERIES.add("op5_quality_classifier")
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_knn.score_documents(documents, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        quality_knn.is_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality_knn.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @QUERIES.add("op6_line_dedup", LINE_DEDUP_SQL)
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier document holds."""
