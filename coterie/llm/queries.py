@@ -10,6 +10,7 @@ from coterie.llm import (
     line_dedup,
     mixing,
     quality_knn,
+    secret_scan,
     sharding,
     suffix_dedup,
 )
@@ -101,3 +102,27 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("starts").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@QUERIES.add("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets: the patterns' findings, and those the network adds."""
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] != "learned")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    def joined(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+        )
+
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
