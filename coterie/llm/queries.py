@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from coterie.llm import (
+    collinear,
     cross_polytope,
     decontamination,
     jaccard_join,
@@ -29,6 +30,12 @@ QUERIES = Registry()
 SHARDS = 16
 
 
+@QUERIES.add("op1_collinear_passages")
+def op1_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of fifty words and more that an earlier document holds, exactly or nearly."""
+    return collinear.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @QUERIES.add("op2_decontamination", DECONTAMINATION_SQL)
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside passages of the benchmark."""
