@@ -1,11 +1,12 @@
 """Finding benchmark passages in documents by multi-pattern search with shift tables."""
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from coterie.llm.buffers import (
     LOWER_WORD,
@@ -27,6 +28,9 @@ LANE_WORDS = 256
 COMPARED_AT_ONCE = 1 << 18
 
 
+FOUND = ("n_words", "hit_bounds", "items")
+
+
 class WindowTable:
     """The windows of one length: shift table, and buckets by the hash of the last words.
 
@@ -124,8 +128,8 @@ def window_tables(items: list[tuple], window: int = WINDOW_WORDS) -> list[Window
     return tables
 
 
-def _scan_function(tables, every_row: bool, id_type: pa.DataType):
-    """Batches of (doc_id, text_key, text) to the hit words and items of each document."""
+def _scan_function(tables, every_row: bool, kept: list[str]):
+    """Batches with a text to the hit words and items of each row, beside the ``kept`` columns."""
 
     def scan(batches):
         hasher = SpanHash()
@@ -159,13 +163,12 @@ def _scan_function(tables, every_row: bool, id_type: pa.DataType):
             named = [sorted(items.get(row, ())) for row in range(batch.num_rows)]
             out = pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(id_type),
-                    batch.column("text_key"),
+                    *[batch.column(name) for name in kept],
                     pa.array(np.diff(bounds), pa.int64()),
                     lists(spans.ravel(), counts, pa.int64()),
                     pa.array(named, pa.list_(pa.string())),
                 ],
-                names=["doc_id", "text_key", "n_words", "hit_bounds", "items"],
+                names=[*kept, *FOUND],
             )
             yield out if every_row else out.filter(pa.array(counts > 0))
 
@@ -193,8 +196,9 @@ def find_contamination(
     benchmark: DataFrame,
     window: int = WINDOW_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    kept: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """(doc_id, n_words, hit_bounds, items) for every row of ``docs``.
+    """The ``kept`` columns, n_words, hit_bounds and items for every row of ``docs``.
 
     ``hit_bounds`` lists first word and word after the last of each run of words inside an
     occurrence of a window of an item; ``items`` the ids of these items as text, sorted. Items
@@ -203,55 +207,53 @@ def find_contamination(
 
     A null or empty document has no words; an item without words has no window; an item without
     id is named by the empty text. Repeated rows each get a result. Without documents there are
-    no rows, without items no hits.
+    no rows, without items no hits. Kept columns named as one of the three are left out.
     """
     spark = docs.sparkSession
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    id_type = docs.schema["doc_id"].dataType
-    schema = f"doc_id {id_type.simpleString()}, text_key bigint, n_words bigint, "
-    schema += "hit_bounds array<bigint>, items array<string>"
-    arrow_id = _arrow_type(id_type)
+    kept = [name for name in kept if name not in FOUND]
+    found = StructType(
+        [
+            StructField("n_words", LongType()),
+            StructField("hit_bounds", ArrayType(LongType())),
+            StructField("items", ArrayType(StringType())),
+        ]
+    )
+    own = [F.col("doc_id").alias("_own"), F.xxhash64("text").alias("_key")]
+    identity = [StructField("_own", docs.schema["doc_id"].dataType), StructField("_key", LongType())]
     result, more = None, []
     for block in _blocks(benchmark, block_bytes):
         tables = spark.sparkContext.broadcast(window_tables(block, window))
-        scan = _scan_function(tables, result is None, arrow_id)
-        scanned = keyed.mapInArrow(scan, schema)
         if result is None:
-            result = scanned
+            schema = StructType([*[docs.schema[name] for name in kept], *identity, *found])
+            rows = docs.select(*dict.fromkeys([*kept, "text"]), *own)
+            scan = _scan_function(tables, True, [*kept, "_own", "_key"])
+            result = rows.mapInArrow(scan, schema)
         else:
-            more.append(cut(scanned))
+            scan = _scan_function(tables, False, ["_own", "_key"])
+            rows = docs.select(*own, "text")
+            more.append(cut(rows.mapInArrow(scan, StructType([*identity, *found]))))
     if not more:
-        return result.drop("text_key")
+        return result.drop("_own", "_key")
     others = more[0]
     for frame in more[1:]:
         others = others.unionByName(frame)
-    others = others.distinct().groupBy("doc_id", "text_key").agg(
+    others = others.distinct().groupBy(F.col("_own").alias("_id"), F.col("_key").alias("_text")).agg(
         F.flatten(F.collect_list("hit_bounds")).alias("_bounds"),
         F.flatten(F.collect_list("items")).alias("_items"),
     )
-    same = result["doc_id"].eqNullSafe(others["doc_id"]) & (
-        result["text_key"] == others["text_key"]
-    )
-    nothing = F.array()
-    return result.join(others, same, "left").select(
-        result["doc_id"],
+    same = result["_own"].eqNullSafe(others["_id"]) & (result["_key"] == others["_text"])
+    both = result.join(others, same, "left")
+    no_bounds, no_items = F.array().cast("array<bigint>"), F.array().cast("array<string>")
+    return both.select(
+        *kept,
         "n_words",
-        F.concat("hit_bounds", F.coalesce("_bounds", nothing.cast("array<bigint>")))
-        .alias("hit_bounds"),
+        F.concat("hit_bounds", F.coalesce("_bounds", no_bounds)).alias("hit_bounds"),
         F.array_sort(
-            F.array_distinct(
-                F.concat("items", F.coalesce("_items", nothing.cast("array<string>")))
-            )
+            F.array_distinct(F.concat("items", F.coalesce("_items", no_items)))
         ).alias("items"),
     )
 
 
-def _arrow_type(data_type) -> pa.DataType:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    return to_arrow_type(data_type)
-
-
 def hit_words(hit_bounds: Column) -> Column:
     """The number of words inside the runs, also where runs of several passes overlap."""
     runs = F.transform(
@@ -265,12 +267,8 @@ def hit_words(hit_bounds: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, contaminated): at least a twentieth of the words is hit."""
+    """``find_contamination`` with n_hit words and ``contaminated``: a twentieth or more is hit."""
     found = find_contamination(docs, benchmark, **options)
-    return found.withColumn("n_hit", hit_words(F.col("hit_bounds"))).select(
-        "doc_id",
-        "n_words",
-        "n_hit",
-        "items",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
-    )
+    found = found.withColumn("n_hit", hit_words(F.col("hit_bounds")))
+    much = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return found.drop("hit_bounds").withColumn("contaminated", much)

@@ -61,9 +61,14 @@ def source_targets(
 
 
 def mix_sources(
-    docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, epochs: float = 2.0
+    docs: DataFrame,
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    epochs: float = 2.0,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken): the words the mix takes of every row.
+    """(doc_id, ``kept`` columns, size, source_size, target, taken) for every row of ``docs``:
+    ``taken`` is the words the mix takes of it.
 
     Each row has a hash-random key. A source's keys are cut into ranges of about ``BUCKET_ROWS``
     rows; rows are sorted within a range and the ranges' sums give each row the words before it
@@ -78,6 +83,7 @@ def mix_sources(
         docs.select(
             "doc_id",
             "source",
+            *[F.col(name).alias(f"_kept_{i}") for i, name in enumerate(kept)],
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"),
             md5_int(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), KEY_DIGITS)
             .alias("key"),
@@ -108,5 +114,10 @@ def mix_sources(
     rest = budget - passes * F.col("source_size") - F.col("_offset") - F.col("_within")
     taken = passes * F.col("size") + F.greatest(F.lit(0), F.least(rest, F.col("size")))
     return summed.join(sums, ["source_key", "bucket"]).select(
-        "doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken")
+        "doc_id",
+        *[F.col(f"_kept_{i}").alias(name) for i, name in enumerate(kept)],
+        "size",
+        "source_size",
+        "target",
+        taken.cast("bigint").alias("taken"),
     )
