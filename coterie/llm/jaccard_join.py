@@ -33,6 +33,7 @@ from coterie.llm.exchange import (
 )
 from coterie.operators.graph import connected_components
 from coterie.operators.lineage import cut
+from coterie.operators.skew import salted_join
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -47,9 +48,9 @@ SKETCH_BITS = 1024
 SINGLE_BELOW = 64  # sets below this size have a word for each shingle
 SPARE_BITS = 2  # larger ones four words per shingle of the band's smallest set
 
-KEY, STAR, EQUAL = 0, 1, 2
+KEY, STAR, NODE = 0, 1, 2
 COUNT_TYPES = [("count", "i8")]
-KEY_TYPES = [("key", "u8"), ("doc_id", "i8")]
+KEY_TYPES = [("key", "u8"), ("node", "i8")]
 PAIR_TYPES = [("hub", "i8"), ("member", "i8")]
 
 
@@ -181,7 +182,11 @@ def shingle_levels(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _key_function(levels, width: int, percent: int, n_buckets: int):
-    """Keys of all sets. Within a task, equal sets and hot keys are reduced to their first."""
+    """The node of each document, a hash of its whole set, and the keys of the nodes.
+
+    So equal sets are one node from here on; within a task a key that is hot goes on only from
+    its first node, the others being tied to that.
+    """
 
     def send(batches):
         hasher, held, size = SpanHash(), [], 0
@@ -194,23 +199,15 @@ def _key_function(levels, width: int, percent: int, n_buckets: int):
             full = np.flatnonzero(sizes)
             out = []
             if len(full):
-                stirred = mixed(hashes + np.uint64(1))
-                one = np.add.reduceat(stirred, bounds[full])
-                two = np.bitwise_xor.reduceat(stirred, bounds[full])
-                order = np.lexsort((ids[full], two, one, sizes[full]))
-                same = np.zeros(len(full), bool)
-                a, b = order[1:], order[:-1]
-                same[1:] = (one[a] == one[b]) & (two[a] == two[b])
-                same[1:] &= sizes[full][a] == sizes[full][b]
-                begin = np.flatnonzero(~same)
-                lead = np.repeat(order[begin], np.diff(np.append(begin, len(order))))
-                pairs = [ids[full][lead[same]], ids[full][order[same]]]
-                out += _pairs(EQUAL, *pairs, n_buckets)
-                kept = np.sort(full[order[~same]])
+                sums = np.add.reduceat(mixed(hashes + np.uint64(1)), bounds[full])
+                nodes = mixed(sums + sizes[full].astype(np.uint64)).view(np.int64)
+                out += _pairs(NODE, nodes, ids[full], n_buckets)
+                nodes, lead = np.unique(nodes, return_index=True)
+                kept = full[lead]
                 index = ranges(bounds[kept], sizes[kept])
                 limits = np.concatenate(([0], np.cumsum(sizes[kept])))
                 row, keys = pigeonhole_keys(hashes[index], limits, levels.value, percent)
-                docs = ids[kept][row]
+                docs = nodes[row]
                 order = np.lexsort((docs, keys))
                 keys, docs = keys[order], docs[order]
                 begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -218,7 +215,7 @@ def _key_function(levels, width: int, percent: int, n_buckets: int):
                 hot = np.repeat(count >= HOT_MEMBERS, count)
                 hot[begin] = False
                 hub = np.repeat(docs[begin], count)
-                out += _pairs(STAR, hub[hot], docs[hot], n_buckets)
+                out += _pairs(STAR, hub[hot], docs[hot], n_buckets)  # never the hub itself
                 keys, docs = keys[~hot], docs[~hot]
                 packed = by_bucket(bucket_of(keys, n_buckets), [keys, docs], KEY_TYPES)
                 out += [(KEY, b, blob) for b, blob in packed]
@@ -239,7 +236,7 @@ def _key_function(levels, width: int, percent: int, n_buckets: int):
 
 def _pairs(kind: int, hub, member, n_buckets: int):
     """Packed distinct pairs, dealt by a hash of both."""
-    pairs = np.unique(np.stack([hub, member], axis=1)[hub != member], axis=0)
+    pairs = np.unique(np.stack([hub, member], axis=1), axis=0)
     hub, member = pairs[:, 0], pairs[:, 1]
     buckets = bucket_of(mixed(mixed(hub.astype(np.uint64)) + member.astype(np.uint64)), n_buckets)
     return [(kind, b, blob) for b, blob in by_bucket(buckets, [hub, member], PAIR_TYPES)]
@@ -249,10 +246,10 @@ PAIRS = "kind int, hub bigint, member bigint"
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """Each key's documents tied to the first of them; pairs found in tasks are passed on."""
+    """Each key's nodes tied to the first of them; pairs found in tasks are passed on."""
     kinds, blobs = table.column("kind").to_numpy(), table.column("packed").to_pylist()
     rows = unpack([b for k, b in zip(kinds, blobs) if k == KEY], KEY_TYPES)
-    keys, docs = rows["key"], rows["doc_id"]
+    keys, docs = rows["key"], rows["node"]
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     found = [(KEY, np.zeros((0, 2), np.int64))]
@@ -260,7 +257,7 @@ def _meet(table: pa.Table) -> pa.Table:
         begin = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         hub = np.repeat(docs[begin], np.diff(np.append(begin, len(keys))))
         found.append((KEY, np.stack([hub, docs], axis=1)[hub != docs]))
-    for kind in (STAR, EQUAL):
+    for kind in (STAR, NODE):
         pairs = unpack([b for k, b in zip(kinds, blobs) if k == kind], PAIR_TYPES)
         found.append((kind, np.stack([pairs["hub"], pairs["member"]], axis=1)))
     found = [(kind, np.unique(pairs, axis=0)) for kind, pairs in found]
@@ -435,12 +432,12 @@ def _between_function(width: int, percent: int):
     return compare
 
 
-def _remaining_links(verified: DataFrame, sized: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links between documents that met at a hub, but are not both linked to it.
+def _remaining_links(verified: DataFrame, ends: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links between nodes that met at a hub, but are not both linked to it.
 
-    A hub's documents are those tied to it, and those tied inside tasks to one of these. Where
+    A hub's nodes are those tied to it, and those tied inside tasks to one of these. Where
     all are linked nothing is left to do. Else they are compared with each other in chunks,
-    except documents of the same root: those already connected to the hub.
+    except nodes of the same root: those already connected to the hub.
     """
     stars = verified.where(F.col("kind") == STAR).drop("kind")
     groups = verified.where(F.col("kind") == KEY).drop("kind")
@@ -486,16 +483,15 @@ def _remaining_links(verified: DataFrame, sized: DataFrame, width: int, percent:
         .select("gid", "node", "root", F.explode(tiles).alias("tile"))
         .select("gid", "node", "root", "tile.*")
     )
-    of_node = sized.where("text IS NOT NULL").withColumnRenamed("doc_id", "node")
     schema = "gid bigint, lo int, hi int, side int, node bigint, root bigint"
     near = (
-        tiled.join(of_node.drop("text"), "node")
+        tiled.join(ends.drop("text"), "node")
         .groupBy("gid", "lo", "hi")
         .applyInArrow(_apart_function(percent), schema)
         .distinct()
     )
     return (
-        near.join(of_node.select("node", "text"), "node")
+        near.join(ends.select("node", "text"), "node")
         .groupBy("gid", "lo", "hi")
         .applyInArrow(_between_function(width, percent), "a bigint, b bigint")
     )
@@ -524,24 +520,33 @@ def link_documents(
     named = rows.where(F.col("doc_id") != NO_ID)
     levels = spark.sparkContext.broadcast(shingle_levels(named, width))
     sent = named.mapInArrow(_key_function(levels, width, percent, n_keys), ROWS)
-    pairs = cut(sent.groupBy("bucket").applyInArrow(_meet, PAIRS).distinct())
-    ids = pairs.where(F.col("kind") != EQUAL)
-    ids = ids.select("hub").unionAll(ids.select("member")).distinct().toDF("doc_id")
-    wanted = ids.mapInArrow(_id_buckets(n_texts), "bucket int, doc_id bigint")
+    found = cut(sent.groupBy("bucket").applyInArrow(_meet, PAIRS).distinct())
+    members = found.where(F.col("kind") == NODE).select(
+        F.col("hub").alias("node"), F.col("member").alias("doc_id")
+    )
+    nodes = cut(members.groupBy("node").agg(F.min("doc_id").alias("rep")))
+    pairs = found.where(F.col("kind") != NODE)
+    met_nodes = pairs.select("hub").unionAll(pairs.select("member")).distinct().toDF("node")
+    reps = nodes.join(met_nodes, "node", "left_semi")
+    wanted = reps.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = wanted.mapInArrow(_id_buckets(n_texts), "bucket int, doc_id bigint")
     sized = cut(
         texts_by_bucket(rows, n_texts).groupBy("bucket")
         .cogroup(wanted.groupBy("bucket"))
         .applyInArrow(_size_function(width), SIZED)
     )
-    ends = sized.where("text IS NOT NULL")
+    ends = cut(
+        sized.where("text IS NOT NULL")
+        .join(reps, sized["doc_id"] == reps["rep"])
+        .select("node", "n_shingles", "sketch", "text")
+    )
 
     def of(end: str, **columns: str) -> DataFrame:
-        names = {"doc_id": end} | {c: f"{end}_{short}" for short, c in columns.items()}
+        names = {"node": end} | {c: f"{end}_{short}" for short, c in columns.items()}
         return ends.select(*[F.col(c).alias(name) for c, name in names.items()])
 
     met = cut(
-        pairs.where(F.col("kind") != EQUAL)
-        .join(of("member", n="n_shingles", sketch="sketch"), "member")
+        pairs.join(of("member", n="n_shingles", sketch="sketch"), "member")
         .join(of("hub", n="n_shingles", sketch="sketch"), "hub")
         .mapInArrow(_near_function(percent), PAIRS + ", near boolean")
         .groupBy("kind", "hub", "member")
@@ -557,14 +562,14 @@ def link_documents(
     )
     far = met.where(~F.col("near")).select("kind", "hub", "member", F.lit(False).alias("linked"))
     verified = cut(checked.unionByName(far))
-    more = _remaining_links(verified, sized, width, percent)
-    links = (
-        pairs.where(F.col("kind") == EQUAL)
-        .select("hub", "member")
-        .unionByName(verified.where("linked").select("hub", "member"))
-        .toDF("a", "b")
-        .unionByName(more)
-    )
+    more = _remaining_links(verified, ends, width, percent)
+    of_nodes = verified.where("linked").select("hub", "member").toDF("a", "b").unionByName(more)
+    for end in ("a", "b"):
+        rep = nodes.select(F.col("node").alias(end), F.col("rep").alias("_rep"))
+        of_nodes = of_nodes.join(rep, end).withColumn(end, F.col("_rep")).drop("_rep")
+    copies = salted_join(members, nodes, ["node"], "doc_id").where("rep <> doc_id")
+    links = copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+    links = links.unionByName(of_nodes.select("a", "b"))
     sizes = sized.select(
         F.when(F.col("doc_id") != NO_ID, F.col("doc_id")).alias("doc_id"), "n_shingles"
     )
