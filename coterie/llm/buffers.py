@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 WORD_64 = (1 << 64) - 1
 
 
