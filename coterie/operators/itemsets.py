@@ -376,8 +376,11 @@ def fpgrowth_itemsets(
         .select("items")
     )
     total = transactions.count()
+    if total < needed:  # nothing can be frequent, and FP-growth refuses a share above one
+        empty = f"k int, itemset array<{baskets.schema['item'].dataType.simpleString()}>, support bigint"
+        return baskets.sparkSession.createDataFrame([], empty)
     # half a basket below the count, so that rounding the fraction cannot raise the bound
-    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / max(total, 1)).fit(transactions)
+    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total).fit(transactions)
     found = model.freqItemsets.select(
         F.array_sort("items").alias("itemset"), F.col("freq").alias("support")
     )

@@ -19,27 +19,17 @@ START_THRESHOLD = 400
 
 BASKETS = "WITH " + ORDER_BRANDS_SQL
 
-# Supports of all 1-, 2-, 3- and 4-item sets as (k, itemset, support).
+# Supports of all itemsets as (k, itemset, support).
 SUPPORTS = (
-    BASKETS
+    "WITH RECURSIVE "
+    + ORDER_BRANDS_SQL
     + """,
-supports AS (
-  SELECT 1 AS k, item AS itemset, count(*) AS support FROM baskets GROUP BY item
-  UNION ALL
-  SELECT 2, a.item || ',' || b.item, count(*)
-  FROM baskets a JOIN baskets b ON a.basket_id = b.basket_id AND a.item < b.item
-  GROUP BY a.item, b.item
+subsets AS (
+  SELECT basket_id, item AS last, 1 AS k, item AS itemset FROM baskets
   UNION ALL
-  SELECT 3, a.item || ',' || b.item || ',' || c.item, count(*)
-  FROM baskets a JOIN baskets b ON a.basket_id = b.basket_id AND a.item < b.item
-  JOIN baskets c ON a.basket_id = c.basket_id AND b.item < c.item
-  GROUP BY a.item, b.item, c.item
-  UNION ALL
-  SELECT 4, a.item || ',' || b.item || ',' || c.item || ',' || d.item, count(*)
-  FROM baskets a JOIN baskets b ON a.basket_id = b.basket_id AND a.item < b.item
-  JOIN baskets c ON a.basket_id = c.basket_id AND b.item < c.item
-  JOIN baskets d ON a.basket_id = d.basket_id AND c.item < d.item
-  GROUP BY a.item, b.item, c.item, d.item)"""
+  SELECT s.basket_id, b.item, s.k + 1, s.itemset || ',' || b.item
+  FROM subsets s JOIN baskets b ON s.basket_id = b.basket_id AND s.last < b.item),
+supports AS (SELECT k, itemset, count(*) AS support FROM subsets GROUP BY k, itemset)"""
 )
 
 
@@ -193,10 +183,10 @@ def adaptive_threshold_trace(spark, sf_dir):
     "support_histogram",
     SUPPORTS
     + """ SELECT k, support, count(*) AS n_itemsets FROM supports
-WHERE k <= 2 AND support >= 1 GROUP BY ALL""",
+WHERE support >= 1 GROUP BY ALL""",
 )
 def support_histogram(spark, sf_dir):
-    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), 1, max_k=2)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), 1)
     return ops.support_histogram(found).orderBy("k", "support")
 
 
@@ -227,12 +217,12 @@ def best_itemset_per_k(spark, sf_dir):
     SUPPORTS
     + f""", frequent AS (
   SELECT k, itemset, support, string_split(itemset, ',') AS items FROM supports
-  WHERE support >= {SET_SUPPORT} AND k <= 3)
+  WHERE support >= {SET_SUPPORT})
 SELECT k, itemset, support FROM frequent f WHERE NOT EXISTS (
   SELECT 1 FROM frequent g WHERE g.k = f.k + 1 AND list_has_all(g.items, f.items))""",
 )
 def maximal_itemsets(spark, sf_dir):
-    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT, max_k=3)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT)
     return shown(ops.maximal_itemsets(found))
 
 

@@ -45,7 +45,7 @@ def read_baskets(spark: SparkSession, path: str) -> DataFrame:
 def write_titles(titles: DataFrame, path: str) -> None:
     """``title#year`` lines; titles without a year are left out."""
     dated = titles.where(F.col("year").isNotNull())
-    title = _free_of(F.col("title"))
+    title = _free_of(F.coalesce("title", F.lit("")))
     dated.select(F.concat_ws(FIELD, title, F.col("year").cast("string")).alias("value")).write.text(
         path
     )
@@ -59,15 +59,18 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
         .where(F.col("value").rlike(shape))
         .select(
             F.regexp_extract("value", shape, 1).alias("title"),
-            F.regexp_extract("value", shape, 2).cast("int").alias("year"),
+            F.regexp_extract("value", shape, 2).try_cast("int").alias("year"),
         )
+        .where("year IS NOT NULL")
     )
 
 
 def write_posts(posts: DataFrame, path: str) -> None:
     """(post_id, post_type, body) as ``id#type#body§§§`` lines."""
-    body = _free_of(F.col("body"), FIELD, REPORT_FIELD)
-    line = F.concat(F.concat_ws(FIELD, "post_id", "post_type", body), F.lit(POST_END))
+    # a NULL field is an empty one: left out, it would shift the fields after it
+    fields = [F.coalesce(F.col(name).cast("string"), F.lit("")) for name in ("post_id", "post_type")]
+    body = _free_of(F.coalesce("body", F.lit("")), FIELD, REPORT_FIELD)
+    line = F.concat(F.concat_ws(FIELD, *fields, body), F.lit(POST_END))
     posts.select(line.alias("value")).write.text(path)
 
 

@@ -56,8 +56,9 @@ def record_titles(records: DataFrame, marks: list[str] | None = None) -> DataFra
         .where(F.col("year").isNotNull() & (F.col("year") != ""))
         .select(
             F.regexp_replace("title", "<[^>]*>", "").alias("title"),
-            F.col("year").cast("int").alias("year"),
+            F.col("year").try_cast("int").alias("year"),
         )
+        .where("year IS NOT NULL")
     )
 
 
