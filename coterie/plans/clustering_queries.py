@@ -38,7 +38,9 @@ ENGLISH = ", ".join(quoted(word) for word in ENGLISH_STOP_WORDS)
 PERIOD_CLUSTERS = [50, 75, 50, 60, 30, 65, 50, 55, 65, 80, 80]
 SWEEP = list(range(10, 200, 10))
 SWEEP_YEARS = (1994, 2004)
-STEPS = 3
+# most steps of a clustering, which ends when nothing moves; the fixture needs 7
+STEPS = 10
+SWEEP_STEPS = 3
 EPS = 5
 MIN_SAMPLES = 3
 CUT_HEIGHT = 3
@@ -318,10 +320,10 @@ def cluster_cost(spark, sf_dir):
     return cost.withColumn("cost", F.round("cost", 6))
 
 
-@QUERIES.add("elbow_sweep", SWEEP_POINTS + clustering_sql("k", STEPS) + COST.format("k"))
+@QUERIES.add("elbow_sweep", SWEEP_POINTS + clustering_sql("k", SWEEP_STEPS) + COST.format("k"))
 def elbow_sweep(spark, sf_dir):
     titles = clustroids.in_period(product_titles(spark, sf_dir), *SWEEP_YEARS)
-    return clustroids.elbow_sweep(titles, SWEEP, STEPS).withColumn("cost", F.round("cost", 6))
+    return clustroids.elbow_sweep(titles, SWEEP, SWEEP_STEPS).withColumn("cost", F.round("cost", 6))
 
 
 @QUERIES.add(
