@@ -21,6 +21,9 @@ MAX_CLUSTROIDS = 100_000
 MAX_BROADCAST_TITLES = 500_000
 CANDIDATES_PER_ROUND = 64
 
+# A clustering that still moves after so many steps is an error, never a result.
+MAX_STEPS = 200
+
 Distance = Callable[[Column, Column], Column]
 
 
@@ -212,34 +215,31 @@ def cluster_titles(
     points: DataFrame,
     by: list[str],
     counts: list[tuple],
-    max_steps: int,
+    max_steps: int = MAX_STEPS,
     distance: Distance = levenshtein,
     seed: int = SEED,
 ) -> DataFrame:
     """Points with cluster, clustroid and distance after clustering every group.
 
-    Repeats nearest clustroid and clustroid update until no point moves, at most ``max_steps``
-    assignments. ``points`` is (group, title, weight); ``counts`` is (group, clusters wanted).
+    Repeats nearest clustroid and clustroid update until no point moves, and raises if that takes
+    more than ``max_steps`` assignments. ``points`` is (group, title, weight); ``counts`` is
+    (group, clusters wanted).
     """
     total = cluster_counts(points.sparkSession, by, counts)[2]
     points = cut(points.withColumn("previous", F.lit(-1)))
     clustroids = cut(initial_clustroids(points, by, counts, seed))
-    step = 1
-    while True:
+    for _ in range(max_steps):
         assigned = cut(nearest_clustroid(points, clustroids, by, distance))
-        if step >= max_steps:
-            break
         sizes = assigned.groupBy(*by, "cluster").agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col("cluster") != F.col("previous")).alias("moved"),
         )
         moved, largest = sizes.agg(F.sum("moved"), F.max("n")).first()
         if not moved:
-            break
+            return assigned.drop("previous")
         clustroids = cut(update_clustroids(assigned, by, distance, total, largest))
         points = assigned.select(*by, "title", "weight", F.col("cluster").alias("previous"))
-        step += 1
-    return assigned.drop("previous")
+    raise RuntimeError(f"titles still change clusters after {max_steps} steps")
 
 
 def cluster_cost(assigned: DataFrame, by: list[str]) -> DataFrame:
@@ -250,7 +250,7 @@ def cluster_cost(assigned: DataFrame, by: list[str]) -> DataFrame:
     return per_cluster.groupBy(*by).agg(F.avg("mean_distance").alias("cost"))
 
 
-def elbow_sweep(titles: DataFrame, ks: list[int], max_steps: int) -> DataFrame:
+def elbow_sweep(titles: DataFrame, ks: list[int], max_steps: int = MAX_STEPS) -> DataFrame:
     """(k, cost) for every number of clusters, all clustered in one run with k as the group."""
     each_k = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
     points = weighted_titles(titles, []).select(each_k, "title", "weight")

@@ -66,42 +66,28 @@ def single_linkage_merges(titles: DataFrame, first_radius: int = 2) -> DataFrame
     """(pass, cluster, nearest, distance, merged_into), until one cluster is left.
 
     In each pass every cluster finds its nearest other cluster (ties to the smallest name) and
-    all of them merge. Every title has a radius within which its neighbours are known. A cluster
-    whose nearest known neighbour is not within the radius of all its titles has their radius
-    widened first, so that each pass sees every nearest pair and only outliers look far.
+    all of them merge. Every title has a radius within which its neighbours are known, and a pair
+    is known as soon as one of its ends has looked far enough. Clusters whose nearest neighbour is
+    not certain yet widen their titles' radius first, but for the one with the most titles, which
+    the others may find. Pairs inside a cluster are neither searched for nor kept.
     """
-    points = cut(titles.select("title").distinct())
-    clusters = cut(points.select("title", F.col("title").alias("cluster")))
-    radii = cut(points.select("title", F.lit(first_radius).alias("radius")))
-    edges = cut(both_ways(edit_distance_join(points, first_radius)))
+    clusters = cut(titles.select("title", F.col("title").alias("cluster")).distinct())
+    radii = cut(clusters.select("title", F.lit(first_radius).alias("radius")))
+    edges = cut(both_ways(edit_distance_join(clusters, first_radius)))
     passes = []
     while True:
         outgoing = cut(_nearest_clusters(clusters, radii, edges))
-        remaining, unsettled = outgoing.agg(
+        unsettled = outgoing.where("NOT settled")
+        remaining, open_clusters = outgoing.agg(
             F.count(F.lit(1)), F.count_if(~F.col("settled"))
         ).first()
         if remaining <= 1:
             break
-        if unsettled:
-            # a known neighbour bounds how far a cluster has to look
-            wider = F.least(
-                F.coalesce("distance", F.lit(2**31 - 1)),
-                F.ceil(F.col("radius") * 1.5).cast("int"),
-            )
-            far = outgoing.where("NOT settled").select("cluster", wider.alias("wider"))
-            looking = cut(
-                clusters.join(far, "cluster").join(radii, "title").where("radius < wider")
-            )
-            target = looking.agg(F.max("wider")).first()[0]
-            looking = looking.select("title")
-            found = both_ways(edit_distance_join(points, target, of=looking))
-            edges = cut(edges.unionByName(found).distinct())
-            reached = looking.withColumn("reached", F.lit(target))
-            radii = cut(
-                radii.join(reached, "title", "left").select(
-                    "title", F.greatest("radius", "reached").alias("radius")
-                )
-            )
+        if open_clusters:
+            if open_clusters > 1:
+                waiting = unsettled.agg(F.max(F.struct("titles", "cluster"))).first()[0]
+                unsettled = unsettled.where(F.col("cluster") != waiting["cluster"])
+            edges, radii = _look_farther(clusters, radii, edges, unsettled)
             continue
         names = outgoing.select(F.col("cluster").alias("id"))
         links = outgoing.select(F.col("cluster").alias("a"), F.col("nearest").alias("b"))
@@ -117,52 +103,109 @@ def single_linkage_merges(titles: DataFrame, first_radius: int = 2) -> DataFrame
         clusters = cut(
             clusters.join(merged, "cluster").select("title", F.col("merged_into").alias("cluster"))
         )
+        edges = cut(_between(edges, clusters).select(*edges.columns))
     schema = "pass int, cluster string, nearest string, distance int, merged_into string"
     none = titles.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, passes, none)
 
 
-def _nearest_clusters(clusters: DataFrame, radii: DataFrame, edges: DataFrame) -> DataFrame:
-    """Per cluster its nearest known other cluster, the smallest radius of its titles, and
-    whether that neighbour is certain to be the nearest."""
+def _between(edges: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The edges between different clusters, with ``cluster`` and ``other``."""
     of_neighbour = clusters.select(
         F.col("title").alias("neighbour"), F.col("cluster").alias("other")
     )
-    best = (
+    return (
         edges.join(clusters, "title")
         .join(of_neighbour, "neighbour")
         .where(F.col("cluster") != F.col("other"))
+    )
+
+
+def _look_farther(
+    clusters: DataFrame, radii: DataFrame, edges: DataFrame, unsettled: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Edges and radii after the titles of the given clusters have looked farther.
+
+    A known neighbour bounds how far a cluster looks; without one the radius grows by half.
+    """
+    wider = F.least(
+        F.coalesce("distance", F.lit(2**31 - 1)), F.ceil(F.col("radius") * 1.5).cast("int")
+    )
+    looking = cut(
+        clusters.join(unsettled.select("cluster", wider.alias("wider")), "cluster")
+        .join(radii, "title")
+        .where("radius < wider")
+        .select("title", "wider")
+    )
+    # the radii are few: edit distances reached by steps of one half
+    for (radius,) in looking.select("wider").distinct().orderBy("wider").collect():
+        those = looking.where(F.col("wider") == radius)
+        found = both_ways(edit_distance_join(clusters, radius, of=those, apart="cluster"))
+        edges = edges.unionByName(found)
+    reached = radii.join(looking, "title", "left").select(
+        "title", F.greatest("radius", "wider").alias("radius")
+    )
+    return cut(edges.distinct()), cut(reached)
+
+
+def _nearest_clusters(clusters: DataFrame, radii: DataFrame, edges: DataFrame) -> DataFrame:
+    """Per cluster its nearest known other cluster, number of titles and their smallest radius,
+    and whether that neighbour is certain to be the nearest.
+
+    A pair that is not known lies beyond the radius of both ends, so beyond the smallest radius
+    inside the cluster and beyond the smallest one outside of it.
+    """
+    best = (
+        _between(edges, clusters)
         .groupBy("cluster")
         .agg(F.min(F.struct("distance", "other")).alias("best"))
     )
-    known = clusters.join(radii, "title").groupBy("cluster").agg(F.min("radius").alias("radius"))
-    return known.join(best, "cluster", "left").select(
+    own = cut(
+        clusters.join(radii, "title")
+        .groupBy("cluster")
+        .agg(F.min("radius").alias("radius"), F.count(F.lit(1)).alias("titles"))
+    )
+    lowest = own.orderBy("radius", "cluster").limit(2).collect()
+    if len(lowest) < 2:
+        outside = F.col("radius")
+    else:
+        outside = F.when(
+            F.col("cluster") == lowest[0]["cluster"], F.lit(lowest[1]["radius"])
+        ).otherwise(F.lit(lowest[0]["radius"]))
+    known = F.greatest(F.col("radius"), outside)
+    return own.join(best, "cluster", "left").select(
         "cluster",
-        "radius",
+        "titles",
+        known.alias("radius"),
         F.col("best.other").alias("nearest"),
         F.col("best.distance").alias("distance"),
-        F.coalesce(F.col("best.distance") <= F.col("radius"), F.lit(False)).alias("settled"),
+        F.coalesce(F.col("best.distance") <= known, F.lit(False)).alias("settled"),
     )
 
 
 def affinity_propagation(
+    titles: DataFrame,
     similarities: DataFrame,
     preference: float | None = None,
     damping: float = 0.5,
     max_steps: int = 200,
     stable_steps: int = 15,
 ) -> DataFrame:
-    """(title, exemplar): exemplars by message passing over listed similarities.
+    """(title, exemplar) for every distinct title, by message passing over listed similarities.
 
     ``similarities`` is (title, neighbour, similarity) in both directions; pairs not listed
-    cannot choose each other. The preference defaults to the median of the similarities. Stops
-    when the exemplars have not changed for ``stable_steps`` steps. Each step needs minima and
-    maxima per title and a sum per neighbour, all of which merge map-side.
+    cannot choose each other. The preference defaults to the median of the similarities. Ends
+    when the exemplars have not changed for ``stable_steps`` steps and raises if ``max_steps``
+    pass before. Exemplars are their own; another title takes the most similar listed exemplar
+    (ties to the smallest), and one that lists none is its own. Each step needs minima and maxima
+    per title and a sum per neighbour, all of which merge map-side.
     """
+    titles = titles.select("title").distinct()
+    if similarities.isEmpty():
+        return titles.select("title", F.col("title").alias("exemplar"))
     if preference is None:
-        preference = similarities.agg(F.median("similarity")).first()[0] or 0.0
-    titles = similarities.select("title").distinct()
-    own = titles.select(
+        preference = similarities.agg(F.median("similarity")).first()[0]
+    own = similarities.select("title").distinct().select(
         "title",
         F.col("title").alias("neighbour"),
         F.lit(float(preference)).alias("similarity"),
@@ -176,15 +219,30 @@ def affinity_propagation(
     stable, before = 0, None
     for _ in range(max_steps):
         messages = cut(_pass_messages(messages, damping))
-        chosen = messages.where((F.col("title") == F.col("neighbour")) & (F.col("r") + F.col("a") > 0))
-        now = tuple(chosen.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("title"))).first())
+        exemplars = messages.where(
+            (F.col("title") == F.col("neighbour")) & (F.col("r") + F.col("a") > 0)
+        )
+        now = tuple(
+            exemplars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("title"))).first()
+        )
         stable = stable + 1 if now == before else 0
         before = now
         if stable >= stable_steps and now[0] > 0:
             break
-    best = F.min(F.struct((-(F.col("a") + F.col("r"))).alias("total"), "neighbour")).alias("best")
-    return messages.groupBy("title").agg(best).select(
-        "title", F.col("best.neighbour").alias("exemplar")
+    else:
+        raise RuntimeError(f"exemplars still change after {max_steps} steps")
+    order = F.struct(
+        (F.col("title") != F.col("neighbour")).alias("other"),
+        (-F.col("similarity")).alias("away"),
+        "neighbour",
+    )
+    best = (
+        salted_join(messages, exemplars.select("neighbour"), ["neighbour"], "title")
+        .groupBy("title")
+        .agg(F.min(order).alias("best"))
+    )
+    return titles.join(best, "title", "left").select(
+        "title", F.coalesce("best.neighbour", "title").alias("exemplar")
     )
 
 

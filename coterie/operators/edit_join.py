@@ -15,11 +15,12 @@ def _segment(length: Column, part: Column, n_parts: int) -> tuple[Column, Column
 
 
 def _indexed(distinct: DataFrame, eps: int) -> DataFrame:
-    """(short, size, part, segment): the eps + 1 segments of each title."""
+    """(short, short_side, size, part, segment): the eps + 1 segments of each title."""
     start, length = _segment(F.col("size"), F.col("part"), eps + 1)
     parts = F.explode(F.sequence(F.lit(0), F.lit(eps))).alias("part")
-    return distinct.select("title", "size", parts).select(
+    return distinct.select("title", "size", "side", parts).select(
         F.col("title").alias("short"),
+        F.col("side").alias("short_side"),
         "size",
         "part",
         F.substring(F.col("title"), start + 1, length).alias("segment"),
@@ -27,7 +28,7 @@ def _indexed(distinct: DataFrame, eps: int) -> DataFrame:
 
 
 def _probes(distinct: DataFrame, eps: int) -> DataFrame:
-    """(long, size, part, segment): the substrings of each title that a segment of a title of
+    """(long, long_side, size, part, segment): the substrings of each title that a segment of a title of
     length ``size`` can have become, given how far ``eps`` edits can shift it."""
     start, length = _segment(F.col("size"), F.col("part"), eps + 1)
     shift = F.col("long_size") - F.col("size")
@@ -38,26 +39,32 @@ def _probes(distinct: DataFrame, eps: int) -> DataFrame:
     parts = F.explode(F.sequence(F.lit(0), F.lit(eps))).alias("part")
     return (
         distinct.select(
-            F.col("title").alias("long"), F.col("size").alias("long_size"), sizes.alias("size")
+            F.col("title").alias("long"),
+            F.col("side").alias("long_side"),
+            F.col("size").alias("long_size"),
+            sizes.alias("size"),
         )
         .select("*", parts)
         .select("*", length.alias("length"), low.alias("low"), high.alias("high"))
         .select(
-            "long", "size", "part", "length",
+            "long", "long_side", "size", "part", "length",
             F.explode(F.when(F.col("low") <= F.col("high"), F.sequence("low", "high"))).alias("at"),
         )
         .select(
-            "long", "size", "part",
+            "long", "long_side", "size", "part",
             F.substring(F.col("long"), F.col("at") + 1, F.col("length")).alias("segment"),
         )
     )
 
 
-def edit_distance_join(titles: DataFrame, eps: int, of: DataFrame | None = None) -> DataFrame:
+def edit_distance_join(
+    titles: DataFrame, eps: int, of: DataFrame | None = None, apart: str | None = None
+) -> DataFrame:
     """All pairs of different titles within Levenshtein distance ``eps``.
 
     Returns (title_a, title_b, distance) with title_a < title_b; with ``of``, only the pairs
-    that have a title of that subset. Of two strings within ``eps`` edits, the longer one holds
+    that have a title of that subset; with ``apart``, only the pairs that differ in that column,
+    which the titles then determine and which others never leave the join. Of two strings within ``eps`` edits, the longer one holds
     at least one of the shorter one's ``eps + 1`` segments unchanged, at a position that the
     other edits can explain; joining on (length, segment number, segment text) therefore misses
     no pair and compares no pair without such a match. Candidates are verified where they meet,
@@ -65,16 +72,20 @@ def edit_distance_join(titles: DataFrame, eps: int, of: DataFrame | None = None)
     """
     key = ["size", "part", "segment"]
     # both sides of the join read the titles, so they are computed once
-    every = cut(titles.select("title").distinct().withColumn("size", F.length("title")))
+    side = (F.lit(None).cast("string") if apart is None else F.col(apart)).alias("side")
+    every = titles.select("title", side).distinct().withColumn("size", F.length("title"))
+    every = cut(every)
     if of is None:
         met = _indexed(every, eps).join(_probes(every, eps), key)
     else:
-        some = of.select("title").distinct().withColumn("size", F.length("title"))
+        some = every.join(of.select("title"), "title", "left_semi")
         met = _indexed(every, eps).join(_probes(some, eps), key)
         met = met.unionByName(_indexed(some, eps).join(_probes(every, eps), key))
     once = (F.length("long") > F.col("size")) | (F.col("short") < F.col("long"))
     if of is not None:
         once = F.lit(True)
+    if apart is not None:
+        once = once & ~F.col("short_side").eqNullSafe(F.col("long_side"))
     return (
         met.where(once & (F.col("short") != F.col("long")))
         .select(

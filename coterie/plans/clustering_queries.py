@@ -38,13 +38,13 @@ ENGLISH = ", ".join(quoted(word) for word in ENGLISH_STOP_WORDS)
 PERIOD_CLUSTERS = [50, 75, 50, 60, 30, 65, 50, 55, 65, 80, 80]
 SWEEP = list(range(10, 200, 10))
 SWEEP_YEARS = (1994, 2004)
-# most steps of a clustering, which ends when nothing moves; the fixture needs 7
-STEPS = 10
-SWEEP_STEPS = 3
+# steps written out in SQL; the clusterings end when nothing moves, after 7 steps on the fixtures
+SQL_STEPS = 10
 EPS = 5
 MIN_SAMPLES = 3
 CUT_HEIGHT = 3
-MESSAGE_STEPS = 8
+# steps written out in SQL; the messages are passed until the exemplars are stable
+SQL_MESSAGE_STEPS = 20
 LINKAGE_PASSES = 6
 
 TITLES = "WITH RECURSIVE " + PRODUCT_TITLES_SQL
@@ -99,7 +99,7 @@ clustroids_{step + 1} AS MATERIALIZED (
     return text + f", assigned AS (SELECT * FROM assigned_{steps})"
 
 
-CLUSTERED = PERIODS + clustering_sql("period_start", STEPS)
+CLUSTERED = PERIODS + clustering_sql("period_start", SQL_STEPS)
 WORD_COUNTS = (
     CLUSTERED
     + f""",
@@ -191,8 +191,15 @@ messages_{i} AS MATERIALIZED (
   FROM responded_{i} JOIN support_{i} USING (neighbour))"""
     return (
         text
-        + f""" SELECT title, neighbour AS exemplar FROM messages_{steps}
-QUALIFY row_number() OVER (PARTITION BY title ORDER BY a + r DESC, neighbour) = 1"""
+        + f""",
+exemplars AS (
+  SELECT neighbour FROM messages_{steps} WHERE title = neighbour AND a + r > 0),
+best AS (
+  SELECT title, neighbour FROM messages_{steps} JOIN exemplars USING (neighbour)
+  QUALIFY row_number() OVER (
+    PARTITION BY title ORDER BY title <> neighbour, s DESC, neighbour) = 1)
+SELECT title, coalesce(neighbour, title) AS exemplar
+FROM part_titles LEFT JOIN best USING (title)"""
     )
 
 
@@ -212,7 +219,7 @@ def period_counts(titles):
 
 def clustered_titles(spark, sf_dir):
     counts = period_counts(product_titles(spark, sf_dir))
-    return clustroids.cluster_titles(period_points(spark, sf_dir), ["period_start"], counts, STEPS)
+    return clustroids.cluster_titles(period_points(spark, sf_dir), ["period_start"], counts)
 
 
 def first_assignment(spark, sf_dir):
@@ -320,10 +327,10 @@ def cluster_cost(spark, sf_dir):
     return cost.withColumn("cost", F.round("cost", 6))
 
 
-@QUERIES.add("elbow_sweep", SWEEP_POINTS + clustering_sql("k", SWEEP_STEPS) + COST.format("k"))
+@QUERIES.add("elbow_sweep", SWEEP_POINTS + clustering_sql("k", SQL_STEPS) + COST.format("k"))
 def elbow_sweep(spark, sf_dir):
     titles = clustroids.in_period(product_titles(spark, sf_dir), *SWEEP_YEARS)
-    return clustroids.elbow_sweep(titles, SWEEP, SWEEP_STEPS).withColumn("cost", F.round("cost", 6))
+    return clustroids.elbow_sweep(titles, SWEEP).withColumn("cost", F.round("cost", 6))
 
 
 @QUERIES.add(
@@ -458,12 +465,12 @@ def single_linkage_cut(spark, sf_dir):
     return density.single_linkage_cut(part_titles(spark, sf_dir), CUT_HEIGHT)
 
 
-@QUERIES.add("affinity_propagation", messages_sql(MESSAGE_STEPS))
+@QUERIES.add("affinity_propagation", messages_sql(SQL_MESSAGE_STEPS))
 def affinity_propagation(spark, sf_dir):
-    pairs = both_ways(edit_distance_join(part_titles(spark, sf_dir), EPS))
+    titles = part_titles(spark, sf_dir)
+    pairs = both_ways(edit_distance_join(titles, EPS))
     listed = pairs.select("title", "neighbour", (-F.col("distance")).alias("similarity"))
-    return density.affinity_propagation(density.cut(listed), max_steps=MESSAGE_STEPS)
-
+    return density.affinity_propagation(titles, density.cut(listed))
 
 
 TFIDF = f"""WITH terms AS (

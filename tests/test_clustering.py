@@ -120,6 +120,29 @@ def test_single_linkage_passes(spark, words):
     assert max(row["pass"] for row in found) == step
 
 
+def test_far_clusters_are_found_without_pairs_inside_them(spark, monkeypatch):
+    near = ["a" * i + "b" + "a" * (13 - i) for i in range(14)]
+    far = ["z" * i + "y" + "z" * (13 - i) for i in range(14)]
+    searches = []
+
+    def counted(points, eps, **options):
+        found = density.cut(edit_distance_join(points, eps, **options))
+        searches.append((eps, found.select("title_a", "title_b").collect()))
+        return found
+
+    monkeypatch.setattr(density, "edit_distance_join", counted)
+    found = density.single_linkage_merges(titles(spark, near + far)).collect()
+    assert max(row["distance"] for row in found) == 14
+    eps, pairs = searches[-1]
+    assert eps == 14 and all(a < "y" <= b for a, b in pairs)
+
+
+def test_clustering_that_still_moves_is_an_error(spark, words):
+    points = titles(spark, words).select(F.lit(0).alias("g"), "title", F.lit(1).alias("weight"))
+    with pytest.raises(RuntimeError, match="still change"):
+        clustroids.cluster_titles(points, ["g"], [(0, 2)], max_steps=1)
+
+
 def test_components_of_a_long_path(spark):
     n = 40
     vertices = spark.range(n + 1)
@@ -135,9 +158,12 @@ def test_affinity_propagation_finds_the_centres(spark):
     for centre, other in centres.items():
         for i in range(4):
             expected[centre[:i] + other + centre[i + 1 :]] = centre
-    pairs = both_ways(edit_distance_join(titles(spark, sorted(expected)), 7))
+    alone = "0123456789abcdefghij"
+    expected[alone] = alone
+    points = titles(spark, sorted(expected))
+    pairs = both_ways(edit_distance_join(points, 7))
     listed = pairs.select("title", "neighbour", (-F.col("distance")).alias("similarity"))
-    found = density.affinity_propagation(density.cut(listed), max_steps=12).collect()
+    found = density.affinity_propagation(points, density.cut(listed), stable_steps=4).collect()
     assert {row["title"]: row["exemplar"] for row in found} == expected
 
 
