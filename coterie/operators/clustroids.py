@@ -211,15 +211,15 @@ def _search_clustroids(
             return best
 
 
-def cluster_titles(
+def settle(
     points: DataFrame,
     by: list[str],
     counts: list[tuple],
     max_steps: int = MAX_STEPS,
     distance: Distance = levenshtein,
     seed: int = SEED,
-) -> DataFrame:
-    """Points with cluster, clustroid and distance after clustering every group.
+) -> tuple[DataFrame, int]:
+    """Points with cluster, clustroid and distance after clustering every group, and the steps.
 
     Repeats nearest clustroid and clustroid update until no point moves, and raises if that takes
     more than ``max_steps`` assignments. ``points`` is (group, title, weight); ``counts`` is
@@ -228,7 +228,7 @@ def cluster_titles(
     total = cluster_counts(points.sparkSession, by, counts)[2]
     points = cut(points.withColumn("previous", F.lit(-1)))
     clustroids = cut(initial_clustroids(points, by, counts, seed))
-    for _ in range(max_steps):
+    for step in range(1, max_steps + 1):
         assigned = cut(nearest_clustroid(points, clustroids, by, distance))
         sizes = assigned.groupBy(*by, "cluster").agg(
             F.count(F.lit(1)).alias("n"),
@@ -236,12 +236,17 @@ def cluster_titles(
         )
         moved, largest = sizes.agg(F.sum("moved"), F.max("n")).first()
         if not moved:
-            return assigned.drop("previous")
+            return assigned.drop("previous"), step
         clustroids = cut(update_clustroids(assigned, by, distance, total, largest))
         points = assigned.select(*by, "title", "weight", F.col("cluster").alias("previous"))
     raise RuntimeError(f"titles still change clusters after {max_steps} steps")
 
 
+def cluster_titles(points: DataFrame, by: list[str], counts: list[tuple], **options) -> DataFrame:
+    """Points with cluster, clustroid and distance; the options are those of ``settle``."""
+    return settle(points, by, counts, **options)[0]
+
+
 def cluster_cost(assigned: DataFrame, by: list[str]) -> DataFrame:
     """Mean over a group's clusters of the mean distance of their titles to the clustroid."""
     per_cluster = assigned.groupBy(*by, "cluster").agg(
@@ -254,7 +259,7 @@ def elbow_sweep(titles: DataFrame, ks: list[int], max_steps: int = MAX_STEPS) ->
     """(k, cost) for every number of clusters, all clustered in one run with k as the group."""
     each_k = F.explode(F.array(*[F.lit(k) for k in ks])).alias("k")
     points = weighted_titles(titles, []).select(each_k, "title", "weight")
-    assigned = cluster_titles(points, ["k"], [(k, k) for k in ks], max_steps)
+    assigned = cluster_titles(points, ["k"], [(k, k) for k in ks], max_steps=max_steps)
     return cluster_cost(assigned, ["k"])
 
 

@@ -217,9 +217,14 @@ def period_counts(titles):
     ]
 
 
-def clustered_titles(spark, sf_dir):
+def settled_titles(spark, sf_dir):
+    """The clustered titles of all periods and the number of steps."""
     counts = period_counts(product_titles(spark, sf_dir))
-    return clustroids.cluster_titles(period_points(spark, sf_dir), ["period_start"], counts)
+    return clustroids.settle(period_points(spark, sf_dir), ["period_start"], counts)
+
+
+def clustered_titles(spark, sf_dir):
+    return settled_titles(spark, sf_dir)[0]
 
 
 def first_assignment(spark, sf_dir):

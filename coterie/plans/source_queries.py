@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from coterie.functions.text import ENGLISH_STOP_WORDS, content_words
 from coterie.operators.lineage import scratch_path
 from coterie.plans.clustering_queries import CLUSTERED, PRODUCT_TITLES_SQL, cleaned_sql
-from coterie.plans.clustering_queries import clustered_titles
+from coterie.plans.clustering_queries import settled_titles
 from coterie.plans.registry import Registry
 from coterie.plans.tables import ORDER_BRANDS_SQL, order_brands, posts, product_titles, table
 from coterie.sources import lines, xml
@@ -73,10 +73,9 @@ def io_post_text_roundtrip(spark, sf_dir):
 )
 def io_cluster_report_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "reports")
-    assigned = clustered_titles(spark, sf_dir).withColumn(
-        "period_end", F.col("period_start") + 10
-    )
-    lines.write_cluster_reports(assigned, path)
+    assigned, steps = settled_titles(spark, sf_dir)
+    assigned = assigned.withColumn("period_end", F.col("period_start") + 10)
+    lines.write_cluster_reports(assigned, path, steps)
     listed = lines.read_cluster_reports(spark, path)
     return listed.groupBy(*listed.columns).agg(F.count(F.lit(1)).alias("n_listed"))
 
@@ -100,11 +99,14 @@ def src_xml_baskets(spark, sf_dir):
     "WITH " + PRODUCT_TITLES_SQL + " SELECT title, year FROM titles WHERE year % 2 = 0",
 )
 def src_xml_titles(spark, sf_dir):
-    """Titles as records whose address names a wanted venue in the even years."""
+    """Titles as records that cite a wanted venue in the even years."""
     path = scratch_path(spark, "records")
     venue = F.when(F.col("year") % 2 == 0, F.lit("db/conf/vldb")).otherwise(F.lit("db/conf/other"))
     records = product_titles(spark, sf_dir).select(
-        "title", F.col("year").cast("string").alias("year"), venue.alias("url")
+        F.concat_ws("/", "title", "year").alias("_key"),
+        "title",
+        F.col("year").cast("string").alias("year"),
+        venue.alias("cite"),
     )
     xml.write_records(records, path, "article")
     return xml.record_titles(xml.read_records(spark, path, ["article"]))

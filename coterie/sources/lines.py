@@ -24,14 +24,13 @@ def _free_of(value: Column, *delimiters: str) -> Column:
 
 def write_baskets(baskets: DataFrame, path: str) -> None:
     """(basket_id, item) rows as one ``#``-joined line per basket; baskets have no empty line."""
-    lines = baskets.groupBy("basket_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sort_array(F.collect_list(_free_of(F.col("item"), FIELD))).alias("items"),
-    )
-    checked = F.when(
-        F.col("n") > MAX_LINE_ITEMS, F.raise_error(F.lit("basket too large for a line"))
-    ).otherwise(F.array_join("items", FIELD))
-    lines.select(checked.cast("string").alias("value")).where("value <> ''").write.text(path)
+    sizes = baskets.groupBy("basket_id").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.agg(F.max("n")).first()[0]
+    if largest is not None and largest > MAX_LINE_ITEMS:
+        raise ValueError(f"a basket of {largest} items is too large for a line")
+    items = F.sort_array(F.collect_list(_free_of(F.col("item"), FIELD)))
+    lines = baskets.groupBy("basket_id").agg(F.array_join(items, FIELD).alias("value"))
+    lines.select("value").where("value <> ''").write.text(path)
 
 
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
@@ -88,24 +87,34 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_cluster_reports(assigned: DataFrame, path: str) -> None:
+def write_cluster_reports(assigned: DataFrame, path: str, steps: int | None = None) -> None:
     """A folder per period: ``#`` header lines, then ``cluster§clustroid§title§title...``.
 
     ``assigned`` is (period_start, period_end, cluster, clustroid, title, weight). A cluster
     takes as many lines as it needs for about ``TITLES_PER_LINE`` titles each, so a line stays
-    small whatever the cluster's size. A title is listed once per occurrence.
+    small whatever the cluster's size. A title is listed once per occurrence. ``steps`` is the
+    number of steps the clustering took, for the header.
     """
     key = ["period_start", "cluster", "clustroid"]
     sizes = assigned.groupBy(*key).agg(
-        F.ceil(F.count(F.lit(1)) / TITLES_PER_LINE).alias("n_lines")
+        F.ceil(F.sum("weight") / TITLES_PER_LINE).alias("n_lines")
+    )
+    # a frequent title is listed in parts, which may go to different lines
+    last_part = F.floor((F.col("weight") - 1) / TITLES_PER_LINE).cast("int")
+    parts = assigned.where("weight > 0").select(
+        *key, "title", "weight", F.explode(F.sequence(F.lit(0), last_part)).alias("part")
     )
+    left = F.col("weight") - F.col("part") * TITLES_PER_LINE
     # one row per cluster: bounded by the number of clustroids
-    listed = assigned.join(F.broadcast(sizes), key).withColumn(
-        "line", F.pmod(F.xxhash64("title"), "n_lines")
+    listed = parts.join(F.broadcast(sizes), key).select(
+        *key,
+        "title",
+        F.least(left, F.lit(TITLES_PER_LINE)).cast("int").alias("times"),
+        F.pmod(F.xxhash64("title", "part"), "n_lines").alias("line"),
     )
     title = _free_of(F.col("title"), REPORT_FIELD)
     members = listed.groupBy(*key, "line").agg(
-        F.flatten(F.collect_list(F.array_repeat(title, F.col("weight").cast("int")))).alias("t")
+        F.flatten(F.collect_list(F.array_repeat(title, F.col("times")))).alias("t")
     )
     lines = members.select(
         "period_start",
@@ -125,6 +134,7 @@ def write_cluster_reports(assigned: DataFrame, path: str) -> None:
                     ).alias("value")
                 ),
                 F.struct(F.concat(F.lit("# titles: "), "titles").alias("value")),
+                *([] if steps is None else [F.struct(F.lit(f"# steps: {steps}").alias("value"))]),
             )
         ),
     )
@@ -146,17 +156,22 @@ def read_cluster_reports(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def write_group_contents(contents: DataFrame, path: str) -> None:
-    """A folder per candidate group with its numbered bodies.
+def write_group_contents(contents: DataFrame, path: str, folders: int = 256) -> None:
+    """The numbered bodies of candidate groups, group after group, in ``folders`` folders.
 
-    ``contents`` is (band, bucket, body_no, body). Rows are range-partitioned by group and
-    number, so a group of any size is written by as many tasks as it needs.
+    ``contents`` is (band, bucket, body_no, body); a group's folder is a hash of its band and
+    bucket. Rows are range-partitioned by group and number, so a group of any size is written by
+    as many tasks as it needs.
     """
-    block = F.concat(F.lit("Body "), "body_no", F.lit(":\n"), "body", F.lit("\n"))
+    order = ["folder", "band", "bucket", "body_no"]
+    heading = F.format_string("Group %d/%d, Body %d:\n", "band", "bucket", "body_no")
+    block = F.concat(heading, F.coalesce("body", F.lit("")), F.lit("\n"))
+    folder = F.pmod(F.xxhash64("band", "bucket"), F.lit(folders)).cast("int")
     (
-        contents.repartitionByRange("band", "bucket", "body_no")
-        .sortWithinPartitions("band", "bucket", "body_no")
-        .select("band", "bucket", block.alias("value"))
-        .write.partitionBy("band", "bucket")
+        contents.withColumn("folder", folder)
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .select("folder", block.alias("value"))
+        .write.partitionBy("folder")
         .text(path)
     )

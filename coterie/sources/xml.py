@@ -1,18 +1,11 @@
 """The two public XML dumps: bibliography records and question-and-answer posts."""
 
-import html
 from functools import reduce
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Record elements of the bibliography dump.
-RECORD_TAGS = [
-    "article", "inproceedings", "proceedings", "book",
-    "incollection", "phdthesis", "mastersthesis", "www",
-]
-
 # Marks of the wanted venues in a record's text.
 VENUE_MARKS = ["/SIGMOD", "/sigmod", "/vldb", "/edbt", "/icde"]
 
@@ -21,18 +14,69 @@ RECORD_SCHEMA = (
     "url string, ee array<string>, journal string, booktitle string, crossref string"
 )
 POST_SCHEMA = "_Id string, _PostTypeId string, _Body string"
-PREDEFINED = "&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]*;"
+
+# Entities that every XML parser knows; they stay as they are.
+PREDEFINED = ["amp", "lt", "gt", "quot", "apos"]
+
+# What follows a record's opening `` key="``: the key, the children, the closing tag and then
+# either the beginning of the next record or the end of the file.
+RECORD_REST = (
+    r'(?s)^([^"]*)"[^>]*>(.*)</([A-Za-z_][A-Za-z0-9_]*)>(?:\s*<!--.*?-->)*\s*'
+    r"(?:<[^<>/!][^<>]*|</[^<>]*>\s*)$"
+)
+
+
+def named_entities_decoded(text: Column) -> Column:
+    """Named entities such as ``&ouml;`` as their characters, in text that is still XML.
+
+    The dumps declare them in a DTD that the XML reader does not see. The five predefined ones
+    stay, and an unknown name keeps its letters behind an escaped ampersand.
+    """
+    names = [name for name in sorted(name2codepoint) if name not in PREDEFINED]
+    characters = F.create_map(
+        *[F.lit(value) for name in names for value in (name, chr(name2codepoint[name]))]
+    )
+
+    def decoded(part: Column) -> Column:
+        name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]*);", 1)
+        rest = F.substr(part, F.length(name) + 2)
+        return (
+            F.when((name == "") | name.isin(PREDEFINED), F.concat(F.lit("&"), part))
+            .when(F.map_contains_key(characters, name), F.concat(characters[name], rest))
+            .otherwise(F.concat(F.lit("&amp;"), part))
+        )
+
+    parts = F.split(text, "&")
+    later = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    whole = F.concat(parts[0], F.array_join(later, ""))
+    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
 
 
 def read_records(
     spark: SparkSession, path: str, tags: list[str] | None = None, schema: str = RECORD_SCHEMA
 ) -> DataFrame:
-    """Bibliography records of the given types with their tag; every record is a row of its own."""
-    frames = []
-    for tag in tags or RECORD_TAGS:
-        records = spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
-        frames.append(records.withColumn("record_type", F.lit(tag)))
-    return reduce(DataFrame.unionByName, frames)
+    """Bibliography records with ``record_type`` and ``text``, the text of all child elements.
+
+    Every element with a ``key`` attribute is a record, whatever its name; ``tags`` selects some.
+    The dump is split where keys begin, so one scan finds all types and a record may cross the
+    file splits. Records without child elements give no row.
+    """
+    rest = spark.read.option("lineSep", ' key="').text(path).where(F.col("value").rlike(RECORD_REST))
+    found = rest.select(
+        F.regexp_extract("value", RECORD_REST, 1).alias("key"),
+        named_entities_decoded(F.regexp_extract("value", RECORD_REST, 2)).alias("children"),
+        F.regexp_extract("value", RECORD_REST, 3).alias("record_type"),
+    )
+    if tags is not None:
+        found = found.where(F.col("record_type").isin(tags))
+    element = F.concat(
+        F.lit('<record key="'), "key", F.lit('">'), "children", F.lit("</record>")
+    )
+    return found.select(
+        F.from_xml(element, schema).alias("record"),
+        "record_type",
+        F.regexp_replace("children", "<[^>]*>", " ").alias("text"),
+    ).select("record.*", "record_type", "text")
 
 
 def record_baskets(records: DataFrame) -> DataFrame:
@@ -48,11 +92,9 @@ def mentions(text: Column, marks: list[str]) -> Column:
 
 
 def record_titles(records: DataFrame, marks: list[str] | None = None) -> DataFrame:
-    """(title, year) of the records of the wanted venues that have a year; markup stripped."""
-    columns = ["title", "year", "url", "journal", "booktitle", "crossref"]
-    text = F.concat_ws(" ", "author", "ee", *columns)
+    """(title, year) of the records with a year that name a wanted venue in any child element."""
     return (
-        records.where(mentions(text, marks or VENUE_MARKS))
+        records.where(mentions(F.col("text"), marks or VENUE_MARKS))
         .where(F.col("year").isNotNull() & (F.col("year") != ""))
         .select(
             F.regexp_replace("title", "<[^>]*>", "").alias("title"),
@@ -72,20 +114,6 @@ def read_xml_posts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def decode_named_entities(spark: SparkSession, path: str, out: str) -> None:
-    """Copy an XML dump with named entities such as ``&ouml;`` replaced by their characters.
-
-    The entities are declared in a DTD that the XML reader does not see; the five predefined
-    ones stay as they are.
-    """
-
-    @F.pandas_udf("string")
-    def decode(lines: pd.Series) -> pd.Series:
-        return lines.str.replace(PREDEFINED, lambda found: html.unescape(found[0]), regex=True)
-
-    spark.read.text(path).select(decode("value").alias("value")).write.text(out)
-
-
 def write_records(records: DataFrame, path: str, tag: str) -> None:
     records.write.format("xml").option("rootTag", "dblp").option("rowTag", tag).save(path)
 

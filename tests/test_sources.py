@@ -13,6 +13,12 @@ DUMP = """<?xml version="1.0"?>
 <article key="j/2"><author>D</author><title>No year</title><url>db/conf/icde/2</url></article>
 <book key="b/1"><author>E</author><title>Other venue</title><year>2001</year></book>
 <www key="w/1"><title>Home</title></www>
+<!-- a type that no list names -->
+<dataset mdate="2020-01-01"
+ key="x/1"><author>F &unknown; &LT;</author><title>Cited</title>
+<year>2002</year><cite>conf/vldb/x</cite></dataset>
+<book key="b/2"><author>G</author><title>Bad year</title><year>99999999999</year>
+<note>/vldb</note></book><www key="w/2"/>
 </dblp>
 """
 
@@ -20,12 +26,30 @@ DUMP = """<?xml version="1.0"?>
 def test_bibliography_dump(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "dump.xml").write_text(DUMP)
-    decoded = str(tmp_path / "decoded")
-    xml.decode_named_entities(spark, str(tmp_path / "in"), decoded)
-    records = xml.read_records(spark, decoded)
+    records = xml.read_records(spark, str(tmp_path / "in"))
     baskets = sorted(tuple(r) for r in xml.record_baskets(records).collect())
-    assert baskets == [("b/1", "E"), ("j/1", "A. Müller"), ("j/1", "B & C"), ("j/2", "D")]
-    assert [tuple(r) for r in xml.record_titles(records).collect()] == [("On x and y.", 1999)]
+    assert baskets == [
+        ("b/1", "E"), ("b/2", "G"), ("j/1", "A. Müller"), ("j/1", "B & C"), ("j/2", "D"),
+        ("x/1", "F &unknown; &LT;"),
+    ]
+    assert sorted(tuple(r) for r in xml.record_titles(records).collect()) == [
+        ("Cited", 2002), ("On x and y.", 1999),
+    ]
+    only = xml.read_records(spark, str(tmp_path / "in"), ["dataset"])
+    assert [r["_key"] for r in only.collect()] == ["x/1"]
+
+
+def test_records_cross_file_splits(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    records = [f'<article key="k/{i}"><author>n{i}</author></article>' for i in range(2000)]
+    text = "<dblp>\n" + "\n".join(records) + "\n</dblp>\n"
+    (tmp_path / "in" / "dump.xml").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1000)
+    try:
+        read = xml.record_baskets(xml.read_records(spark, str(tmp_path / "in"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, read)) == sorted((f"k/{i}", f"n{i}") for i in range(2000))
 
 
 def test_line_formats_refuse_their_delimiter(spark, tmp_path):
@@ -66,14 +90,27 @@ def test_reports_split_long_clusters_over_lines(spark, tmp_path, monkeypatch):
     assert sorted(r["title"] for r in read.collect()) == sorted([f"t{i}" for i in range(10)] * 2)
 
 
+def test_reports_split_a_frequent_title(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lines, "TITLES_PER_LINE", 3)
+    schema = "period_start int, period_end int, cluster int, clustroid string, title string, weight bigint"
+    path = str(tmp_path / "reports")
+    lines.write_cluster_reports(
+        spark.createDataFrame([(1990, 2000, 0, "t", "t", 50)], schema), path, steps=4
+    )
+    text = [r["value"] for r in spark.read.text(path).collect()]
+    assert "# steps: 4" in text
+    assert len(text) > 6
+    assert lines.read_cluster_reports(spark, path).count() == 50
+
+
 def test_group_contents(spark, tmp_path):
     rows = [(0, 7, i, f"text {i}") for i in range(3)]
     path = str(tmp_path / "groups")
     lines.write_group_contents(
         spark.createDataFrame(rows, "band int, bucket bigint, body_no bigint, body string"), path
     )
-    text = [r["value"] for r in spark.read.text(path).where("band = 0 AND bucket = 7").collect()]
-    assert {"Body 0:", "text 0", "Body 2:", "text 2"} <= set(text)
+    text = [r["value"] for r in spark.read.text(path).select("value").collect()]
+    assert {"Group 0/7, Body 0:", "text 0", "Group 0/7, Body 2:", "text 2"} <= set(text)
 
 
 def test_cleaning(spark):
