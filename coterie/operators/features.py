@@ -1,7 +1,5 @@
 """TF-IDF features of texts and k-means over features and vectors."""
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,20 +70,81 @@ def tfidf(
 
 
 def tfidf_vectors(posts: DataFrame, weights: DataFrame) -> DataFrame:
-    """(post_id, features): one vector per post, zero for posts without a listed term."""
+    """(post_id, features): the weights of all listed terms in term order, zero where absent."""
     terms = [row["term"] for row in weights.select("term").distinct().orderBy("term").collect()]
-    entries = [
-        F.coalesce(F.max(F.when(F.col("term") == term, F.col("tfidf"))), F.lit(0.0))
-        for term in terms
-    ]
+    # at most one entry per listed term
+    listed = F.collect_list(F.when(F.col("term").isNotNull(), F.struct("term", "tfidf")))
+    order = F.array(*[F.lit(term) for term in terms]).cast("array<string>")
     rows = posts.select("post_id").join(weights, "post_id", "left")
-    return rows.groupBy("post_id").agg(array_to_vector(F.array(*entries)).alias("features"))
+    return (
+        rows.groupBy("post_id")
+        .agg(F.map_from_entries(listed).alias("listed"))
+        .select(
+            "post_id",
+            F.transform(
+                order, lambda term: F.coalesce(F.try_element_at("listed", term), F.lit(0.0))
+            ).alias("features"),
+        )
+    )
 
 
-def kmeans(points: DataFrame, k: int, max_steps: int = 100, seed: int = SEED) -> DataFrame:
-    """``points`` with the k-means ``cluster`` of their ``features`` vector."""
-    model = KMeans(k=k, maxIter=max_steps, initMode="k-means||", seed=seed).fit(points)
-    return model.transform(points).withColumnRenamed("prediction", "cluster")
+def kmeans(
+    points: DataFrame, k: int, key: str, max_steps: int = 200, seed: int = SEED
+) -> DataFrame:
+    """``points`` with the k-means ``cluster`` of their ``features``, arrays of equal length.
+
+    Starts from ``k`` different vectors in a seeded random order of the keys, assigns every point
+    to the nearest centre (ties to the lowest number) and moves the centres to the means until
+    none moves; raises if that takes more than ``max_steps``. A centre without points stays.
+    Distances and centres are rounded to nine digits, so the order of additions does not matter.
+    The ``k`` centres are broadcast; means merge map-side per cluster and coordinate.
+    """
+    points = cut(points)
+    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    vectors = points.groupBy("features").agg(F.min(ticket).alias("ticket"))
+    first = vectors.orderBy("ticket").limit(k)
+    order = Window.orderBy("ticket")  # k rows
+    centres = cut(
+        first.select(
+            (F.row_number().over(order) - 1).alias("cluster"), F.col("features").alias("centre")
+        )
+    )
+    for _ in range(max_steps):
+        assigned = _nearest_centre(points, centres)
+        means = (
+            assigned.select("cluster", F.posexplode("features").alias("at", "value"))
+            .groupBy("cluster", "at")
+            .agg(F.round(F.avg("value"), 9).alias("value"))
+            .groupBy("cluster")
+            .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("mean"))
+        )
+        moved = cut(
+            centres.join(means, "cluster", "left").select(
+                "cluster",
+                F.coalesce(F.col("mean.value"), "centre").alias("centre"),
+                F.col("centre").alias("before"),
+            )
+        )
+        centres = moved.select("cluster", "centre")
+        if moved.where(F.col("centre") != F.col("before")).isEmpty():
+            return _nearest_centre(points, centres)
+    raise RuntimeError(f"centres still move after {max_steps} steps")
+
+
+def _nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:
+    """Points with the cluster of their nearest centre."""
+    one_list = centres.agg(F.collect_list(F.struct("cluster", "centre")).alias("_centres"))
+
+    def option(c: Column) -> Column:
+        squares = F.zip_with("features", c["centre"], lambda x, y: (x - y) * (x - y))
+        total = F.aggregate(squares, F.lit(0.0), lambda a, b: a + b)
+        return F.struct(F.round(F.sqrt(total), 9).alias("distance"), c["cluster"].alias("cluster"))
+
+    return (
+        points.withColumn("_centres", one_list.scalar())
+        .withColumn("cluster", F.array_min(F.transform("_centres", option))["cluster"])
+        .drop("_centres")
+    )
 
 
 def cluster_top_terms(clusters: DataFrame, weights: DataFrame, n: int = 10) -> DataFrame:
@@ -99,7 +158,7 @@ def cluster_top_terms(clusters: DataFrame, weights: DataFrame, n: int = 10) -> D
     order = Window.partitionBy("cluster").orderBy(F.desc("weight"), "term")
     return (
         sums.join(sizes, "cluster")
-        .select("cluster", "term", (F.col("total") / F.col("size")).alias("weight"))
+        .select("cluster", "term", F.round(F.col("total") / F.col("size"), 9).alias("weight"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= n)
     )

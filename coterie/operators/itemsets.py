@@ -219,6 +219,8 @@ def frequent_itemsets(
         candidates = extend_occurrences(occurrences)
         if pruning and k in pruning.levels:
             candidates = _prune(candidates, sizes, needed, pruning)
+            if max_k is None or k < max_k:
+                candidates = cut(candidates)  # counted here and extended by the next level
         counted = (
             candidates.groupBy("prefix", "last")
             .agg(F.count(F.lit(1)).alias("support"))

@@ -166,8 +166,8 @@ def _candidates(representatives: DataFrame, threshold: float) -> DataFrame:
     """Pairs (post_a, post_b) that can reach the threshold, by prefix and length filters.
 
     With shingles ordered from rare to common, two sets of similarity ``t`` share one among the
-    first ``n - ceil(t n) + 1`` of each; the most common shingles are never joined on. Any fixed
-    order is exact, so shingles in one post only need no frequency.
+    first ``n - ceil(t n) + 1`` of each; common shingles are joined on only where ``t`` is low. Any
+    fixed order is exact, so shingles in one post only need no frequency.
     """
     rows = representatives.select("post_id", "n", F.explode_outer("shingles").alias("shingle"))
     shared = (

@@ -1,6 +1,5 @@
 """Titles and vectors: distances, clustering by period, word counts and text features."""
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from coterie.functions.distance import insert_delete_distance, levenshtein
@@ -46,6 +45,9 @@ CUT_HEIGHT = 3
 # steps written out in SQL; the messages are passed until the exemplars are stable
 SQL_MESSAGE_STEPS = 20
 LINKAGE_PASSES = 6
+TEXT_CLUSTERS = 20
+# steps written out in SQL; the centres come to rest earlier on the fixtures
+SQL_MEAN_STEPS = 40
 
 TITLES = "WITH RECURSIVE " + PRODUCT_TITLES_SQL
 PERIODS = (
@@ -500,28 +502,82 @@ def tfidf_features(spark, sf_dir):
     return document_tfidf(spark, sf_dir).withColumn("tfidf", F.round("tfidf", 6))
 
 
+def kmeans_sql(k: int, steps: int) -> str:
+    """k-means of ``points`` (id, features) written out; ``assigned`` is the last assignment."""
+    text = f""",
+centres_1 AS MATERIALIZED (
+  SELECT features AS centre, row_number() OVER (ORDER BY ticket) - 1 AS cluster FROM (
+    SELECT features, min(md5('{features.SEED}:' || id)) AS ticket FROM points
+    GROUP BY features ORDER BY ticket LIMIT {k}))"""
+    for step in range(1, steps + 1):
+        text += f""",
+assigned_{step} AS MATERIALIZED (
+  SELECT id, features, cluster FROM points, centres_{step}
+  QUALIFY row_number() OVER (PARTITION BY id
+    ORDER BY round(list_distance(features, centre), 9), cluster) = 1),
+means_{step} AS (
+  SELECT cluster, list(value ORDER BY place) AS mean FROM (
+    SELECT cluster, place, round(avg(value), 9) AS value FROM (
+      SELECT cluster, unnest(features) AS value, generate_subscripts(features, 1) AS place
+      FROM assigned_{step}) GROUP BY cluster, place) GROUP BY cluster),
+centres_{step + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(mean, centre) AS centre
+  FROM centres_{step} LEFT JOIN means_{step} USING (cluster))"""
+    return text + f", assigned AS (SELECT id, cluster FROM assigned_{steps})"
+
+
+TFIDF_CLUSTERS = (
+    "WITH weights AS MATERIALIZED ("
+    + TFIDF
+    + """),
+listed AS (SELECT DISTINCT term FROM weights),
+points AS MATERIALIZED (
+  SELECT doc_id AS id, list(coalesce(tfidf, 0.0::DOUBLE) ORDER BY l.term) AS features
+  FROM documents, listed l LEFT JOIN weights w ON w.post_id = doc_id AND w.term = l.term
+  GROUP BY doc_id)"""
+    + kmeans_sql(TEXT_CLUSTERS, SQL_MEAN_STEPS)
+)
+
+
 def tfidf_clusters(spark, sf_dir):
-    weights = features.cut(document_tfidf(spark, sf_dir))
-    vectors = features.cut(features.tfidf_vectors(posts(spark, sf_dir), weights))
-    return features.kmeans(vectors, 20), weights
+    weights = document_tfidf(spark, sf_dir).withColumn("tfidf", F.round("tfidf", 6))
+    weights = features.cut(weights)
+    vectors = features.tfidf_vectors(posts(spark, sf_dir), weights)
+    return features.kmeans(vectors, TEXT_CLUSTERS, "post_id"), weights
 
 
-@QUERIES.add("kmeans_tfidf")
+@QUERIES.add("kmeans_tfidf", TFIDF_CLUSTERS + " SELECT id AS post_id, cluster FROM assigned")
 def kmeans_tfidf(spark, sf_dir):
     return tfidf_clusters(spark, sf_dir)[0].select("post_id", "cluster")
 
 
-@QUERIES.add("cluster_top_terms")
+@QUERIES.add(
+    "cluster_top_terms",
+    TFIDF_CLUSTERS
+    + """, sizes AS (SELECT cluster, count(*) AS size FROM assigned GROUP BY cluster),
+heavy AS (
+  SELECT cluster, term, round(sum(tfidf) / any_value(size), 9) AS weight
+  FROM weights JOIN assigned ON id = post_id JOIN sizes USING (cluster) GROUP BY cluster, term)
+SELECT cluster, term, weight,
+  row_number() OVER (PARTITION BY cluster ORDER BY weight DESC, term) AS rank
+FROM heavy QUALIFY rank <= 10""",
+)
 def cluster_top_terms(spark, sf_dir):
     return features.cluster_top_terms(*tfidf_clusters(spark, sf_dir))
 
 
-@QUERIES.add("kmeans_vectors")
+@QUERIES.add(
+    "kmeans_vectors",
+    """WITH points AS MATERIALIZED (
+  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS features FROM embeddings
+  WHERE embedding IS NOT NULL)"""
+    + kmeans_sql(2, SQL_MEAN_STEPS)
+    + " SELECT id AS vec_id, cluster FROM assigned",
+)
 def kmeans_vectors(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings").select(
-        "vec_id", array_to_vector(F.col("embedding").cast("array<double>")).alias("features")
-    )
-    return features.kmeans(vectors, 2).select("vec_id", "cluster")
+    vectors = table(spark, sf_dir, "embeddings").where("embedding IS NOT NULL")
+    vectors = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("features"))
+    return features.kmeans(vectors, 2, "vec_id").select("vec_id", "cluster")
 
 
 def cleaned_sql(text: str) -> str:

@@ -175,7 +175,8 @@ WHERE round <= (SELECT round FROM stop) GROUP BY ALL""",
 )
 def adaptive_threshold_trace(spark, sf_dir):
     baskets = kept_baskets(spark, sf_dir)
-    trace = ops.adaptive_threshold(baskets, START_THRESHOLD, target_k=3)[1]
+    pruning = ops.BucketPruning(BUCKETS, levels=(2, 3))
+    trace = ops.adaptive_threshold(baskets, START_THRESHOLD, target_k=3, pruning=pruning)[1]
     return spark.createDataFrame(trace, "round int, threshold int, k int, n_sets bigint")
 
 
@@ -250,16 +251,18 @@ def verify_itemset_counts(spark, sf_dir):
 @QUERIES.add(
     "itemset_containment_count",
     SUPPORTS
-    + f""", frequent AS (SELECT itemset FROM supports WHERE k = 2 AND support >= {PAIR_SUPPORT})
-SELECT a.item || ',' || b.item || ',' || c.item AS itemset, count(*) AS support
-FROM baskets a JOIN baskets b ON a.basket_id = b.basket_id AND a.item < b.item
-JOIN baskets c ON a.basket_id = c.basket_id AND b.item < c.item
-WHERE a.item || ',' || b.item IN (FROM frequent) AND a.item || ',' || c.item IN (FROM frequent)
-  AND b.item || ',' || c.item IN (FROM frequent)
-GROUP BY a.item, b.item, c.item""",
+    + f""", links AS MATERIALIZED (
+  SELECT string_split(itemset, ',')[1] AS a, string_split(itemset, ',')[2] AS b
+  FROM supports WHERE k = 2 AND support >= {PAIR_SUPPORT}),
+triples AS (
+  SELECT ab.a || ',' || ab.b || ',' || ac.b AS itemset
+  FROM links ab JOIN links ac ON ab.a = ac.a AND ab.b < ac.b
+  JOIN links bc ON bc.a = ab.b AND bc.b = ac.b)
+SELECT itemset, coalesce(support, 0) AS support
+FROM triples LEFT JOIN (SELECT itemset, support FROM supports WHERE k = 3) USING (itemset)""",
 )
 def itemset_containment_count(spark, sf_dir):
-    """Triples all of whose pairs are frequent, counted against the baskets."""
+    """Triples all of whose pairs are frequent, counted against the baskets, zero included."""
     baskets = kept_baskets(spark, sf_dir)
     pairs = ops.frequent_itemsets(baskets, PAIR_SUPPORT, max_k=2).where("k = 2")
     links = pairs.select(F.col("itemset")[0].alias("a"), F.col("itemset")[1].alias("b"))
@@ -268,7 +271,7 @@ def itemset_containment_count(spark, sf_dir):
     bc = links.select(F.col("a").alias("b"), F.col("b").alias("c"))
     triples = ab.join(ac, "a").where("b < c").join(bc, ["b", "c"])
     counted = ops.containment_counts(baskets, triples.select(F.array("a", "b", "c").alias("itemset")))
-    return shown(counted.where("support > 0"))
+    return shown(counted)
 
 
 @QUERIES.add(

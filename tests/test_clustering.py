@@ -168,11 +168,9 @@ def test_affinity_propagation_finds_the_centres(spark):
 
 
 def test_kmeans_on_six_points(spark):
-    from pyspark.ml.functions import array_to_vector
-
     points = [(1, 2), (1, 4), (1, 0), (10, 2), (10, 4), (10, 0)]
     frame = spark.createDataFrame([(list(map(float, p)),) for p in points], "p array<double>")
-    found = features.kmeans(frame.select("p", array_to_vector("p").alias("features")), 2).collect()
+    found = features.kmeans(frame.select("p", F.col("p").alias("features")), 2, "p").collect()
     left = {row["cluster"] for row in found if row["p"][0] == 1}
     right = {row["cluster"] for row in found if row["p"][0] == 10}
     assert len(left) == len(right) == 1 and left != right
