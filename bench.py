@@ -34,6 +34,18 @@ HEADLINE = [
     "tfidf_features",
     "clean_html_body",
     "clean_text_tokens",
+    "apriori_itemsets",
+    "pcy_multilevel_triples",
+    "fpgrowth_itemsets",
+    "jaccard_similar_pairs",
+    "similarity_histogram",
+    "lsh_band_plan",
+    "clustroid_update",
+    "elbow_sweep",
+    "dbscan_titles",
+    "single_linkage_merges",
+    "affinity_propagation",
+    "kmeans_vectors",
 ]
 
 
