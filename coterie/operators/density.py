@@ -190,14 +190,15 @@ def affinity_propagation(
     damping: float = 0.5,
     max_steps: int = 200,
     stable_steps: int = 15,
+    strict: bool = True,
 ) -> DataFrame:
     """(title, exemplar) for every distinct title, by message passing over listed similarities.
 
     ``similarities`` is (title, neighbour, similarity) in both directions; pairs not listed
     cannot choose each other. The preference defaults to the median of the similarities. Ends
     when the exemplars have not changed for ``stable_steps`` steps and raises if ``max_steps``
-    pass before. Exemplars are their own; another title takes the most similar listed exemplar
-    (ties to the smallest), and one that lists none is its own. Each step needs minima and maxima
+    pass before, or takes the exemplars of the last step if not ``strict``. Exemplars are their own; another title takes the most similar listed exemplar
+    (ties to the smallest), and one that lists none is its own, as all are where no exemplar arises. Each step needs minima and maxima
     per title and a sum per neighbour, all of which merge map-side.
     """
     titles = titles.select("title").distinct()
@@ -227,10 +228,11 @@ def affinity_propagation(
         )
         stable = stable + 1 if now == before else 0
         before = now
-        if stable >= stable_steps and now[0] > 0:
+        if stable >= stable_steps:
             break
     else:
-        raise RuntimeError(f"exemplars still change after {max_steps} steps")
+        if strict:
+            raise RuntimeError(f"exemplars still change after {max_steps} steps")
     order = F.struct(
         (F.col("title") != F.col("neighbour")).alias("other"),
         (-F.col("similarity")).alias("away"),
