@@ -477,7 +477,7 @@ def affinity_propagation(spark, sf_dir):
     titles = part_titles(spark, sf_dir)
     pairs = both_ways(edit_distance_join(titles, EPS))
     listed = pairs.select("title", "neighbour", (-F.col("distance")).alias("similarity"))
-    # symmetric titles, as in the smallest fixture, can alternate for ever
+    # symmetric titles can alternate for ever
     return density.affinity_propagation(
         titles, density.cut(listed), max_steps=SQL_MESSAGE_STEPS, strict=False
     )
