@@ -47,20 +47,18 @@ def pack(arrays: list[np.ndarray], types: Types) -> bytes:
 
 def unpack(blobs, types: Types) -> dict[str, np.ndarray]:
     """The columns of any number of packed values, one after the other."""
-    parts = []
     width = sum(np.dtype(t).itemsize for _, t in types)
-    for blob in blobs:
-        size = int.from_bytes(blob[:8], "little")
+    sizes = [int.from_bytes(blob[:8], "little") for blob in blobs]
+    columns = {name: np.empty(sum(sizes) // width, t) for name, t in types}
+    row = 0
+    for blob, size in zip(blobs, sizes, strict=True):  # one value is open at a time
         raw = pa.Codec("zstd", 1).decompress(blob[8:], size, asbytes=True)
-        n, at, columns = size // width, 0, []
-        for _, t in types:
-            columns.append(np.frombuffer(raw, t, n, at))
+        n, at = size // width, 0
+        for name, t in types:
+            columns[name][row : row + n] = np.frombuffer(raw, t, n, at)
             at += n * np.dtype(t).itemsize
-        parts.append(columns)
-    return {
-        name: np.concatenate([p[i] for p in parts]) if parts else np.zeros(0, t)
-        for i, (name, t) in enumerate(types)
-    }
+        row += n
+    return columns
 
 
 def by_bucket(buckets: np.ndarray, arrays: list[np.ndarray], types: Types):

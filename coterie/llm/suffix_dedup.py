@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from coterie.llm.buffers import SpanHash, byte_view, mixed, pieces, ranges
+from coterie.llm.buffers import PIECE_BYTES, SpanHash, byte_view, mixed, pieces, ranges
 from coterie.llm.exchange import (
     FLUSH_BYTES,
     NO_ID,
@@ -28,6 +28,7 @@ from coterie.operators.lineage import cut
 LENGTH = 100
 ANCHOR = 24
 TILE = 16
+TILE_ROWS = 1 << 14
 
 # kinds of packed rows, and what they hold
 STRETCH, REPEAT, OPEN, PIECE = 0, 1, 2, 3
@@ -128,6 +129,20 @@ def repeat_rows(doc_id, version, first, last, n_buckets: int):
     return [(REPEAT, b, blob) for b, blob in by_bucket(buckets, columns, REPEAT_TYPES)]
 
 
+def long_text_parts(data: np.ndarray, offsets: np.ndarray, length: int):
+    """(bytes before, bytes, offsets): several texts as they are, a long one in parts.
+
+    Parts overlap by ``length - 1`` bytes, so every string starts in exactly one of them. A
+    stretch that is cut here may differ from its equals elsewhere; their tiles still meet.
+    """
+    if len(offsets) != 2 or len(data) <= 2 * PIECE_BYTES:
+        yield 0, data, offsets
+        return
+    for begin in range(0, len(data) - length + 1, PIECE_BYTES):
+        part = data[begin : begin + PIECE_BYTES + length - 1]
+        yield begin, part, np.array([0, len(part)])
+
+
 def _stretch_function(n_buckets: int, length: int, anchor: int):
     def send(batches):
         hasher, held, size = SpanHash(), [], 0
@@ -152,15 +167,17 @@ def _stretch_function(n_buckets: int, length: int, anchor: int):
             data, offsets = byte_view(batch.column("text"))
             ids = batch.column("doc_id").to_numpy()
             versions = batch.column("version").to_numpy()
-            hasher.load(data)
-            grams, content, row, start, more, ahead = stretches(
-                data, offsets, hasher, length, anchor
-            )
-            held.append((grams, content, ids[row], versions[row], start, more, ahead))
-            size += len(data)
-            if size >= FLUSH_BYTES:
-                yield flush()
-                held, size = [], 0
+            for skipped, part, bounds in long_text_parts(data, offsets, length):
+                hasher.load(part)
+                grams, content, row, start, more, ahead = stretches(
+                    part, bounds, hasher, length, anchor
+                )
+                start += skipped
+                held.append((grams, content, ids[row], versions[row], start, more, ahead))
+                size += len(part)
+                if size >= FLUSH_BYTES:
+                    yield flush()
+                    held, size = [], 0
         if held:
             yield flush()
 
@@ -204,6 +221,19 @@ def _piece_types(length: int, tile: int):
     ]
 
 
+def tile_bytes(data, places, first, last, width: int) -> np.ndarray:
+    """``width`` bytes from each of ``places`` on, with zeros outside of ``first`` to ``last``."""
+    padded = np.pad(data, width)
+    windows = np.lib.stride_tricks.sliding_window_view(padded, width)
+    block = np.ascontiguousarray(windows[places + width])
+    column = np.arange(width, dtype=np.int16)
+    for row in range(0, len(block), TILE_ROWS):
+        rows = slice(row, row + TILE_ROWS)
+        outside = (column < first[rows, None]) | (column >= last[rows, None])
+        block[rows][outside] = 0
+    return block
+
+
 def _piece_function(n_buckets: int, length: int, tile: int):
     """Cut the open stretches into tiles of starts and send each tile's bytes by its core.
 
@@ -253,15 +283,9 @@ def _piece_function(n_buckets: int, length: int, tile: int):
             core = hasher(at + number * tile + tile - 1, at + number * tile + length)
             key = mixed(core + number.astype(np.uint64))
             content = hasher(at + begin, at + end + length)
-            content = mixed(content + (begin - number * tile).astype(np.uint64))
-            # the tile's bytes at their place in the tile; outside the strings, zeros
-            column = np.arange(width)
             skipped = begin - number * tile
-            inside = (column >= skipped[:, None]) & (
-                column < (end - number * tile + length)[:, None]
-            )
-            source = np.clip((at + number * tile)[:, None] + column, 0, len(data) - 1)
-            block = np.where(inside, data[source], 0).astype(np.uint8)
+            content = mixed(content + skipped.astype(np.uint64))
+            block = tile_bytes(data, at + number * tile, skipped, end - number * tile + length, width)
             pieces_ = {
                 "key": key, "content": content, "doc_id": rows["doc_id"][index][each],
                 "version": rows["version"][index][each], "start": anchor + begin,
@@ -270,7 +294,7 @@ def _piece_function(n_buckets: int, length: int, tile: int):
             }
             held.append(pieces_)
         if held:
-            gathered = {name: np.concatenate([h[name] for h in held]) for name, _ in types}
+            gathered = {name: np.concatenate([h.pop(name) for h in held]) for name, _ in types}
             sort = np.lexsort(tuple(gathered[k] for k in ("start", "doc_id", "content", "key")))
             first, later = repeats(gathered, sort, ["key", "content"])
             out += repeat_rows(
@@ -344,16 +368,16 @@ def _collection_function(n_buckets: int, length: int, tile: int):
         alone[1:] &= keys[1:] != keys[:-1]
         alone[:-1] &= keys[:-1] != keys[1:]
         first = first[~alone]
+        block = rows.pop("bytes").view(np.uint8).reshape(-1, width)
         rows = {name: values[first] for name, values in rows.items()}
         groups = np.unique(rows["key"], return_inverse=True)[1]
         if len(first):
             with tempfile.TemporaryDirectory() as folder:  # this task's own, gone with it
                 file = Path(folder, "columns")
                 with file.open("wb") as out:  # symbols column by column, read back in sequence
-                    block = rows.pop("bytes").view(np.uint8).reshape(-1, width)
                     for place in range(width):
-                        out.write(block[:, place].tobytes())
-                    del block
+                        out.write(block[first, place].tobytes())
+                del block
 
                 def column(place):
                     return np.fromfile(file, np.uint8, len(groups), offset=place * len(groups))
