@@ -73,12 +73,12 @@ def by_bucket(buckets: np.ndarray, arrays: list[np.ndarray], types: Types):
 
 
 def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
-    """A bucket from the high bits of well-mixed 64-bit hashes."""
-    return ((hashes >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
+    """A bucket for each 64-bit hash, stirred first: the least hash of a window is a low number."""
+    return ((mixed(hashes) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
 
 
 def bucket_of_ids(ids: np.ndarray, n: int) -> np.ndarray:
-    return bucket_of(mixed(ids.astype(np.uint64)), n)
+    return bucket_of(ids.astype(np.uint64), n)
 
 
 def rows_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:

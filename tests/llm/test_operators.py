@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from coterie.llm import (
     collinear,
     cross_polytope,
     decontamination,
+    exchange,
     jaccard_join,
     line_dedup,
     mixing,
@@ -230,6 +232,22 @@ def test_suffix_dedup(docs, nothing, length, anchor, tile):
     assert suffix_dedup.remove_repeats(nothing, length, anchor, tile).count() == 0
 
 
+def test_suffix_dedup_of_long_texts(spark):
+    random.seed(5)
+    long = "".join(random.choice("abcdefgh ") for _ in range(1_200_000))
+    part = long[262_000:262_900]  # over the place where a long text is cut
+    rows = [(1, long), (2, "-" * 50 + part), (3, long[100:] + part[:150])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.starts, r.ends) for r in suffix_dedup.remove_repeats(frame).collect()}
+    assert got == {1: ([], []), 2: ([50], [950]), 3: ([0], [1_200_050])}
+
+
+def test_buckets_of_least_hashes_are_even():
+    values = np.random.default_rng(1).integers(0, 1 << 63, (4_000, 50), dtype=np.uint64)
+    filled = np.bincount(exchange.bucket_of(values.min(axis=1), 8), minlength=8)
+    assert filled.min() > 300
+
+
 def test_collinear(docs, nothing):
     found = collinear.repeated_passages(docs).collect()
     holders = {d for d, t, *_ in ROWS if t and d is not None and PASSAGE in t}
