@@ -5,12 +5,15 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from coterie.functions.hashing import md5_int
 from coterie.operators.edit_join import both_ways, edit_distance_join
 from coterie.operators.graph import connected_components
 from coterie.operators.indexing import dense_index
 from coterie.operators.lineage import cut
 from coterie.operators.skew import salted_join
 
+SEED = 459392  # of the hash that breaks ties between symmetric titles
+
 
 def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
     """(title, n_neighbours, is_core, cluster); noise has cluster -1.
@@ -190,15 +193,17 @@ def affinity_propagation(
     damping: float = 0.5,
     max_steps: int = 200,
     stable_steps: int = 15,
-    strict: bool = True,
+    tie_break: float = 0.01,
 ) -> DataFrame:
     """(title, exemplar) for every distinct title, by message passing over listed similarities.
 
     ``similarities`` is (title, neighbour, similarity) in both directions; pairs not listed
-    cannot choose each other. The preference defaults to the median of the similarities. Ends
-    when the exemplars have not changed for ``stable_steps`` steps and raises if ``max_steps``
-    pass before, or takes the exemplars of the last step if not ``strict``. Exemplars are their own; another title takes the most similar listed exemplar
-    (ties to the smallest), and one that lists none is its own, as all are where no exemplar arises. Each step needs minima and maxima
+    cannot choose each other. The preference defaults to the median of the similarities. Titles
+    in symmetric positions would alternate for ever, so each title's preference is lowered by a
+    share of ``tie_break`` that a hash of the title gives. Ends when the exemplars have not changed
+    for ``stable_steps`` steps and raises if ``max_steps`` pass before. Exemplars are their own;
+    another title takes the most similar listed exemplar (ties to the smallest), and one that
+    lists none is its own, as all are where no exemplar arises. Each step needs minima and maxima
     per title and a sum per neighbour, all of which merge map-side.
     """
     titles = titles.select("title").distinct()
@@ -206,10 +211,11 @@ def affinity_propagation(
         return titles.select("title", F.col("title").alias("exemplar"))
     if preference is None:
         preference = similarities.agg(F.median("similarity")).first()[0]
+    share = md5_int(F.concat_ws(":", F.lit(str(SEED)), "title")) / F.lit(2.0**32)
     own = similarities.select("title").distinct().select(
         "title",
         F.col("title").alias("neighbour"),
-        F.lit(float(preference)).alias("similarity"),
+        (F.lit(float(preference)) - F.lit(tie_break) * share).alias("similarity"),
     )
     messages = cut(
         similarities.select("title", "neighbour", F.col("similarity").cast("double"))
@@ -231,8 +237,7 @@ def affinity_propagation(
         if stable >= stable_steps:
             break
     else:
-        if strict:
-            raise RuntimeError(f"exemplars still change after {max_steps} steps")
+        raise RuntimeError(f"exemplars still change after {max_steps} steps")
     order = F.struct(
         (F.col("title") != F.col("neighbour")).alias("other"),
         (-F.col("similarity")).alias("away"),

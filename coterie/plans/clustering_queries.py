@@ -42,8 +42,9 @@ SQL_STEPS = 10
 EPS = 5
 MIN_SAMPLES = 3
 CUT_HEIGHT = 3
-# steps written out in SQL; messages pass until exemplars are stable, at most so often
-SQL_MESSAGE_STEPS = 20
+# steps written out in SQL; exemplars come to rest earlier on the fixtures
+SQL_MESSAGE_STEPS = 45
+TIE_BREAK = 0.01
 LINKAGE_PASSES = 6
 TEXT_CLUSTERS = 20
 # steps written out in SQL; the centres come to rest earlier on the fixtures
@@ -170,7 +171,9 @@ listed AS (SELECT title, neighbour, CAST(-distance AS DOUBLE) AS s FROM distance
 messages_0 AS MATERIALIZED (
   SELECT title, neighbour, s, 0.0::DOUBLE AS r, 0.0::DOUBLE AS a FROM listed
   UNION ALL
-  SELECT DISTINCT title, title, (SELECT median(s) FROM listed), 0.0, 0.0 FROM listed)"""
+  SELECT title, title, (SELECT median(s) FROM listed) - {TIE_BREAK} *
+    CAST('0x' || substr(md5('{density.SEED}:' || title), 1, 8) AS BIGINT) / 4294967296.0, 0.0, 0.0
+  FROM listed GROUP BY title)"""
     )
     for i in range(1, steps + 1):
         text += f""",
@@ -477,10 +480,7 @@ def affinity_propagation(spark, sf_dir):
     titles = part_titles(spark, sf_dir)
     pairs = both_ways(edit_distance_join(titles, EPS))
     listed = pairs.select("title", "neighbour", (-F.col("distance")).alias("similarity"))
-    # symmetric titles can alternate for ever
-    return density.affinity_propagation(
-        titles, density.cut(listed), max_steps=SQL_MESSAGE_STEPS, strict=False
-    )
+    return density.affinity_propagation(titles, density.cut(listed), tie_break=TIE_BREAK)
 
 
 TFIDF = f"""WITH terms AS (

@@ -167,6 +167,14 @@ def test_affinity_propagation_finds_the_centres(spark):
     assert {row["title"]: row["exemplar"] for row in found} == expected
 
 
+def test_affinity_propagation_settles_between_symmetric_titles(spark):
+    listed = spark.createDataFrame(
+        [(a, b, -1.0) for a in "xy" for b in "xy" if a != b], "title string, neighbour string, similarity double"
+    )
+    found = density.affinity_propagation(titles(spark, ["x", "y"]), listed, preference=-1.5)
+    assert len({row["exemplar"] for row in found.collect()}) == 1
+
+
 def test_kmeans_on_six_points(spark):
     points = [(1, 2), (1, 4), (1, 0), (10, 2), (10, 4), (10, 0)]
     frame = spark.createDataFrame([(list(map(float, p)),) for p in points], "p array<double>")
