@@ -2,7 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from coterie.llm.buffers import (
@@ -11,6 +11,7 @@ from coterie.llm.buffers import (
     SpanHash,
     byte_view,
     pieces,
+    ranges,
     window_hash,
     words,
 )
@@ -41,12 +42,13 @@ DROP = 8
 HOT_PLACES = 64
 SEED_BUCKET_BYTES = 16 << 20
 
-SEED, MATCH = 0, 1
+SEED, MATCH, MARK, LONG = 0, 1, 2, 3
 SEED_TYPES = [("seed", "u8"), ("doc_id", "i8"), ("version", "u4"), ("pos", "u4")]
 MATCH_TYPES = [
     ("doc_id", "i8"), ("version", "u4"), ("pos", "u4"), ("hub", "i8"), ("hub_version", "u4"),
     ("hub_pos", "u4"),
 ]
+MARK_TYPES = [("doc_id", "i8"), ("version", "u4"), ("pos", "u4")]
 
 
 def word_hashes(data, offsets, hasher: SpanHash):
@@ -76,27 +78,50 @@ def minimizers(hashes: np.ndarray, bounds: np.ndarray, width: int, window: int):
     return seeds[at], row, at - bounds[row]
 
 
-def _match_rows(rows: dict, order, n_buckets: int, later_only):
-    """Packed matches of places to the first place of their seed, for the places' documents.
+def _match_rows(rows: dict, order, n_buckets: int, of_group, kind: int):
+    """(packed rows, what was matched): places matched to the first place of their seed.
 
-    ``order`` sorts by seed, doc_id and place; ``later_only`` marks the rows to be matched.
+    ``order`` sorts by seed, doc_id and place; ``of_group`` marks the rows of the seeds that are
+    matched. Places in the first document are only marked as repeated by others.
     """
-    seeds = rows["seed"][order]
+    seeds, ids = rows["seed"][order], rows["doc_id"][order]
     begin = np.flatnonzero(np.concatenate(([True], seeds[1:] != seeds[:-1])))
-    first = np.repeat(order[begin], np.diff(np.append(begin, len(order))))
-    here = later_only & (rows["doc_id"][order] != rows["doc_id"][first])
-    at, hub = order[here], first[here]
+    sizes = np.diff(np.append(begin, len(order)))
+    first = np.repeat(order[begin], sizes)
+    later = of_group & (ids != rows["doc_id"][first])
+    shared = np.repeat(np.logical_or.reduceat(later, begin), sizes)
+    at, hub = order[later], first[later]
     columns = [rows["doc_id"][at], rows["version"][at], rows["pos"][at]]
     columns += [rows["doc_id"][hub], rows["version"][hub], rows["pos"][hub]]
     packed = by_bucket(bucket_of_ids(columns[0], n_buckets), columns, MATCH_TYPES)
-    return [(MATCH, b, blob) for b, blob in packed]
+    out = [(kind, b, blob) for b, blob in packed]
+    if kind == MATCH:
+        own = order[shared & (ids == rows["doc_id"][first])]
+        columns = [rows[name][own] for name, _ in MARK_TYPES]
+        packed = by_bucket(bucket_of_ids(columns[0], n_buckets), columns, MARK_TYPES)
+        out += [(MARK, b, blob) for b, blob in packed]
+    return out, later
 
 
 def _sorted_seeds(rows: dict):
     order = np.lexsort((rows["pos"], rows["version"], rows["doc_id"], rows["seed"]))
     seeds = rows["seed"][order]
     begin = np.flatnonzero(np.concatenate(([True], seeds[1:] != seeds[:-1])))
-    return order, begin, np.diff(np.append(begin, len(order)))
+    return order, np.diff(np.append(begin, len(order)))
+
+
+def _dealt_seeds(held: list, n_seeds: int, n_texts: int, kind: int) -> pa.RecordBatch:
+    """Seeds dealt to buckets; those that are hot here are matched here to their first place."""
+    rows = {name: np.concatenate([h[i] for h in held]) for i, (name, _) in enumerate(SEED_TYPES)}
+    if not len(rows["seed"]):
+        return rows_batch([])
+    order, count = _sorted_seeds(rows)
+    hot = np.repeat(count >= HOT_PLACES, count)
+    out, matched = _match_rows(rows, order, n_texts, hot, kind)
+    sent = np.sort(order[~matched])
+    columns = [rows[name][sent] for name, _ in SEED_TYPES]
+    packed = by_bucket(bucket_of(columns[0], n_seeds), columns, SEED_TYPES)
+    return rows_batch(out + [(SEED, b, blob) for b, blob in packed])
 
 
 def _seed_function(width: int, window: int, n_seeds: int, n_texts: int):
@@ -104,20 +129,6 @@ def _seed_function(width: int, window: int, n_seeds: int, n_texts: int):
 
     def send(batches):
         hasher, held, size = SpanHash(), [], 0
-
-        def flush():
-            rows = {name: np.concatenate([h[i] for h in held]) for i, (name, _) in enumerate(SEED_TYPES)}
-            if not len(rows["seed"]):
-                return rows_batch([])
-            order, begin, count = _sorted_seeds(rows)
-            hot = np.repeat(count >= HOT_PLACES, count)
-            hot[begin] = False
-            out = _match_rows(rows, order, n_texts, hot)
-            sent = np.sort(order[~hot])
-            columns = [rows[name][sent] for name, _ in SEED_TYPES]
-            packed = by_bucket(bucket_of(columns[0], n_seeds), columns, SEED_TYPES)
-            return rows_batch(out + [(SEED, b, blob) for b, blob in packed])
-
         for batch in pieces(batches, "text"):
             data, offsets = byte_view(batch.column("text"))
             seeds, row, pos = minimizers(*word_hashes(data, offsets, hasher), width, window)
@@ -125,28 +136,106 @@ def _seed_function(width: int, window: int, n_seeds: int, n_texts: int):
             held.append((seeds, ids[row], batch.column("version").to_numpy()[row], pos))
             size += len(data)
             if size >= FLUSH_BYTES:
-                yield flush()
+                yield _dealt_seeds(held, n_seeds, n_texts, MATCH)
                 held, size = [], 0
         if held:
-            yield flush()
+            yield _dealt_seeds(held, n_seeds, n_texts, MATCH)
 
     return send
 
 
-def _meet_function(n_texts: int):
+def _meet_function(n_texts: int, kind: int):
     """Every place of a seed matched to the seed's first place, in the smallest document."""
 
     def meet(table: pa.Table) -> pa.Table:
         rows = unpack(table.column("packed").to_pylist(), SEED_TYPES)
         out = []
         if len(rows["seed"]):
-            order, _, _ = _sorted_seeds(rows)
-            out = _match_rows(rows, order, n_texts, np.ones(len(order), bool))
+            order, _ = _sorted_seeds(rows)
+            out, _ = _match_rows(rows, order, n_texts, np.ones(len(order), bool), kind)
         return pa.Table.from_batches([rows_batch(out)])
 
     return meet
 
 
+def _of_kind(table: pa.Table, kinds, types) -> dict[str, np.ndarray]:
+    packed = zip(table.column("kind").to_pylist(), table.column("packed").to_pylist())
+    return unpack([blob for kind, blob in packed if kind in kinds], types)
+
+
+def repeated_windows(places: np.ndarray, n_words: int, length: int, width: int, window: int):
+    """Where ``length`` words can begin that another document holds as well.
+
+    ``places`` are the sorted seeds of the text that occur in other documents. Equal words have
+    equal seeds, so each ``window`` runs inside of such words hold one of the places.
+    """
+    runs = length - width + 1
+    cuts = np.flatnonzero(np.diff(places) > window) + 1
+    begin = places[np.concatenate(([0], cuts))] - (window - 1)
+    end = places[np.concatenate((cuts, [len(places)])) - 1] + window - runs
+    begin, end = np.maximum(begin, 0), np.minimum(end, n_words - length)
+    return np.unique(ranges(begin, np.maximum(end - begin + 1, 0)))
+
+
+def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts: int):
+    """Hashes of all runs of ``length`` words whose seeds occur in other documents too."""
+
+    def send(texts: pa.Table, found: pa.Table) -> pa.Table:
+        matches, marks = _of_kind(found, [MATCH], MATCH_TYPES), _of_kind(found, [MARK], MARK_TYPES)
+        rows = {name: np.concatenate((matches[name], marks[name])) for name, _ in MARK_TYPES}
+        order = np.lexsort((rows["pos"], rows["version"], rows["doc_id"]))
+        ids, versions, places = (rows[name][order] for name, _ in MARK_TYPES)
+        begin = np.flatnonzero((np.diff(ids) != 0) | (np.diff(versions) != 0)) + 1
+        begin = np.concatenate(([0], begin)) if len(ids) else begin
+        by_text = {
+            (int(ids[i]), int(versions[i])): np.unique(places[i:j]).astype(np.int64)
+            for i, j in zip(begin, [*begin[1:], len(ids)])
+        }
+        out, held, size, hasher = [rows_batch([])], [], 0, SpanHash()
+        for ids, versions, data, offsets in text_blocks(texts) if by_text else ():
+            names = list(zip(ids.tolist(), versions.tolist()))
+            if not any(name in by_text for name in names):
+                continue
+            hashes, bounds = word_hashes(data, offsets, hasher)
+            for row, name in enumerate(names):
+                own = by_text.pop(name, None)  # a repeated row finds nothing
+                if own is None:
+                    continue
+                inside = hashes[bounds[row] : bounds[row + 1]]
+                at = repeated_windows(own, len(inside), length, width, window)
+                if len(at):
+                    keys = window_hash(inside, length)[at]
+                    held.append((keys, np.full(len(at), name[0]), np.full(len(at), name[1]), at))
+                    size += 8 * len(at)
+                if size >= FLUSH_BYTES:
+                    out.append(_dealt_seeds(held, n_seeds, n_texts, LONG))
+                    held, size = [], 0
+        if held:
+            out.append(_dealt_seeds(held, n_seeds, n_texts, LONG))
+        return pa.Table.from_batches(out)
+
+    return send
+
+
+def exact_runs(rows: dict, length: int, width: int):
+    """(text, hub, places, hub's places): the first and last seed of each stretch of equal words.
+
+    ``rows`` are matched windows of ``length`` words; neighbouring ones are one stretch.
+    """
+    shift = rows["hub_pos"].astype(np.int64) - rows["pos"]
+    keys = [rows[n] for n in ("doc_id", "version", "hub", "hub_version")]
+    order = np.lexsort((rows["pos"], shift, *keys[::-1]))
+    new = np.diff(rows["pos"][order].astype(np.int64)) > length
+    for key in (*keys, shift):
+        new |= np.diff(key[order]) != 0
+    begin = np.concatenate(([0], np.flatnonzero(new) + 1)) if len(order) else np.zeros(0, np.int64)
+    last = np.append(begin[1:], len(order)) - 1
+    for i, j in zip(order[begin], order[last]):
+        doc, version, hub, hub_version = (int(key[i]) for key in keys)
+        p = np.array([rows["pos"][i], int(rows["pos"][j]) + length - width], np.int64)
+        yield (doc, version), (hub, hub_version), p, p + shift[i]
+
+
 class PrefixMax:
     """A Fenwick tree: the largest value among the first places, and who holds it."""
 
@@ -206,15 +295,15 @@ def chains(p: np.ndarray, h: np.ndarray, gap_cost: float = GAP_COST) -> list[np.
 
 CHAINS = (
     "doc_id bigint, hub bigint, hub_version bigint, hub_first bigint, hub_after bigint, "
-    "seeds binary, first bigint, words binary"
+    "seeds binary, first bigint, words binary, exact boolean"
 )
 
 
-def _chain_function(width: int, gap_cost: float, least_seeds: int):
+def _chain_function(width: int, gap_cost: float, least_seeds: int, length: int):
     """The chains of each document with each hub, and the document's words around them."""
 
     def chain(texts: pa.Table, found: pa.Table) -> pa.Table:
-        rows = unpack(found.column("packed").to_pylist(), MATCH_TYPES)
+        rows = _of_kind(found, [MATCH], MATCH_TYPES)
         order = np.lexsort(
             (rows["pos"], rows["hub_version"], rows["hub"], rows["version"], rows["doc_id"])
         )
@@ -233,7 +322,9 @@ def _chain_function(width: int, gap_cost: float, least_seeds: int):
                 if len(one) >= least_seeds:
                     name = (int(rows["doc_id"][start]), int(rows["version"][start]))
                     hub = (int(rows["hub"][start]), int(rows["hub_version"][start]))
-                    by_text.setdefault(name, []).append((hub, p[one], h[one]))
+                    by_text.setdefault(name, []).append((hub, p[one], h[one], False))
+        for name, hub, p, h in exact_runs(_of_kind(found, [LONG], MATCH_TYPES), length, width):
+            by_text.setdefault(name, []).append((hub, p, h, True))
         out, hasher, done = [], SpanHash(), set()
         for ids, versions, data, offsets in text_blocks(texts) if by_text else ():
             names = list(zip(ids.tolist(), versions.tolist()))
@@ -245,18 +336,18 @@ def _chain_function(width: int, gap_cost: float, least_seeds: int):
                 if name in done:  # a repeated row
                     continue
                 done.add(name)
-                for hub, p, h in by_text.get(name, ()):
+                for hub, p, h, exact in by_text.get(name, ()):
                     n = int(bounds[row + 1] - bounds[row])
                     first = max(0, int(p[0]) - MARGIN)
                     after = min(n, int(p[-1]) + width + MARGIN)
                     own = short[bounds[row] + first : bounds[row] + after]
                     seeds = np.stack([p, h], axis=1).astype(np.uint32)
                     ends = max(0, int(h[0]) - MARGIN), int(h[-1]) + width + MARGIN
-                    out.append((name[0], *hub, *ends, seeds.tobytes(), first, own.tobytes()))
-        columns = list(zip(*out)) if out else [()] * 8
-        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64(), pa.binary()]
+                    out.append((name[0], *hub, *ends, seeds.tobytes(), first, own.tobytes(), exact))
+        columns = list(zip(*out)) if out else [()] * 9
+        kinds = [pa.int64()] * 5 + [pa.binary(), pa.int64(), pa.binary(), pa.bool_()]
         names = ["doc_id", "hub", "hub_version", "hub_first", "hub_after"]
-        names += ["seeds", "first", "words"]
+        names += ["seeds", "first", "words", "exact"]
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return chain
@@ -350,13 +441,14 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int):
 
 PASSAGES = (
     "doc_id bigint, other_id bigint, start_word bigint, end_word bigint, "
-    "other_start bigint, other_end bigint, n_matched bigint"
+    "other_start bigint, other_end bigint, n_matched bigint, exact boolean"
 )
 
 
 def _align_function(width: int, least_words: int, percent: int):
     def align(batches):
         names = ["doc_id", "other_id", "start_word", "end_word", "other_start", "other_end", "n_matched"]
+        kinds = [pa.int64()] * 7 + [pa.bool_()]
         for batch in batches:
             out = []
             columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
@@ -371,10 +463,12 @@ def _align_function(width: int, least_words: int, percent: int):
                 if shortest >= least_words and 100 * found[4] >= percent * longest:
                     out.append(
                         (columns["doc_id"][row], columns["hub"][row], found[0] + first,
-                         found[1] + first, found[2] + hub_first, found[3] + hub_first, found[4])
+                         found[1] + first, found[2] + hub_first, found[3] + hub_first, found[4],
+                         columns["exact"][row])
                     )
-            fields = list(zip(*out)) if out else [()] * 7
-            yield pa.RecordBatch.from_arrays([pa.array(f, pa.int64()) for f in fields], names=names)
+            fields = list(zip(*out)) if out else [()] * 8
+            arrays = [pa.array(f, kind) for f, kind in zip(fields, kinds)]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "exact"])
 
     return align
 
@@ -394,27 +488,43 @@ def repeated_passages(
 
     1. Seeds, the least of each ``window`` runs of ``width`` words, are matched to their first
        place in the corpus, the smallest doc_id; so copies cost matches, not pairs.
-    2. A document's matches with one earlier document are chained.
-    3. Chains are aligned on the words of both documents and extended at their ends.
+    2. Runs of ``least_words`` words whose seeds all occur in other documents are matched to the
+       first place of the whole run. So no equal words of that length are lost where their parts
+       are first held by different documents.
+    3. A document's matches with one earlier document are chained.
+    4. Chains are aligned on the words of both documents and extended at their ends.
 
     Null and empty texts have no words. Rows without doc_id take no part; rows that share one are
     one document and do not repeat each other. Repeated rows count once. A passage that is only
     repeated inside its own document is not listed. No rows give no rows.
     """
+    if least_words < width + window - 1:
+        raise ValueError("least_words must hold a window of seeds")
     rows = keyed(docs).where(F.col("doc_id") != NO_ID)
     n_texts = bucket_count(docs)
     n_seeds = bucket_count(docs, SEED_BUCKET_BYTES)
     sent = cut(rows.mapInArrow(_seed_function(width, window, n_seeds, n_texts), ROWS))
-    met = (
+    met = cut(
         sent.where(F.col("kind") == SEED)
         .groupBy("bucket")
-        .applyInArrow(_meet_function(n_texts), ROWS)
+        .applyInArrow(_meet_function(n_texts, MATCH), ROWS)
     )
-    matches = sent.where(F.col("kind") == MATCH).unionByName(met)
-    chained = cut(
+    matches = sent.where(F.col("kind") != SEED).unionByName(met)
+    long = cut(
         texts_by_bucket(rows, n_texts).groupBy("bucket")
         .cogroup(matches.groupBy("bucket"))
-        .applyInArrow(_chain_function(width, GAP_COST, LEAST_SEEDS), CHAINS)
+        .applyInArrow(_window_function(least_words, width, window, n_seeds, n_texts), ROWS)
+    )
+    long_met = (
+        long.where(F.col("kind") == SEED)
+        .groupBy("bucket")
+        .applyInArrow(_meet_function(n_texts, LONG), ROWS)
+    )
+    matches = matches.where(F.col("kind") == MATCH).unionByName(long.where(F.col("kind") == LONG))
+    chained = cut(
+        texts_by_bucket(rows, n_texts).groupBy("bucket")
+        .cogroup(matches.unionByName(long_met).groupBy("bucket"))
+        .applyInArrow(_chain_function(width, GAP_COST, LEAST_SEEDS, least_words), CHAINS)
     )
     hubs = chained.select("hub", "hub_version").distinct()
     hubs = hubs.mapInArrow(_hub_buckets(n_texts), "bucket int, hub bigint, hub_version bigint")
@@ -425,9 +535,16 @@ def repeated_passages(
     )
     # only the hub's words around the chain go on, at four bytes each
     around = F.expr("substring(hub_words, cast(4 * hub_first + 1 as int), 4 * cast(hub_after - hub_first as int))")
-    return (
+    passages = (
         chained.join(hub_words, ["hub", "hub_version"])
         .withColumn("hub_words", around)
         .drop("hub_after", "hub_version")
         .mapInArrow(_align_function(width, least_words, percent), PASSAGES)
     )
+    # equal words inside a longer passage of the same two documents are no passage of their own
+    before = Window.partitionBy("doc_id", "other_id").orderBy("start_word").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    reach = F.max(F.when(~F.col("exact"), F.col("end_word"))).over(before)
+    inside = F.col("exact") & (F.coalesce(reach, F.lit(-1)) >= F.col("end_word"))
+    return passages.withColumn("_inside", inside).where(~F.col("_inside")).drop("_inside", "exact")

@@ -267,6 +267,29 @@ def test_collinear(docs, nothing):
     assert collinear.repeated_passages(nothing).count() == 0
 
 
+def test_collinear_passage_of_stock_parts(spark):
+    rng = random.Random(4)
+
+    def new(n):
+        return ["".join(rng.choices("abcdefghij", k=9)) for _ in range(n)]
+
+    whole = new(145)
+    # each part is first held by a document of its own, 45 words with 20 in common with the next
+    rows = [(i, new(30) + whole[25 * i : 25 * i + 45] + new(30)) for i in range(5)]
+    rows += [(10, new(40) + whole + new(7)), (11, new(5) + whole + new(60)), (12, new(90))]
+    # the whole again beside one document that holds a part of it many times
+    rows += [(13, [w for _ in range(70) for w in whole[30:60]]), (14, whole[20:90])]
+    rows = [(i, " ".join(words)) for i, words in rows]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = collinear.repeated_passages(frame).collect()
+    covered = defaultdict(set)
+    for r in found:
+        covered[r.doc_id] |= set(range(r.start_word, r.end_word))
+    assert covered[11] >= set(range(5, 150)) and covered[14] >= set(range(70))
+    assert not covered.keys() & {0, 1, 2, 3, 4, 10, 12}
+    assert len(found) == len({(r.doc_id, r.other_id, r.start_word) for r in found})
+
+
 def test_chains_take_the_best():
     import numpy as np
 
