@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -322,6 +323,41 @@ def test_secret_scan(spark, docs, nothing):
     assert secret_scan.scan_secrets(nothing).count() == 0
 
 
+def test_secret_scan_looks_at_whole_tokens():
+    key = "k3Jx9QmZ7vLp2RtY8wNc"
+    text = "see https://hooks.example.com/services/T00000000/B00000000/" + key + " and\n"
+    text += "/data/config/v1/AKIA" + "A1B2" * 5 + "-" + key + "tail/" + "z" * 200
+    base = secret_scan.base_findings(text)
+    found = secret_scan.candidates(text, base)
+    assert [text[s:e] for s, e in found][1:] == ["/data/config/v1/", "-" + key + "tail/" + "z" * 200]
+    seen = [(s, e, at) for s, e in found for at in secret_scan.windows(text, s, e)]
+    for start, end in found:
+        inside = {at + i for s, e, at in seen if s == start for i in range(min(secret_scan.TOKEN, e - at))}
+        assert inside == set(range(start, end))
+    assert text.index(key) in {at for _, _, at in seen}
+    # one finding that reaches over two runs, and two findings in one run
+    assert secret_scan.candidates("x" * 20 + " " + "y" * 40, [(18, 0, 25)]) == [(0, 18), (25, 61)]
+    assert secret_scan.candidates("x" * 80, [(16, 0, 30), (20, 2, 50)]) == [(0, 16), (50, 80)]
+
+    flat = secret_scan.Network(*[np.zeros(n) for n in [(256, 12), (60, 24), 24, 48, 1]], 1.0, 0.0, 0.5)
+    asked = []
+
+    def judged(rows, net):
+        asked.extend(rows)
+        # only a window that begins with the key is a secret
+        mark = secret_scan.encoded(key, 0, len(key))[secret_scan.BEFORE :][: len(key)]
+        return np.where((rows[:, secret_scan.BEFORE :][:, : len(key)] == mark).all(axis=1), 9.0, -9.0)
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    original, secret_scan.logits = secret_scan.logits, judged
+    try:
+        scan = secret_scan._scan_function(type("Held", (), {"value": flat}))
+        spans = next(scan([batch])).column("spans").to_pylist()[0]
+    finally:
+        secret_scan.logits = original
+    assert sum(s["kind"] == "learned" for s in spans) == 2 and len(asked) == len(seen)
+
+
 def test_nearest_neighbours(spark):
     random.seed(2)
     centres = [[random.gauss(0, 1) for _ in range(16)] for _ in range(8)]
