@@ -358,6 +358,18 @@ def test_secret_scan_looks_at_whole_tokens():
     assert sum(s["kind"] == "learned" for s in spans) == 2 and len(asked) == len(seen)
 
 
+def test_secret_threshold_keeps_the_recall():
+    rng = np.random.default_rng(5)
+    # findings are rare and look like everything else, so that they score low
+    rows = rng.integers(33, 120, (400, secret_scan.WIDTH)).astype(np.uint8)
+    labels = (rng.random(400) < 0.2).astype(float)
+    net = secret_scan.train_network(rows, labels)
+    kept = np.random.default_rng(secret_scan.SEED).permutation(400)[:100]
+    kept = kept[labels[kept] == 1]
+    scores = secret_scan._sigmoid(net.scale * secret_scan.logits(rows[kept], net) + net.shift)
+    assert (scores >= net.threshold).mean() >= secret_scan.LEAST_RECALL
+
+
 def test_nearest_neighbours(spark):
     random.seed(2)
     centres = [[random.gauss(0, 1) for _ in range(16)] for _ in range(8)]
