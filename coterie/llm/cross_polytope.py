@@ -12,6 +12,7 @@ PROBES = 16
 SEED = 20_011
 CHUNK_ROWS = 8192
 CHUNK_QUERIES = 1024
+BLOCK_VALUES = 1 << 19
 SALTS = 16
 
 
@@ -73,15 +74,19 @@ def _hash_function(tables: int, probes: int):
                     pa.array(np.concatenate(tables_) if tables_ else [], pa.int32()),
                     pa.array(np.concatenate(axes) if axes else [], pa.int32()),
                     batch.column("vector").take(pa.array(rows)),
+                    batch.column("least_id").take(pa.array(rows)),
                 ],
-                names=["rep", "size", "table", "axis", "vector"],
+                names=["rep", "size", "table", "axis", "vector", "least_id"],
             )
 
     return send
 
 
 def _rerank_function(most: int):
-    """The ``most`` nearest rows of a chunk for each query that probes it, by exact distance."""
+    """The ``most`` nearest rows of a chunk for each query that probes it, by exact distance.
+
+    Of equally far rows those with the smaller ids are taken.
+    """
 
     def rerank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         query, rep, distance = [], [], []
@@ -89,15 +94,16 @@ def _rerank_function(most: int):
             q = np.array(queries.column("vector").to_pylist(), np.float64)
             x = np.array(rows.column("vector").to_pylist(), np.float64)
             query_ids, row_ids = queries.column("rep").to_numpy(), rows.column("rep").to_numpy()
-            norms = np.einsum("ij,ij->i", x, x)
+            least_ids = rows.column("least_id").to_numpy()
+            step = max(1, BLOCK_VALUES // x.shape[1])
+            blocks = [x[at : at + step] for at in range(0, len(x), step)]
+            take = min(len(x), most)
             for i in range(len(q)):
-                near = norms - 2 * (x @ q[i])
-                spare = min(len(x), most + 8)  # rounding must not lose one at the edge
-                chosen = np.argpartition(near, spare - 1)[:spare]
-                exact = np.sqrt(((x[chosen] - q[i]) ** 2).sum(axis=1))
-                order = np.lexsort((row_ids[chosen], exact))[:most]
+                exact = np.concatenate([np.sqrt(((part - q[i]) ** 2).sum(axis=1)) for part in blocks])
+                chosen = np.flatnonzero(exact <= np.partition(exact, take - 1)[take - 1])
+                order = chosen[np.lexsort((row_ids[chosen], least_ids[chosen], exact[chosen]))[:take]]
                 query += [query_ids[i]] * len(order)
-                rep += row_ids[chosen][order].tolist()
+                rep += row_ids[order].tolist()
                 distance += exact[order].tolist()
         columns = [pa.array(query, pa.int64()), pa.array(rep, pa.int64())]
         columns.append(pa.array(distance, pa.float64()))
@@ -106,6 +112,33 @@ def _rerank_function(most: int):
     return rerank
 
 
+def _met_rows(index: DataFrame, probing: DataFrame, most: int) -> DataFrame:
+    """(query_rep, rep, score): the nearest rows of each chunk of the buckets that queries probe."""
+    bucket = ["size", "table", "axis"]
+    # as many rows as there are buckets, which the dimension and the tables fix
+    chunks = index.groupBy(*bucket).agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks")
+    )
+    blocks = probing.groupBy(*bucket).agg(
+        F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("blocks")
+    )
+    met = F.broadcast(chunks.join(blocks, bucket))
+
+    def dealt(frame, own, own_name, other, other_name):
+        one = F.pmod(F.xxhash64("rep"), F.col(own)).cast("int").alias(own_name)
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_name)
+        return frame.join(met, bucket).select("rep", *bucket, "vector", "least_id", one, every)
+
+    place = [*bucket, "chunk", "block"]
+    sent_rows = dealt(index, "chunks", "chunk", "blocks", "block")
+    sent_queries = dealt(probing, "blocks", "block", "chunks", "chunk")
+    return (
+        sent_queries.groupBy(*place)
+        .cogroup(sent_rows.groupBy(*place))
+        .applyInArrow(_rerank_function(most), "query_rep bigint, rep bigint, score double")
+    )
+
+
 def usable(vectors: DataFrame, id_name: str, vector_name: str) -> DataFrame:
     """(vec_id, vector) of the rows with an id and a finite vector that is not zero."""
     vector = F.col(vector_name).cast("array<double>")
@@ -162,7 +195,9 @@ def nearest(
     members = cut(members)
     # a representative may stand for several vectors if ids repeat: it is named by both
     name = F.xxhash64("rep", "key")
-    distinct = members.where(F.col("vec_id") == F.col("rep")).select(name.alias("rep"), "vector")
+    distinct = members.where(F.col("vec_id") == F.col("rep")).select(
+        name.alias("rep"), "vector", F.col("rep").alias("least_id")
+    )
     ids = members.select(name.alias("rep"), "vec_id")
     asked = cut(
         queries.distinct()
@@ -180,46 +215,30 @@ def nearest(
             "vector",
         )
     )
-    hashed = "rep bigint, size int, table int, axis int, vector array<double>"
+    hashed = "rep bigint, size int, table int, axis int, vector array<double>, least_id bigint"
     index = cut(distinct.mapInArrow(_hash_function(tables, 1), hashed))
-    probing = (
-        asked.groupBy("rep").agg(F.first("vector").alias("vector"))
-        .mapInArrow(_hash_function(tables, probes), hashed)
-    )
-    bucket = ["size", "table", "axis"]
-    # as many rows as there are buckets, which the dimension and the tables fix
-    chunks = index.groupBy(*bucket).agg(
-        F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks")
+    queried = asked.groupBy("rep").agg(
+        F.first("vector").alias("vector"), F.min("query_id").alias("least_id")
     )
-    blocks = probing.groupBy(*bucket).agg(
-        F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("blocks")
-    )
-    met = F.broadcast(chunks.join(blocks, bucket))
+    probing = queried.mapInArrow(_hash_function(tables, probes), hashed)
+    near = cut(_met_rows(index, probing, k + 1).distinct())
+    by_rep = asked.select(F.col("rep").alias("query_rep"), "query_id").distinct()
+    of_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
 
-    def dealt(frame, own, own_name, other, other_name):
-        one = F.pmod(F.xxhash64("rep"), F.col(own)).cast("int").alias(own_name)
-        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other_name)
-        return frame.join(met, bucket).select("rep", *bucket, "vector", one, every)
+    def ranked(near):
+        by_score = Window.partitionBy("query_rep").orderBy("score")
+        near = near.withColumn("_place", F.dense_rank().over(by_score))
+        return (
+            near.where(F.col("_place") <= k + 1)
+            .drop("_place")
+            .join(ids, "rep")
+            .join(by_rep, "query_rep")
+            .where(F.col("vec_id") != F.col("query_id"))
+            .groupBy("query_id", "vec_id")
+            .agg(F.min("score").alias("score"))
+            .withColumn("rank", F.row_number().over(of_query))
+            .where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score")
+        )
 
-    place = [*bucket, "chunk", "block"]
-    sent_rows = dealt(index, "chunks", "chunk", "blocks", "block")
-    sent_queries = dealt(probing, "blocks", "block", "chunks", "chunk")
-    near = (
-        sent_queries.groupBy(*place)
-        .cogroup(sent_rows.groupBy(*place))
-        .applyInArrow(_rerank_function(k + 1), "query_rep bigint, rep bigint, score double")
-        .distinct()
-    )
-    near = near.withColumn("_place", F.dense_rank().over(Window.partitionBy("query_rep").orderBy("score")))
-    near = near.where(F.col("_place") <= k + 1).drop("_place")
-    of_query = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return (
-        near.join(ids, "rep")
-        .join(asked.select(F.col("rep").alias("query_rep"), "query_id").distinct(), "query_rep")
-        .where(F.col("vec_id") != F.col("query_id"))
-        .groupBy("query_id", "vec_id")
-        .agg(F.min("score").alias("score"))
-        .withColumn("rank", F.row_number().over(of_query))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return ranked(near)

@@ -396,6 +396,28 @@ def test_nearest_neighbours(spark):
     assert cross_polytope.nearest(vectors.limit(0), asked).count() == 0
 
 
+def nearest_in_a_chunk(x, ids, q, most):
+    rng = np.random.default_rng(8)
+    rows = {"rep": rng.permutation(len(x)), "vector": x.tolist(), "least_id": ids}
+    asked = {"rep": [0], "vector": [q.tolist()]}
+    out = cross_polytope._rerank_function(most)(pa.table(asked), pa.table(rows))
+    by_rep = dict(zip(rows["rep"].tolist(), ids.tolist()))
+    return [by_rep[rep] for rep in out.column("rep").to_pylist()]
+
+
+def test_nearest_rows_of_a_chunk_with_ties():
+    ids = np.random.default_rng(7).permutation(64)
+    assert nearest_in_a_chunk(np.eye(64), ids, np.zeros(64), 11) == list(range(11))
+
+
+def test_nearest_rows_of_a_chunk_with_an_offset():
+    rng = np.random.default_rng(9)
+    x = 1e9 + rng.normal(size=(500, 16))
+    q = 1e9 + rng.normal(size=16)
+    exact = sorted(range(500), key=lambda i: ((x[i] - q) ** 2).sum())[:11]
+    assert nearest_in_a_chunk(x, np.arange(500), q, 11) == exact
+
+
 def test_quality(spark, docs, nothing):
     random.seed(4)
     good = [" ".join(random.choices("abcdefgh", k=6)) + ". Plain words follow here, and end." for _ in range(150)]
