@@ -174,6 +174,8 @@ def nearest(
     3. Buckets are cut into chunks of about ``CHUNK_ROWS`` rows, and the queries of a bucket into
        blocks. Each block takes the exact nearest rows of each chunk, so what a query gets is
        bounded by the number of chunks it meets.
+    4. Queries that got fewer than ``k`` rows are compared with all rows of their length. So a
+       result is shorter only where there are no more candidates.
 
     Vectors only meet vectors of their own length. Rows that share an id are told apart by their
     vectors; repeated rows are one. Without rows or queries the result is empty.
@@ -241,4 +243,12 @@ def nearest(
             .select("query_id", "rank", "vec_id", "score")
         )
 
-    return ranked(near)
+    found = cut(ranked(near))
+    whole = found.where(F.col("rank") == k).select("query_id")
+    short = cut(asked.join(whole, "query_id", "left_anti").select("rep", "query_id").distinct())
+    everywhere = [F.size("vector").alias("size"), F.lit(0).alias("table"), F.lit(0).alias("axis")]
+    fields = ["rep", *everywhere, "vector", "least_id"]
+    wanted = queried.join(short.select("rep").distinct(), "rep", "left_semi").select(*fields)
+    added = ranked(_met_rows(distinct.select(*fields), wanted, k + 1).distinct())
+    added = added.join(short.select("query_id").distinct(), "query_id", "left_semi")
+    return found.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(added)

@@ -396,6 +396,21 @@ def test_nearest_neighbours(spark):
     assert cross_polytope.nearest(vectors.limit(0), asked).count() == 0
 
 
+def test_nearest_neighbours_of_small_tables(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(5)]
+    rows += [(10 + i, rng.normal(size=48).tolist()) for i in range(14)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    vectors = cross_polytope.usable(frame, "vec_id", "embedding")
+    found = defaultdict(list)
+    for r in cross_polytope.nearest(vectors, vectors).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.rank, r.vec_id))
+    assert all(len(found[i]) == (4 if i < 10 else 10) for i, _ in rows)
+    held = dict(rows)
+    short = [(j, math.dist(held[0], held[j])) for j in range(1, 5)]
+    assert [i for _, i in found[0]] == [j for j, _ in sorted(short, key=lambda x: x[1])]
+
+
 def nearest_in_a_chunk(x, ids, q, most):
     rng = np.random.default_rng(8)
     rows = {"rep": rng.permutation(len(x)), "vector": x.tolist(), "least_id": ids}
