@@ -13,6 +13,7 @@ from coterie.llm import (
     quality_knn,
     secret_scan,
     sharding,
+    simhash,
     suffix_dedup,
 )
 from coterie.llm.sql import (
@@ -133,3 +134,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+@QUERIES.add("op12_simhash_near_dedup")
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's SimHash and the smallest document that links of three bits reach."""
+    found = simhash.near_copies(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
