@@ -15,6 +15,7 @@ from coterie.llm import (
     sharding,
     simhash,
     suffix_dedup,
+    whitening,
 )
 from coterie.llm.sql import (
     DECONTAMINATION_SQL,
@@ -145,3 +146,9 @@ def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+@QUERIES.add("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's first four whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
