@@ -14,6 +14,7 @@ from coterie.llm import (
     secret_scan,
     sharding,
     simhash,
+    spelling,
     suffix_dedup,
     whitening,
 )
@@ -23,6 +24,7 @@ from coterie.llm.sql import (
     LINE_DEDUP_SQL,
     MIXING_SQL,
     SHARDING_SQL,
+    SPELLING_SQL,
 )
 from coterie.plans.registry import Registry
 from coterie.plans.tables import table
@@ -137,6 +139,15 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@QUERIES.add("op11_spelling_variants", SPELLING_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the corpus with the near word that is at least five times as frequent."""
+    words = spelling.word_counts(table(spark, sf_dir, "documents"))
+    return spelling.spelling_variants(words).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
+
+
 @QUERIES.add("op12_simhash_near_dedup")
 def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SimHash and the smallest document that links of three bits reach."""

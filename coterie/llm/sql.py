@@ -62,18 +62,25 @@ def _shard(n: int) -> str:
 
 
 # CRC-32 by bytes; the table of 256 remainders comes from its rule, eight halvings of each byte.
-SHARDING_SQL = f"""
-WITH remainders AS (
+_REMAINDERS = """remainders AS (
   SELECT list(r ORDER BY b) AS crc FROM (
     SELECT b, list_reduce(range(8), lambda r, i:
         CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END, b) AS r
-    FROM range(256) t(b))),
+    FROM range(256) t(b)))"""
+
+
+def _crc32(text: str) -> str:
+    return f"""xor(4294967295, list_reduce(
+      list_transform(regexp_extract_all(hex(encode({text})), '..'),
+        lambda x: CAST('0x' || x AS BIGINT)),
+      lambda r, x: xor(r >> 8, crc[(xor(r, x) & 255) + 1]), 4294967295))"""
+
+
+SHARDING_SQL = f"""
+WITH {_REMAINDERS},
 sized AS (
   SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
-    xor(4294967295, list_reduce(
-      list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-        lambda x: CAST('0x' || x AS BIGINT)),
-      lambda r, x: xor(r >> 8, crc[(xor(r, x) & 255) + 1]), 4294967295)) AS text_crc32,
+    {_crc32("coalesce(text, '')")} AS text_crc32,
     {_shard(16)} AS shard, {_shard(17)} AS grown_shard
   FROM documents, remainders)
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32,
@@ -135,3 +142,43 @@ reached AS (
 SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(r.component, d.doc_id) AS component_id
 FROM doc_words d LEFT JOIN sizes s USING (doc_id)
 LEFT JOIN (SELECT doc_id, min(other) AS component FROM reached GROUP BY doc_id) r USING (doc_id)"""
+
+
+SPELLING_SQL = f"""
+WITH RECURSIVE {_REMAINDERS},
+runs AS (
+  SELECT id, run, count(*) AS n
+  FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+numbered AS (SELECT run, n, {_crc32("id || ':' || run")} AS h FROM runs, remainders),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 199 = 0
+      THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM numbered)
+  GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5),
+cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM cuts SEMI JOIN words w ON rest = w.word
+  UNION SELECT rest, word FROM cuts SEMI JOIN words w ON rest = w.word),
+best AS (
+  SELECT near.word, count(*) AS n_near,
+    first(struct_pack(form := other, form_n := w.n) ORDER BY w.n DESC, other) AS top
+  FROM near JOIN words w ON other = w.word GROUP BY near.word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN top.form_n >= 5 * n THEN top.form END AS form,
+    CASE WHEN top.form_n >= 5 * n THEN top.form_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+followed AS (
+  SELECT word, word AS root, form AS further FROM forms
+  UNION ALL
+  SELECT f.word, g.word, g.form FROM followed f JOIN forms g ON f.further = g.word)
+SELECT word, form, root, n, n_near, form_n
+FROM forms JOIN (SELECT word, root FROM followed WHERE further IS NULL) USING (word)"""
