@@ -25,7 +25,8 @@ def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
     points = cut(titles.select("title", "weight"))
     near = cut(both_ways(edit_distance_join(points, eps)).select("title", "neighbour"))
     weights = points.select(F.col("title").alias("neighbour"), "weight")
-    around = near.join(weights, "neighbour").groupBy("title").agg(F.sum("weight").alias("around"))
+    around = salted_join(near, weights, ["neighbour"], "title")
+    around = around.groupBy("title").agg(F.sum("weight").alias("around"))
     degree = points.join(around, "title", "left").select(
         "title", (F.col("weight") + F.coalesce("around", F.lit(0))).alias("n_neighbours")
     )
@@ -43,8 +44,12 @@ def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
         components.join(numbers, "component").select(F.col("id").alias("title"), "cluster")
     )
     border_clusters = (
-        to_core.join(core_title, "title", "left_anti")
-        .join(core_clusters.withColumnRenamed("title", "neighbour"), "neighbour")
+        salted_join(
+            to_core.join(core_title, "title", "left_anti"),
+            core_clusters.withColumnRenamed("title", "neighbour"),
+            ["neighbour"],
+            "title",
+        )
         .groupBy("title")
         .agg(F.min("cluster").alias("cluster"))
     )

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coterie.operators.heavy_join import heavy_join
 from coterie.operators.lineage import cut
 
 
@@ -67,8 +68,9 @@ def edit_distance_join(
     which the titles then determine and which others never leave the join. Of two strings within ``eps`` edits, the longer one holds
     at least one of the shorter one's ``eps + 1`` segments unchanged, at a position that the
     other edits can explain; joining on (length, segment number, segment text) therefore misses
-    no pair and compares no pair without such a match. Candidates are verified where they meet,
-    and only true pairs are shuffled once more to drop repeats.
+    no pair and compares no pair without such a match. A segment that many titles hold is cut into
+    tiles on both sides. Candidates are verified where they meet, and only true pairs are shuffled
+    once more to drop repeats.
     """
     key = ["size", "part", "segment"]
     # both sides of the join read the titles, so they are computed once
@@ -76,11 +78,13 @@ def edit_distance_join(
     every = titles.select("title", side).distinct().withColumn("size", F.length("title"))
     every = cut(every)
     if of is None:
-        met = _indexed(every, eps).join(_probes(every, eps), key)
+        met = heavy_join(_indexed(every, eps), _probes(every, eps), key, "short", "long")
     else:
         some = every.join(of.select("title"), "title", "left_semi")
-        met = _indexed(every, eps).join(_probes(some, eps), key)
-        met = met.unionByName(_indexed(some, eps).join(_probes(every, eps), key))
+        some = cut(some)
+        met = heavy_join(_indexed(every, eps), _probes(some, eps), key, "short", "long").unionByName(
+            heavy_join(_indexed(some, eps), _probes(every, eps), key, "short", "long")
+        )
     once = (F.length("long") > F.col("size")) | (F.col("short") < F.col("long"))
     if of is not None:
         once = F.lit(True)

@@ -14,6 +14,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from coterie.operators.heavy_join import heavy_join
 from coterie.operators.indexing import index_within
 from coterie.operators.lineage import cut
 
@@ -137,10 +138,12 @@ def containment_counts(baskets: DataFrame, itemsets: DataFrame) -> DataFrame:
         .agg(F.min(F.struct(F.coalesce("support", F.lit(0)).alias("support"), "item")).alias("r"))
         .select("itemset", F.col("r.item").alias("item"))
     )
-    hits = baskets.join(rarest, "item").select("basket_id", "itemset")
+    rarest = cut(rarest)
+    hits = heavy_join(baskets, rarest, ["item"], "basket_id", "itemset")
+    hits = hits.select("basket_id", "itemset")
     found = (
         hits.select("basket_id", "itemset", F.explode("itemset").alias("item"))
-        .join(baskets, ["basket_id", "item"])
+        .join(baskets.select("basket_id", "item"), ["basket_id", "item"])
         .groupBy("basket_id", "itemset")
         .agg(F.count(F.lit(1)).alias("n_found"))
         .where(F.col("n_found") == F.size("itemset"))

@@ -14,6 +14,7 @@ from pyspark.sql import Window
 
 from coterie.functions.hashing import md5_int
 from coterie.functions.text import character_windows, tokens, word_windows
+from coterie.operators.heavy_join import heavy_join
 from coterie.operators.indexing import dense_index
 from coterie.operators.lineage import cut
 from coterie.operators.skew import salted_join
@@ -176,25 +177,22 @@ def _candidates(representatives: DataFrame, threshold: float) -> DataFrame:
         .where(F.col("frequency") > 1)
     )
     rank = Window.partitionBy("post_id").orderBy(F.col("frequency").asc_nulls_first(), "shingle")
-    prefix = (
+    prefix = cut(
         rows.join(shared, "shingle", "left")
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") <= _prefix_length(F.col("n"), threshold))
         .where(F.col("frequency").isNotNull())
         .select("post_id", "n", "shingle")
     )
-    a, b = prefix.alias("a"), prefix.alias("b")
+    a = prefix.select("shingle", F.col("post_id").alias("post_a"), F.col("n").alias("n_a"))
+    b = prefix.select("shingle", F.col("post_id").alias("post_b"), F.col("n").alias("n_b"))
     close = (
-        (F.col("a.shingle") == F.col("b.shingle"))
-        & (F.col("a.post_id") < F.col("b.post_id"))
-        & (F.col("a.n") >= F.col("b.n") * F.lit(threshold) - F.lit(1e-9))
-        & (F.col("b.n") >= F.col("a.n") * F.lit(threshold) - F.lit(1e-9))
-    )
-    return (
-        a.join(b, close)
-        .select(F.col("a.post_id").alias("post_a"), F.col("b.post_id").alias("post_b"))
-        .distinct()
+        (F.col("post_a") < F.col("post_b"))
+        & (F.col("n_a") >= F.col("n_b") * F.lit(threshold) - F.lit(1e-9))
+        & (F.col("n_b") >= F.col("n_a") * F.lit(threshold) - F.lit(1e-9))
     )
+    met = heavy_join(a, b, ["shingle"], "post_a", "post_b").where(close)
+    return met.select("post_a", "post_b").distinct()
 
 
 def similar_pairs(sets: DataFrame, threshold: float, strict: bool = False) -> SimilarPairs:
