@@ -18,8 +18,11 @@ from coterie.operators.heavy_join import heavy_join
 from coterie.operators.indexing import dense_index
 from coterie.operators.lineage import cut
 from coterie.operators.skew import salted_join
+from coterie.operators.spectrum import pairs_above, spectrum
 
 SHINGLE_SIZE = 5
+# below this similarity pairs are found by block products instead of prefixes
+LOW_THRESHOLD = 0.2
 
 
 def sample_fraction(rows: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -196,11 +199,17 @@ def _candidates(representatives: DataFrame, threshold: float) -> DataFrame:
 
 
 def similar_pairs(sets: DataFrame, threshold: float, strict: bool = False) -> SimilarPairs:
-    """Exact Jaccard similarity join: all pairs at or (``strict``) above the threshold."""
+    """Exact Jaccard similarity join: all pairs at or (``strict``) above the threshold.
+
+    Where the threshold is low, nearly all shingles of a set are in its prefix, and block products
+    take less than joining them.
+    """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
     representatives, copies = _classes(cut(sets))
     representatives = cut(representatives)
+    if threshold < LOW_THRESHOLD:
+        return SimilarPairs(pairs_above(representatives, threshold, strict), copies)
     left = representatives.select(
         F.col("post_id").alias("post_a"),
         F.col("shingles").alias("shingles_a"),
@@ -228,13 +237,15 @@ def similar_pairs(sets: DataFrame, threshold: float, strict: bool = False) -> Si
     return SimilarPairs(pairs, copies)
 
 
-def weighted_similarities(found: SimilarPairs) -> DataFrame:
-    """(jaccard, n_pairs): how many pairs of documents have each similarity."""
-    between = found.pairs.select(
-        "jaccard", (F.col("copies_a") * F.col("copies_b")).alias("n_pairs")
-    )
+def similarity_spectrum(sets: DataFrame) -> DataFrame:
+    """(jaccard, n_pairs): how many pairs of documents have each similarity above zero.
+
+    Pairs are counted inside block products and never leave a task one by one.
+    """
+    representatives, copies = _classes(cut(sets))
+    between = spectrum(representatives)
     # each class of m members has m - 1 copy rows, which together stand for m (m - 1) / 2 pairs
-    classes = found.copies.groupBy("representative").agg(F.max("n_members").alias("m"))
+    classes = copies.groupBy("representative").agg(F.max("n_members").alias("m"))
     within = classes.select(
         F.lit(1.0).alias("jaccard"), F.expr("m * (m - 1) div 2").alias("n_pairs")
     )

@@ -62,9 +62,9 @@ PAIR_COLUMNS = "post_a, post_b, round(jaccard, 9) AS jaccard, copies_a, copies_b
 WEIGHTED = (
     WORD_SETS
     + PAIRS
-    + f""",
+    + """,
 weighted AS (
-  SELECT jaccard, copies_a * copies_b AS n_pairs FROM measured WHERE jaccard > {PRINT_CUT}
+  SELECT jaccard, copies_a * copies_b AS n_pairs FROM measured
   UNION ALL SELECT 1.0, copies * (copies - 1) // 2 FROM classes WHERE copies > 1)"""
 )
 
@@ -232,10 +232,9 @@ SELECT CAST(least(floor((jaccard - low) / (high - low) * 50), 49) AS INTEGER) AS
 FROM weighted, ends GROUP BY ALL""",
 )
 def similarity_histogram(spark, sf_dir):
-    found = similarity.similar_pairs(word_sets(spark, sf_dir), PRINT_CUT, strict=True)
-    return similarity.similarity_histogram(
-        minhash.cut(similarity.weighted_similarities(found))
-    )
+    """Every pair of documents that share a shingle, in 50 bins of similarity."""
+    found = minhash.cut(similarity.similarity_spectrum(word_sets(spark, sf_dir)))
+    return similarity.similarity_histogram(found)
 
 
 @QUERIES.add("minhash_signatures", SIGNATURES + " SELECT post_id, hash_no, minhash FROM signatures")
@@ -326,8 +325,7 @@ SELECT CAST(b AS INTEGER) AS b, CAST(r AS INTEGER) AS r,
 FROM each GROUP BY b, r""",
 )
 def lsh_band_plan(spark, sf_dir):
-    found = similarity.similar_pairs(word_sets(spark, sf_dir), PRINT_CUT, strict=True)
-    return minhash.band_plan(similarity.weighted_similarities(found))
+    return minhash.band_plan(similarity.similarity_spectrum(word_sets(spark, sf_dir)))
 
 
 @QUERIES.add(

@@ -1,11 +1,12 @@
 """The similarity join, MinHash and grouping against brute force."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from coterie.operators import indexing, minhash, similarity, skew
+from coterie.operators import indexing, minhash, similarity, skew, spectrum
 
 
 @pytest.fixture(scope="module")
@@ -62,11 +63,23 @@ def test_similar_pairs(spark, shingles, threshold, strict):
     assert got == expected
 
 
-def test_histogram_counts_every_pair(spark, shingles):
-    found = similarity.similar_pairs(frame(spark, shingles), 0.1)
-    weighted = similarity.weighted_similarities(found)
-    total = similarity.similarity_histogram(weighted).agg(F.sum("n_pairs")).first()[0]
-    assert total == len(brute_force(shingles, 0.1))
+@pytest.mark.parametrize("height,dense", [(2048, 1 / 64), (7, 1e-9), (7, 2.0)])
+def test_spectrum_counts_every_pair(spark, shingles, monkeypatch, height, dense):
+    """One block, and many, with all members multiplied as dense or as sparse columns."""
+    monkeypatch.setattr(spectrum, "MOST_BLOCK_SETS", height)
+    monkeypatch.setattr(spectrum, "DENSE_SHARE", dense)
+    monkeypatch.setattr(spectrum, "STEP_PAIRS", 50)
+    monkeypatch.setattr(spectrum, "MOST_BLOCK_MEMBERS", height * 4)
+    found = similarity.similarity_spectrum(frame(spark, shingles))
+    want = Counter(brute_force(shingles, 0.0, strict=True).values())
+    assert {round(r.jaccard, 9): r.n_pairs for r in found.collect()} == want
+    total = similarity.similarity_histogram(found).agg(F.sum("n_pairs")).first()[0]
+    assert total == sum(want.values())
+
+
+def test_spectrum_of_nothing(spark, shingles):
+    assert similarity.similarity_spectrum(frame(spark, shingles).limit(0)).count() == 0
+    assert similarity.similarity_spectrum(frame(spark, {1: {2}, 3: {4}})).count() == 0
 
 
 def test_signatures(spark, shingles):
