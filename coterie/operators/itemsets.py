@@ -1,13 +1,11 @@
 """Frequent itemsets over baskets held as one (basket_id, item) row per distinct item.
 
-Baskets stay exploded throughout: no basket is collected into one row except where an
-algorithm's input format asks for it (FP-growth), and there only below a size limit. The few
-baskets above that limit are set aside and counted afterwards, candidate by candidate. That is
-exact: with ``large`` baskets set aside, an itemset of support ``s`` is in at least
-``s - large`` of the others, so nothing frequent can hide in the large ones alone.
+Mining counts itemsets on bitmaps of basket ranges (``vertical``). Baskets themselves stay exploded:
+none is collected into one row except where FP-growth's input format asks for it.
 """
 
 from dataclasses import dataclass
+from functools import reduce
 from math import floor
 
 from pyspark.ml.fpm import FPGrowth
@@ -17,9 +15,8 @@ from pyspark.sql import functions as F
 from coterie.operators.heavy_join import heavy_join
 from coterie.operators.indexing import index_within
 from coterie.operators.lineage import cut
-
-# Above this many items a basket is set aside, if there are fewer such baskets than the support.
-LARGE_BASKET_ITEMS = 1000
+from coterie.operators.skew import salted_join
+from coterie.operators.vertical import VerticalIndex, vertical_index
 
 
 def dedupe_baskets(rows: DataFrame) -> DataFrame:
@@ -56,65 +53,15 @@ def least_support(min_support: int, strict: bool) -> int:
     return min_support + 1 if strict else min_support
 
 
-@dataclass
-class BasketSplit:
-    regular: DataFrame
-    large: DataFrame | None
-    n_large: int
-
-
-def split_large_baskets(baskets: DataFrame, support: int, max_items: int) -> BasketSplit:
-    """Set aside the largest baskets above ``max_items`` items, at most ``support - 1`` of them."""
-    sizes = baskets.groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_items"))
-    large_ids = cut(
-        sizes.where(F.col("n_items") > max_items)
-        .orderBy(F.desc("n_items"), "basket_id")
-        .limit(max(support - 1, 0))
-        .select("basket_id")
-    )
-    n_large = large_ids.count()
-    if n_large == 0:
-        return BasketSplit(baskets, None, 0)
-    return BasketSplit(
-        baskets.join(large_ids, "basket_id", "left_anti"),
-        baskets.join(large_ids, "basket_id", "left_semi"),
-        n_large,
-    )
-
-
-def item_occurrences(baskets: DataFrame) -> DataFrame:
-    """One-item occurrences as (basket_id, prefix, last), the form the level joins extend."""
-    return baskets.select(
-        "basket_id", F.array().cast("array<string>").alias("prefix"), F.col("item").alias("last")
-    )
-
-
-def extend_occurrences(occurrences: DataFrame) -> DataFrame:
-    """(k+1)-itemsets of each basket from its k-itemsets that share all but the last item."""
-    a = occurrences.alias("a")
-    b = occurrences.alias("b")
-    same = (
-        (F.col("a.basket_id") == F.col("b.basket_id"))
-        & (F.col("a.prefix") == F.col("b.prefix"))
-        & (F.col("a.last") < F.col("b.last"))
-    )
-    return a.join(b, same).select(
-        F.col("a.basket_id").alias("basket_id"),
-        F.array_append("a.prefix", F.col("a.last")).alias("prefix"),
-        F.col("b.last").alias("last"),
-    )
-
-
 def basket_pairs(baskets: DataFrame) -> DataFrame:
-    """Every pair of items of every basket, as (basket_id, item_a, item_b) with item_a < item_b."""
-    a = baskets.alias("a")
-    b = baskets.alias("b")
-    same = (F.col("a.basket_id") == F.col("b.basket_id")) & (F.col("a.item") < F.col("b.item"))
-    return a.join(b, same).select(
-        F.col("a.basket_id").alias("basket_id"),
-        F.col("a.item").alias("item_a"),
-        F.col("b.item").alias("item_b"),
-    )
+    """Every pair of items of every basket, as (basket_id, item_a, item_b) with item_a < item_b.
+
+    A basket that holds many of all rows is cut into tiles.
+    """
+    a = baskets.select("basket_id", F.col("item").alias("item_a"))
+    b = baskets.select("basket_id", F.col("item").alias("item_b"))
+    met = heavy_join(a, b, ["basket_id"], "item_a", "item_b")
+    return met.where(F.col("item_a") < F.col("item_b"))
 
 
 def bucket_counts(pairs: DataFrame, bucket: Column) -> DataFrame:
@@ -159,104 +106,75 @@ def containment_counts(baskets: DataFrame, itemsets: DataFrame) -> DataFrame:
 class BucketPruning:
     """Hash-bucket pruning of candidates at some levels.
 
-    ``max_basket_items``: only baskets below this size are hashed. The others are added to
-    every bucket's count as an upper bound, so that pruning never loses a frequent set.
+    The counts of all candidates of a level are first added up by bucket, and only candidates of
+    buckets that reach the support are added up one by one.
     """
 
     n_buckets: int
     levels: tuple[int, ...] = (2,)
-    max_basket_items: int | None = None
 
 
-def _prune(
-    occurrences: DataFrame, sizes: DataFrame, support: int, rule: BucketPruning
-) -> DataFrame:
-    """Drop occurrences whose bucket count, plus the unhashed baskets, stays below the support."""
-    bucket = F.pmod(F.xxhash64("prefix", "last"), F.lit(rule.n_buckets))
-    hashed = occurrences
-    unhashed = 0
-    if rule.max_basket_items is not None:
-        capped = sizes.where(F.col("n_items") >= rule.max_basket_items).select("basket_id")
-        hashed = occurrences.join(capped, "basket_id", "left_anti")
-        unhashed = capped.count()
-    if unhashed >= support:
-        return occurrences
+def _prune(counts: DataFrame, support: int, rule: BucketPruning) -> DataFrame:
+    """Drop the counts whose bucket stays below the support."""
+    bucket = F.pmod(F.xxhash64("items"), F.lit(rule.n_buckets)).alias("bucket")
     possible = (
-        bucket_counts(hashed, bucket).where(F.col("cnt") + unhashed >= support).select("bucket")
+        counts.groupBy(bucket)
+        .agg(F.sum("n").alias("cnt"))
+        .where(F.col("cnt") >= support)
+        .select("bucket")
     )
-    return occurrences.withColumn("bucket", bucket).join(possible, "bucket", "left_semi")
+    return counts.withColumn("bucket", bucket).join(possible, "bucket", "left_semi").drop("bucket")
 
 
-def frequent_itemsets(
-    baskets: DataFrame,
-    min_support: int,
-    max_k: int | None = None,
-    strict: bool = False,
-    pruning: BucketPruning | None = None,
-    max_items: int = LARGE_BASKET_ITEMS,
+def _extended(level: DataFrame, k: int) -> DataFrame:
+    """k-item candidates from frequent sets of k - 1 items that differ in the last one."""
+    parts = level.select(
+        F.slice("items", 1, k - 2).alias("prefix"), F.col("items")[k - 2].alias("last")
+    )
+    a, b = parts, parts.withColumnRenamed("last", "next")
+    return (
+        heavy_join(a, b, ["prefix"], "last", "next")
+        .where(F.col("last") < F.col("next"))
+        .select(F.concat("prefix", F.array("last", "next")).alias("items"))
+    )
+
+
+def frequent_levels(
+    index: VerticalIndex, max_k: int | None = None, pruning: BucketPruning | None = None
 ) -> DataFrame:
-    """All frequent itemsets as (k, itemset, support), level by level.
+    """(items, support) of all frequent itemsets, level by level, items by number.
 
-    Without ``pruning`` this is A-Priori: only baskets' frequent k-itemsets are extended.
-    With it, PCY: before the exact count at the given levels, occurrences whose hash bucket
-    cannot reach the support are dropped. The driver only learns whether a level is empty.
+    Without ``pruning`` this is A-Priori, with it PCY. The driver only learns whether a level is
+    empty.
     """
-    support = least_support(min_support, strict)
-    split = split_large_baskets(baskets, support, max_items)
-    needed = max(support - split.n_large, 1)
-
-    singles = item_support(baskets).where(F.col("support") >= support)
-    level = cut(
-        singles.select(
-            F.lit(1).alias("k"), F.array("item").alias("itemset"), F.col("support")
-        )
-    )
-    levels = [level]
-    frequent_item = level.select(F.col("itemset")[0].alias("item"))
-    kept = split.regular.join(frequent_item, "item", "left_semi")
-    sizes = split.regular.groupBy("basket_id").agg(F.count(F.lit(1)).alias("n_items"))
-    occurrences = item_occurrences(kept)
+    level = index.items.select(F.array("item_no").alias("items"), "support")
+    found = level
     k = 1
     while max_k is None or k < max_k:
         k += 1
-        candidates = extend_occurrences(occurrences)
+        if k == 2:
+            counts = index.pair_counts()
+        else:
+            counts = index.candidate_counts(cut(_extended(level, k)))
         if pruning and k in pruning.levels:
-            candidates = _prune(candidates, sizes, needed, pruning)
-            if max_k is None or k < max_k:
-                candidates = cut(candidates)  # counted here and extended by the next level
-        counted = (
-            candidates.groupBy("prefix", "last")
-            .agg(F.count(F.lit(1)).alias("support"))
-            .where(F.col("support") >= needed)
-            .select(F.array_append("prefix", F.col("last")).alias("itemset"), "support")
-        )
-        if split.large is not None:
-            counted = cut(counted)
-            extra = containment_counts(split.large, counted)
-            counted = counted.join(
-                extra.select("itemset", F.col("support").alias("extra")), "itemset"
-            ).select("itemset", (F.col("support") + F.col("extra")).alias("support"))
-        level = cut(
-            counted.where(F.col("support") >= support).select(
-                F.lit(k).alias("k"), "itemset", "support"
-            )
-        )
+            counts = _prune(cut(counts), index.support, pruning)
+        level = cut(index.frequent(counts))
         if level.isEmpty():
             break
-        levels.append(level)
-        if max_k is None or k < max_k:
-            found = level.select(
-                F.slice("itemset", 1, k - 1).alias("prefix"), F.col("itemset")[k - 1].alias("last")
-            )
-            occurrences = cut(
-                candidates.join(found, ["prefix", "last"], "left_semi").select(
-                    "basket_id", "prefix", "last"
-                )
-            )
-    result = levels[0]
-    for level in levels[1:]:
-        result = result.unionByName(level)
-    return result
+        found = found.unionByName(level)
+    return found
+
+
+def frequent_itemsets(
+    baskets: DataFrame,
+    min_support: int,
+    max_k: int | None = None,
+    strict: bool = False,
+    pruning: BucketPruning | None = None,
+) -> DataFrame:
+    """All frequent itemsets as (k, itemset, support)."""
+    index = vertical_index(baskets, least_support(min_support, strict))
+    return index.named(frequent_levels(index, max_k, pruning))
 
 
 def pcy_candidate_counts(
@@ -300,23 +218,43 @@ def pcy_candidate_counts(
 
 
 def adaptive_threshold(
-    baskets: DataFrame, start: int, target_k: int, **options
+    baskets: DataFrame, start: int, target_k: int
 ) -> tuple[DataFrame, list[tuple[int, int, int, int]]]:
     """Lower the support by a quarter until a set of ``target_k`` items is frequent.
 
-    Returns the itemsets of the last round and the trace: (round, threshold, k, sets found).
+    Returns the itemsets of the last round and the trace: (round, threshold, k, sets found). What
+    was counted is kept with its support, frequent or not, so a lower threshold only counts the
+    candidates that have newly become possible and each candidate is counted once.
     """
+    index = vertical_index(baskets, 1)
+    level = index.items.select(F.array("item_no").alias("items"), "support")
+    known = {1: level} | {k: level.limit(0) for k in range(2, target_k + 1)}
     trace = []
     threshold = start
     step = 0
     while True:
         step += 1
-        found = frequent_itemsets(baskets, threshold, max_k=target_k, **options)
-        per_level = found.groupBy("k").agg(F.count(F.lit(1)).alias("n_sets")).orderBy("k")
-        rows = [(step, threshold, r["k"], r["n_sets"]) for r in per_level.collect()]
-        trace.extend(rows)
-        if any(row[2] == target_k for row in rows) or threshold <= 1:
-            return found, trace
+        enough = F.col("support") >= threshold
+        found = level = known[1].where(enough)
+        n_found = level.count()
+        for k in range(1, target_k + 1):
+            if k > 1:
+                candidates = cut(_extended(level, k).join(known[k], "items", "left_anti"))
+                if not candidates.isEmpty():
+                    counts = index.candidate_counts(candidates)
+                    summed = counts.groupBy("items").agg(F.sum("n").alias("n"))
+                    new = candidates.join(summed, "items", "left").select(
+                        "items", F.coalesce("n", F.lit(0)).alias("support")
+                    )
+                    known[k] = cut(known[k].unionByName(new))
+                level = known[k].where(enough)
+                n_found = level.count()
+                found = found.unionByName(level)
+            if n_found == 0:
+                break
+            trace.append((step, threshold, k, n_found))
+        if n_found and k == target_k or threshold <= 1:
+            return index.named(found), trace
         threshold = floor(threshold - threshold / 4)
 
 
@@ -339,64 +277,111 @@ def best_itemset_per_size(itemsets: DataFrame) -> DataFrame:
     )
 
 
-def maximal_itemsets(itemsets: DataFrame) -> DataFrame:
-    """Frequent itemsets that no frequent set one item larger contains."""
-    covered = (
-        itemsets.where(F.col("k") > 1)
-        .select(
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(1), F.col("k")),
-                    lambda i: F.concat(
-                        F.slice("itemset", F.lit(1), i - 1),
-                        F.slice("itemset", i + 1, F.col("k")),
-                    ),
-                )
-            ).alias("itemset")
+def maximal_itemsets(baskets: DataFrame, min_support: int, strict: bool = False) -> DataFrame:
+    """Frequent itemsets that no other frequent set contains, as (k, itemset, support).
+
+    Searches from every first item, all searches a step deeper at a time. A node is a frequent set,
+    its head, with the later items that keep it frequent, its tail. If head and tail together are
+    frequent, everything below the node is a part of that set and is never listed.
+    """
+    index = vertical_index(baskets, least_support(min_support, strict))
+    singles = index.items.select("item_no", "support")
+    pairs = index.frequent(index.pair_counts()).select(
+        F.col("items")[0].alias("item_no"), F.struct(F.col("items")[1].alias("item"), "support").alias("later")
+    )
+    tails = pairs.groupBy("item_no").agg(F.array_sort(F.collect_list("later")).alias("tail"))
+    no_tail = F.array().cast("array<struct<item:int,support:bigint>>")
+    nodes = cut(
+        singles.join(tails, "item_no", "left").select(
+            F.array("item_no").alias("head"), "support", F.coalesce("tail", no_tail).alias("tail")
+        )
+    )
+    whole = F.concat("head", F.col("tail.item"))
+    found = []
+    while True:
+        found.append(nodes.where(F.size("tail") == 0).select(F.col("head").alias("items"), "support"))
+        growing = nodes.where(F.size("tail") > 0)
+        candidates = cut(growing.select(whole.alias("items")).distinct())
+        if candidates.isEmpty():
+            break
+        ahead = cut(index.frequent(index.candidate_counts(candidates)))
+        found.append(ahead)
+        closed = ahead.select(F.col("items").alias("whole"))
+        growing = cut(
+            growing.withColumn("whole", whole).join(closed, "whole", "left_anti").drop("whole")
+        )
+        nodes = cut(_children(index, growing, no_tail))
+    every = cut(reduce(DataFrame.unionByName, found).distinct())
+    return index.named(_not_contained(every))
+
+
+def _children(index: VerticalIndex, nodes: DataFrame, no_tail: Column) -> DataFrame:
+    """The nodes one item deeper, with the tails that their counts allow."""
+    first = nodes.select("head", "tail", F.posexplode("tail").alias("at", "next"))
+    grown = first.select(
+        F.concat("head", F.array("next.item")).alias("head"),
+        F.col("next.support").alias("support"),
+        F.slice("tail", F.col("at") + 2, F.size("tail")).alias("later"),
+    )
+    candidates = cut(
+        grown.select(
+            F.explode(F.transform("later.item", lambda x: F.concat("head", F.array(x)))).alias("items")
         )
+    )
+    counted = index.frequent(index.candidate_counts(candidates)).select(
+        F.slice("items", F.lit(1), F.size("items") - 1).alias("head"),
+        F.struct(F.element_at("items", -1).alias("item"), "support").alias("later"),
+    )
+    tails = counted.groupBy("head").agg(F.array_sort(F.collect_list("later")).alias("tail"))
+    return grown.join(tails, "head", "left").select(
+        "head", "support", F.coalesce("tail", no_tail).alias("tail")
+    )
+
+
+def _not_contained(itemsets: DataFrame) -> DataFrame:
+    """The sets that are not part of another one, compared where they share their rarest item."""
+    members = itemsets.select("items", F.explode("items").alias("item"))
+    sets_with = members.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    rarest = salted_join(members, sets_with, ["item"], "items").groupBy("items").agg(
+        F.min(F.struct("n", "item")).alias("rarest")
+    )
+    part = cut(rarest.select(F.col("rarest.item").alias("item"), F.col("items").alias("part")))
+    whole = members.withColumnRenamed("items", "whole")
+    covered = (
+        heavy_join(part, whole, ["item"], "part", "whole")
+        .where(F.size("part") < F.size("whole"))
+        .where(F.size(F.array_except("part", "whole")) == 0)
+        .select(F.col("part").alias("items"))
         .distinct()
     )
-    return itemsets.join(covered, "itemset", "left_anti").select("k", "itemset", "support")
+    return itemsets.join(covered, "items", "left_anti")
 
 
-def fpgrowth_itemsets(
-    baskets: DataFrame,
-    min_support: int,
-    strict: bool = False,
-    max_items: int = LARGE_BASKET_ITEMS,
-) -> DataFrame:
+def fpgrowth_itemsets(baskets: DataFrame, min_support: int, strict: bool = False) -> DataFrame:
     """Frequent itemsets of every size by Spark ML's FP-growth, as (k, itemset, support).
 
-    Only frequent items of regular baskets are gathered into arrays; large baskets are counted
-    afterwards on the sets found at the accordingly lowered support.
+    Only frequent items are gathered into a basket's array, so their number bounds its size.
     """
     support = least_support(min_support, strict)
-    split = split_large_baskets(baskets, support, max_items)
-    needed = max(support - split.n_large, 1)
     frequent = item_support(baskets).where(F.col("support") >= support).select("item")
     transactions = cut(
-        split.regular.join(frequent, "item", "left_semi")
+        baskets.join(frequent, "item", "left_semi")
         .groupBy("basket_id")
         .agg(F.collect_list("item").alias("items"))
         .select("items")
     )
     total = transactions.count()
-    if total < needed:  # nothing can be frequent, and FP-growth refuses a share above one
+    if total < support:  # nothing can be frequent, and FP-growth refuses a share above one
         empty = f"k int, itemset array<{baskets.schema['item'].dataType.simpleString()}>, support bigint"
         return baskets.sparkSession.createDataFrame([], empty)
     # half a basket below the count, so that rounding the fraction cannot raise the bound
-    model = FPGrowth(itemsCol="items", minSupport=(needed - 0.5) / total).fit(transactions)
-    found = model.freqItemsets.select(
-        F.array_sort("items").alias("itemset"), F.col("freq").alias("support")
-    )
-    if split.large is not None:
-        found = cut(found)
-        extra = containment_counts(split.large, found)
-        found = found.join(
-            extra.select("itemset", F.col("support").alias("extra")), "itemset"
-        ).select("itemset", (F.col("support") + F.col("extra")).alias("support"))
-    return found.where(F.col("support") >= support).select(
-        F.size("itemset").alias("k"), "itemset", "support"
+    model = FPGrowth(itemsCol="items", minSupport=(support - 0.5) / total).fit(transactions)
+    return (
+        model.freqItemsets.select(
+            F.array_sort("items").alias("itemset"), F.col("freq").alias("support")
+        )
+        .where(F.col("support") >= support)
+        .select(F.size("itemset").alias("k"), "itemset", "support")
     )
 
 

@@ -12,7 +12,6 @@ QUERIES = Registry()
 PAIR_SUPPORT = 300
 SET_SUPPORT = 50
 BUCKETS = 1_500_000
-TRIPLE_HASH_CAP = 50
 BASKET_SIZES = [1, 2, 4, 8]
 HEAD_ROWS = 35
 START_THRESHOLD = 400
@@ -150,7 +149,7 @@ def pcy_pairs(spark, sf_dir):
     + f" SELECT k, itemset, support FROM supports WHERE k = 3 AND support >= {SET_SUPPORT}",
 )
 def pcy_multilevel_triples(spark, sf_dir):
-    pruning = ops.BucketPruning(5_000_000_000, levels=(2, 3), max_basket_items=TRIPLE_HASH_CAP)
+    pruning = ops.BucketPruning(5_000_000_000, levels=(2, 3))
     found = ops.frequent_itemsets(
         kept_baskets(spark, sf_dir), SET_SUPPORT, max_k=3, pruning=pruning
     )
@@ -175,19 +174,18 @@ WHERE round <= (SELECT round FROM stop) GROUP BY ALL""",
 )
 def adaptive_threshold_trace(spark, sf_dir):
     baskets = kept_baskets(spark, sf_dir)
-    pruning = ops.BucketPruning(BUCKETS, levels=(2, 3))
-    trace = ops.adaptive_threshold(baskets, START_THRESHOLD, target_k=3, pruning=pruning)[1]
+    trace = ops.adaptive_threshold(baskets, START_THRESHOLD, target_k=3)[1]
     return spark.createDataFrame(trace, "round int, threshold int, k int, n_sets bigint")
 
 
 @QUERIES.add(
     "support_histogram",
     SUPPORTS
-    + """ SELECT k, support, count(*) AS n_itemsets FROM supports
-WHERE support >= 1 GROUP BY ALL""",
+    + f""" SELECT k, support, count(*) AS n_itemsets FROM supports
+WHERE support > {SET_SUPPORT} GROUP BY ALL""",
 )
 def support_histogram(spark, sf_dir):
-    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), 1)
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT, strict=True)
     return ops.support_histogram(found).orderBy("k", "support")
 
 
@@ -223,8 +221,7 @@ SELECT k, itemset, support FROM frequent f WHERE NOT EXISTS (
   SELECT 1 FROM frequent g WHERE g.k = f.k + 1 AND list_has_all(g.items, f.items))""",
 )
 def maximal_itemsets(spark, sf_dir):
-    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT)
-    return shown(ops.maximal_itemsets(found))
+    return shown(ops.maximal_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT))
 
 
 @QUERIES.add(
