@@ -72,31 +72,23 @@ def bucket_counts(pairs: DataFrame, bucket: Column) -> DataFrame:
 def containment_counts(baskets: DataFrame, itemsets: DataFrame) -> DataFrame:
     """Support of given itemsets (one ``itemset`` array per row), zero included.
 
-    Baskets are first matched on the rarest item of an itemset only, so a very common item
-    never fans out to all the itemsets it is in; the other items are then looked up by
-    (basket, item).
+    Only the items that some itemset names are indexed; all itemsets are counted on their bitmaps.
     """
-    wanted = itemsets.select("itemset").distinct()
-    members = wanted.select("itemset", F.explode("itemset").alias("item"))
-    support = item_support(baskets.join(members.select("item").distinct(), "item", "left_semi"))
-    rarest = (
-        members.join(support, "item", "left")
-        .groupBy("itemset")
-        .agg(F.min(F.struct(F.coalesce("support", F.lit(0)).alias("support"), "item")).alias("r"))
-        .select("itemset", F.col("r.item").alias("item"))
-    )
-    rarest = cut(rarest)
-    hits = heavy_join(baskets, rarest, ["item"], "basket_id", "itemset")
-    hits = hits.select("basket_id", "itemset")
-    found = (
-        hits.select("basket_id", "itemset", F.explode("itemset").alias("item"))
-        .join(baskets.select("basket_id", "item"), ["basket_id", "item"])
-        .groupBy("basket_id", "itemset")
-        .agg(F.count(F.lit(1)).alias("n_found"))
-        .where(F.col("n_found") == F.size("itemset"))
+    wanted = cut(itemsets.select("itemset").distinct())
+    members = cut(wanted.select("itemset", F.explode(F.array_distinct("itemset")).alias("item")))
+    named = members.select("item").distinct()
+    index = vertical_index(baskets.join(named, "item", "left_semi"), 1)
+    numbers = index.items.select("item", "item_no")
+    # a set with an item that no basket holds has fewer numbers than items
+    candidates = cut(
+        salted_join(members, numbers, ["item"], "itemset")
         .groupBy("itemset")
-        .agg(F.count(F.lit(1)).alias("support"))
+        .agg(F.array_sort(F.collect_list("item_no")).alias("items"))
+        .where(F.size("items") == F.size(F.array_distinct("itemset")))
     )
+    counts = index.candidate_counts(candidates.select("items").distinct())
+    support = counts.groupBy("items").agg(F.sum("n").alias("support"))
+    found = candidates.join(support, "items").select("itemset", "support")
     return wanted.join(found, "itemset", "left").select(
         "itemset", F.coalesce("support", F.lit(0)).alias("support")
     )
