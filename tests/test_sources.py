@@ -52,6 +52,54 @@ def test_records_cross_file_splits(spark, tmp_path):
     assert sorted(map(tuple, read)) == sorted((f"k/{i}", f"n{i}") for i in range(2000))
 
 
+ODD_RECORDS = """<?xml version="1.0"?>
+<!DOCTYPE dblp [ <!ENTITY x "y"> ]>
+<!-- a comment with <article key="no/1"> and </dblp> -->
+<dblp>
+<article key="j/1"><author>A</author><title>Where key="x" is text</title></article>
+<article key="p/1"><author>B</author><part key="c/1"><author>inner</author></part></article>
+<article><author>C</author><title>no key</title></article>
+<article key='s/1' note="a > b"><author>D</author></article><?pi <article> ?>
+<article key="e/1"/><article
+  key="n/1"
+><author>E</author><!-- <author>F</author> --><title><![CDATA[<b> & "c"]]></title></article>
+<article key="m/1"><article key="m/2"><author>G</author></article><author>H</author></article>
+<article key="bad/1"><author>I</wrong></article>
+</dblp>
+"""
+
+
+@pytest.mark.parametrize("block", [None, 20, 64, 300])
+def test_records_are_the_children_of_the_root(spark, tmp_path, block):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.xml").write_text(ODD_RECORDS)
+    (tmp_path / "in" / "b.xml").write_text("<dblp><www key='w/1'><author>J</author></www></dblp>")
+    if block:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        rows = xml.read_records(spark, str(tmp_path / "in")).collect()
+        records = xml.read_records(spark, str(tmp_path / "in"))
+        baskets = {(r.basket_id, r["item"]) for r in xml.record_baskets(records).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(rows) == 9
+    by_key = {r["_key"]: r for r in rows if r["_key"]}
+    assert set(by_key) == {"j/1", "p/1", "s/1", "e/1", "n/1", "m/1", "w/1"}
+    assert by_key["j/1"].title == 'Where key="x" is text'
+    assert by_key["n/1"].title == '<b> & "c"' and by_key["n/1"].author == ["E"]
+    assert by_key["e/1"].author is None and by_key["w/1"].record_type == "www"
+    [nameless] = [r for r in rows if r.title == "no key"]
+    [corrupt] = [r for r in rows if r.corrupt]
+    assert corrupt.corrupt == '<article key="bad/1"><author>I</wrong></article>'
+    assert corrupt.author is None and all(r.corrupt is None for r in rows if r is not corrupt)
+    assert baskets == {
+        ("j/1", "A"), ("p/1", "B"), (nameless.position, "C"), ("s/1", "D"), ("n/1", "E"),
+        ("m/1", "H"), ("w/1", "J"),
+    }
+
+
 def test_line_formats_refuse_their_delimiter(spark, tmp_path):
     baskets = spark.createDataFrame([(1, "a#b")], "basket_id bigint, item string")
     with pytest.raises(Exception, match="contains a delimiter"):
