@@ -1,9 +1,9 @@
 """Distances between two strings as column expressions. Both are metrics."""
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-
-from coterie.functions.text import bound
+from pyspark.sql.types import IntegerType
 
 
 def levenshtein(a: Column, b: Column) -> Column:
@@ -11,27 +11,34 @@ def levenshtein(a: Column, b: Column) -> Column:
     return F.levenshtein(a, b)
 
 
+def subsequence_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, a row of the table at a time.
+
+    A row's steps are the zero bits of one whole number as long as ``a``, and a character of ``b``
+    moves all of them with one addition, whose carries run through as many words as it takes.
+    """
+    holds = {}
+    for place, character in enumerate(a):
+        holds[character] = holds.get(character, 0) | 1 << place
+    every = (1 << len(a)) - 1
+    row = every
+    for character in b:
+        if met := row & holds.get(character, 0):
+            row = (row + met | row - met) & every
+    return len(a) - row.bit_count()
+
+
+@F.pandas_udf(IntegerType())
+def _subsequence_lengths(a: pd.Series, b: pd.Series) -> pd.Series:
+    missing = a.isna() | b.isna()
+    pairs = zip(a, b, missing, strict=True)
+    found = [None if none else subsequence_length(x, y) for x, y, none in pairs]
+    return pd.Series(found, dtype="Int32")
+
+
 def common_subsequence_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of characters, one table row at a time."""
-
-    def lengths(columns: Column) -> Column:
-        def next_row(row: Column, character: Column) -> Column:
-            def extend(built: Column, j: Column) -> Column:
-                same = F.get(columns, j - 1) == character
-                cell = F.when(same, F.get(row, j - 1) + 1).otherwise(
-                    F.greatest(F.get(row, j), F.element_at(built, -1))
-                )
-                return F.array_append(built, cell)
-
-            return F.aggregate(
-                F.sequence(F.lit(1), F.size(columns)), F.array(F.lit(0)), extend
-            )
-
-        first = F.array_repeat(F.lit(0), F.size(columns) + 1)
-        return F.element_at(F.aggregate(F.split(a, ""), first, next_row), -1)
-
-    either_empty = (F.length(a) == 0) | (F.length(b) == 0)
-    return F.when(either_empty, F.lit(0)).otherwise(bound(F.split(b, ""), lengths))
+    """Length of the longest common subsequence of characters; null if either string is."""
+    return _subsequence_lengths(a, b)
 
 
 def insert_delete_distance(a: Column, b: Column) -> Column:

@@ -1,5 +1,7 @@
 """TF-IDF features of texts and k-means over features and vectors."""
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,54 +99,83 @@ def kmeans(
     to the nearest centre (ties to the lowest number) and moves the centres to the means until
     none moves; raises if that takes more than ``max_steps``. A centre without points stays.
     Distances and centres are rounded to nine digits, so the order of additions does not matter.
-    The ``k`` centres are broadcast; means merge map-side per cluster and coordinate.
+    A step is one pass in Arrow batches: each task adds up its points to one row a cluster, and the
+    driver only sees the ``k`` sums.
     """
     points = cut(points)
     ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     vectors = points.groupBy("features").agg(F.min(ticket).alias("ticket"))
-    first = vectors.orderBy("ticket").limit(k)
-    order = Window.orderBy("ticket")  # k rows
-    centres = cut(
-        first.select(
-            (F.row_number().over(order) - 1).alias("cluster"), F.col("features").alias("centre")
-        )
-    )
+    first = vectors.orderBy("ticket").limit(k).select("features").collect()
+    centres = np.array([row["features"] for row in first], np.float64)
     for _ in range(max_steps):
-        assigned = _nearest_centre(points, centres)
-        means = (
-            assigned.select("cluster", F.posexplode("features").alias("at", "value"))
+        sums = (
+            points.select("features")
+            .mapInArrow(_summing(centres), SUMS)
+            .select("cluster", F.posexplode("sums").alias("at", "value"))
             .groupBy("cluster", "at")
-            .agg(F.round(F.avg("value"), 9).alias("value"))
-            .groupBy("cluster")
-            .agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("mean"))
+            .agg(F.sum("value").alias("value"))
         )
-        moved = cut(
-            centres.join(means, "cluster", "left").select(
-                "cluster",
-                F.coalesce(F.col("mean.value"), "centre").alias("centre"),
-                F.col("centre").alias("before"),
-            )
-        )
-        centres = moved.select("cluster", "centre")
-        if moved.where(F.col("centre") != F.col("before")).isEmpty():
-            return _nearest_centre(points, centres)
+        totals = np.zeros((len(centres), centres.shape[1] + 1))
+        for cluster, at, value in sums.collect():  # k times the dimension, and the counts
+            totals[cluster, at] = value
+        held = totals[:, -1] > 0
+        moved = centres.copy()
+        moved[held] = np.round(totals[held, :-1] / totals[held, -1:], DIGITS)
+        if np.array_equal(moved, centres):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
+            return points.mapInArrow(_assigning(centres), f"{columns}, cluster int")
+        centres = moved
     raise RuntimeError(f"centres still move after {max_steps} steps")
 
 
-def _nearest_centre(points: DataFrame, centres: DataFrame) -> DataFrame:
-    """Points with the cluster of their nearest centre."""
-    one_list = centres.agg(F.collect_list(F.struct("cluster", "centre")).alias("_centres"))
+DIGITS = 9
+STEP_VALUES = 1 << 20
+SUMS = "cluster int, sums array<double>"
 
-    def option(c: Column) -> Column:
-        squares = F.zip_with("features", c["centre"], lambda x, y: (x - y) * (x - y))
-        total = F.aggregate(squares, F.lit(0.0), lambda a, b: a + b)
-        return F.struct(F.round(F.sqrt(total), 9).alias("distance"), c["cluster"].alias("cluster"))
 
-    return (
-        points.withColumn("_centres", one_list.scalar())
-        .withColumn("cluster", F.array_min(F.transform("_centres", option))["cluster"])
-        .drop("_centres")
-    )
+def _vectors(batch: pa.RecordBatch) -> np.ndarray:
+    values = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+    return values.astype(np.float64).reshape(batch.num_rows, -1)
+
+
+def _nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The number of each vector's nearest centre, in steps of bounded memory."""
+    found = np.zeros(len(vectors), np.int32)
+    step = max(1, STEP_VALUES // max(1, centres.shape[1]))
+    for at in range(0, len(vectors), step):
+        part = vectors[at : at + step]
+        squares = np.stack([((part - centre) ** 2).sum(axis=1) for centre in centres], axis=1)
+        found[at : at + step] = np.round(np.sqrt(squares), DIGITS).argmin(axis=1)
+    return found
+
+
+def _summing(centres: np.ndarray):
+    """For each cluster that has points in a task the sum of them, and their number as last value."""
+
+    def add(batches):
+        sums = np.zeros((len(centres), centres.shape[1] + 1))
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _vectors(batch)
+                cluster = _nearest(vectors, centres)
+                sums[:, -1] += np.bincount(cluster, minlength=len(centres))
+                np.add.at(sums[:, :-1], cluster, vectors)
+        held = np.flatnonzero(sums[:, -1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()), pa.array(sums[held].tolist(), pa.list_(pa.float64()))],
+            names=["cluster", "sums"],
+        )
+
+    return add
+
+
+def _assigning(centres: np.ndarray):
+    def assign(batches):
+        for batch in batches:
+            cluster = _nearest(_vectors(batch), centres) if batch.num_rows else np.zeros(0, np.int32)
+            yield batch.append_column("cluster", pa.array(cluster))
+
+    return assign
 
 
 def cluster_top_terms(clusters: DataFrame, weights: DataFrame, n: int = 10) -> DataFrame:

@@ -341,8 +341,8 @@ def sample_fraction(spark, sf_dir):
 @QUERIES.add(
     "sample_fixed",
     """SELECT doc_id AS post_id FROM documents
-ORDER BY md5('459392:' || doc_id), doc_id LIMIT 10000""",
+ORDER BY md5('459392:' || doc_id), doc_id LIMIT 300""",
 )
 def sample_fixed(spark, sf_dir):
     ids = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("post_id"))
-    return similarity.sample_fixed(ids, "post_id", 10_000, seed=459392)
+    return similarity.sample_fixed(ids, "post_id", 300, seed=459392)

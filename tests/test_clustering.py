@@ -1,8 +1,10 @@
 """Clustering operators against brute force and small known cases."""
 
+import hashlib
 import random
 from functools import cache
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,6 +91,25 @@ def test_insert_delete_distance(spark):
     assert [row[0] for row in got] == [2, 3, 3]
 
 
+def test_insert_delete_distance_of_long_strings(spark):
+    chance = random.Random(6)
+
+    def table(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            before, row = row, [0]
+            for j, y in enumerate(b):
+                row.append(before[j] + 1 if x == y else max(before[j + 1], row[-1]))
+        return len(a) + len(b) - 2 * row[-1]
+
+    texts = ["".join(chance.choices("abcdé", k=chance.choice([0, 1, 63, 64, 65, 130, 1000]))) for _ in range(24)]
+    pairs = list(zip(texts[::2], texts[1::2])) + [(None, "a"), ("a", None)]
+    frame = spark.createDataFrame(pairs, "a string, b string")
+    got = frame.select("a", "b", insert_delete_distance(F.col("a"), F.col("b")).alias("d")).collect()
+    for a, b, d in got:
+        assert d == (None if a is None or b is None else table(a, b))
+
+
 @pytest.mark.parametrize("min_samples, expected", [(3, [-1, -1, -1]), (2, [0, 0, -1])])
 def test_dbscan_small_case(spark, min_samples, expected):
     strings = ["ACCTACTAGAAGTT", "ACCTCCTAGAAG", "GAATATTAGGCCGA"]
@@ -182,3 +203,25 @@ def test_kmeans_on_six_points(spark):
     left = {row["cluster"] for row in found if row["p"][0] == 1}
     right = {row["cluster"] for row in found if row["p"][0] == 10}
     assert len(left) == len(right) == 1 and left != right
+
+
+def test_kmeans_follows_lloyd_steps(spark):
+    """Against the same steps in numpy, with a centre that loses all points and a repeated vector."""
+    chance = np.random.default_rng(5)
+    vectors = np.round(chance.normal(size=(200, 5)) + chance.integers(0, 4, (200, 1)), 3)
+    vectors[50:90] = vectors[3]
+    frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "id int, features array<double>")
+    found = {r["id"]: r["cluster"] for r in features.kmeans(frame, 6, "id").collect()}
+    tickets = {}
+    for i, v in enumerate(vectors.tolist()):
+        ticket = hashlib.md5(f"{features.SEED}:{i}".encode()).hexdigest()
+        tickets[tuple(v)] = min(ticket, tickets.get(tuple(v), ticket))
+    centres = np.array(sorted(tickets, key=tickets.get)[:6])
+    for _ in range(200):
+        distance = np.round(np.sqrt(((vectors[:, None] - centres) ** 2).sum(axis=2)), 9)
+        cluster = distance.argmin(axis=1)
+        moved = [np.round(vectors[cluster == c].mean(axis=0), 9) if (cluster == c).any() else centres[c] for c in range(6)]
+        if np.array_equal(moved, centres):
+            break
+        centres = np.array(moved)
+    assert found == dict(enumerate(cluster.tolist()))
