@@ -2,6 +2,8 @@
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,20 +12,34 @@ from coterie.operators.edit_join import both_ways, edit_distance_join
 from coterie.operators.graph import connected_components
 from coterie.operators.indexing import dense_index
 from coterie.operators.lineage import cut
+from coterie.operators.metric_join import Measure, metric_pairs
 from coterie.operators.skew import salted_join
 
 SEED = 459392  # of the hash that breaks ties between symmetric titles
 
 
-def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
+def titles_within(
+    titles: DataFrame, eps: int, measure: Measure | None, apart: str | None = None
+) -> DataFrame:
+    """Pairs within ``eps``: by the edit-distance join, or under any metric ``measure``."""
+    if measure is None:
+        return edit_distance_join(titles, eps, apart=apart)
+    return metric_pairs(titles, eps, measure, apart=apart)
+
+
+def dbscan(
+    titles: DataFrame, eps: int, min_samples: int, measure: Measure | None = None
+) -> DataFrame:
     """(title, n_neighbours, is_core, cluster); noise has cluster -1.
 
+    The distance is Levenshtein's, or the metric ``measure`` of two columns.
+
     ``titles`` is (title, weight); a title's neighbours are all occurrences within ``eps``, its
     own included. Core titles within ``eps`` share a cluster, a border title joins the lowest
     cluster among its core neighbours. Clusters are numbered by their smallest core title.
     """
     points = cut(titles.select("title", "weight"))
-    near = cut(both_ways(edit_distance_join(points, eps)).select("title", "neighbour"))
+    near = cut(both_ways(titles_within(points, eps, measure)).select("title", "neighbour"))
     weights = points.select(F.col("title").alias("neighbour"), "weight")
     around = salted_join(near, weights, ["neighbour"], "title")
     around = around.groupBy("title").agg(F.sum("weight").alias("around"))
@@ -59,10 +75,12 @@ def dbscan(titles: DataFrame, eps: int, min_samples: int) -> DataFrame:
     )
 
 
-def single_linkage_cut(titles: DataFrame, height: int) -> DataFrame:
+def single_linkage_cut(
+    titles: DataFrame, height: int, measure: Measure | None = None
+) -> DataFrame:
     """(title, cluster): single linkage stopped at a distance; named by the smallest title."""
     vertices = titles.select(F.col("title").alias("id")).distinct()
-    links = edit_distance_join(titles, height).select(
+    links = titles_within(titles, height, measure).select(
         F.col("title_a").alias("a"), F.col("title_b").alias("b")
     )
     return connected_components(vertices, links).select(
@@ -70,125 +88,160 @@ def single_linkage_cut(titles: DataFrame, height: int) -> DataFrame:
     )
 
 
-def single_linkage_merges(titles: DataFrame, first_radius: int = 2) -> DataFrame:
+def single_linkage_merges(
+    titles: DataFrame, first_radius: int = 4, measure: Measure | None = None
+) -> DataFrame:
     """(pass, cluster, nearest, distance, merged_into), until one cluster is left.
 
     In each pass every cluster finds its nearest other cluster (ties to the smallest name) and
-    all of them merge. Every title has a radius within which its neighbours are known, and a pair
-    is known as soon as one of its ends has looked far enough. Clusters whose nearest neighbour is
-    not certain yet widen their titles' radius first, but for the one with the most titles, which
-    the others may find. Pairs inside a cluster are neither searched for nor kept.
+    all of them merge, so the passes are at most the logarithm of the titles. They run over the
+    edges that any pass can need, see ``linkage_edges``.
     """
-    clusters = cut(titles.select("title", F.col("title").alias("cluster")).distinct())
-    radii = cut(clusters.select("title", F.lit(first_radius).alias("radius")))
-    edges = cut(both_ways(edit_distance_join(clusters, first_radius)))
+    edges = linkage_edges(titles, first_radius, measure)
     passes = []
     while True:
-        outgoing = cut(_nearest_clusters(clusters, radii, edges))
-        unsettled = outgoing.where("NOT settled")
-        remaining, open_clusters = outgoing.agg(
-            F.count(F.lit(1)), F.count_if(~F.col("settled"))
-        ).first()
-        if remaining <= 1:
-            break
-        if open_clusters:
-            if open_clusters > 1:
-                waiting = unsettled.agg(F.max(F.struct("titles", "cluster"))).first()[0]
-                unsettled = unsettled.where(F.col("cluster") != waiting["cluster"])
-            edges, radii = _look_farther(clusters, radii, edges, unsettled)
-            continue
-        names = outgoing.select(F.col("cluster").alias("id"))
-        links = outgoing.select(F.col("cluster").alias("a"), F.col("nearest").alias("b"))
-        merged = cut(connected_components(names, links)).select(
-            F.col("id").alias("cluster"), F.col("component").alias("merged_into")
+        swap = F.array(
+            F.struct(F.col("a").alias("cluster"), F.col("b").alias("other")),
+            F.struct(F.col("b").alias("cluster"), F.col("a").alias("other")),
         )
+        outgoing = cut(
+            edges.select("distance", F.inline(swap))
+            .groupBy("cluster")
+            .agg(F.min(F.struct("distance", "other")).alias("best"))
+            .select("cluster", F.col("best.other").alias("nearest"), "best.distance")
+        )
+        if outgoing.isEmpty():
+            break
+        merged = _merged(outgoing)
         passes.append(
             outgoing.join(merged, "cluster").select(
                 F.lit(len(passes) + 1).alias("pass"),
                 "cluster", "nearest", "distance", "merged_into",
             )
         )
-        clusters = cut(
-            clusters.join(merged, "cluster").select("title", F.col("merged_into").alias("cluster"))
+        of_a = merged.select(F.col("cluster").alias("a"), F.col("merged_into").alias("into_a"))
+        of_b = merged.select(F.col("cluster").alias("b"), F.col("merged_into").alias("into_b"))
+        joined = salted_join(salted_join(edges, of_a, ["a"], "b"), of_b, ["b"], "a")
+        edges = cut(
+            joined.where("into_a <> into_b")
+            .groupBy(F.least("into_a", "into_b").alias("a"), F.greatest("into_a", "into_b").alias("b"))
+            .agg(F.min("distance").alias("distance"))
         )
-        edges = cut(_between(edges, clusters).select(*edges.columns))
     schema = "pass int, cluster string, nearest string, distance int, merged_into string"
     none = titles.sparkSession.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, passes, none)
 
 
-def _between(edges: DataFrame, clusters: DataFrame) -> DataFrame:
-    """The edges between different clusters, with ``cluster`` and ``other``."""
-    of_neighbour = clusters.select(
-        F.col("title").alias("neighbour"), F.col("cluster").alias("other")
+def _merged(outgoing: DataFrame) -> DataFrame:
+    """(cluster, merged_into): the smallest name among the clusters that nearest pointers tie.
+
+    Pointers of equal distances lead to ever smaller names, so their only cycles are two clusters
+    that name each other; following them, twice as far each round, ends at such a pair.
+    """
+    mutual = outgoing.select(F.col("nearest").alias("cluster"), F.col("cluster").alias("nearest"))
+    ends = outgoing.join(mutual, ["cluster", "nearest"], "left_semi").select(
+        "cluster", F.least("cluster", "nearest").alias("target")
     )
-    return (
-        edges.join(clusters, "title")
-        .join(of_neighbour, "neighbour")
-        .where(F.col("cluster") != F.col("other"))
+    others = outgoing.join(mutual, ["cluster", "nearest"], "left_anti")
+    pointers = cut(
+        ends.withColumn("ended", F.lit(True)).unionByName(
+            others.select("cluster", F.col("nearest").alias("target"), F.lit(False).alias("ended"))
+        )
     )
+    while not pointers.where("NOT ended").isEmpty():
+        onward = pointers.select(
+            F.col("cluster").alias("target"),
+            F.col("target").alias("further"),
+            F.col("ended").alias("further_ended"),
+        )
+        moved = salted_join(pointers.where("NOT ended"), onward, ["target"], "cluster").select(
+            "cluster", F.col("further").alias("target"), F.col("further_ended").alias("ended")
+        )
+        pointers = cut(pointers.where("ended").unionByName(moved))
+    names = pointers.groupBy("target").agg(F.min("cluster").alias("merged_into"))
+    return cut(salted_join(pointers, names, ["target"], "cluster").select("cluster", "merged_into"))
 
 
-def _look_farther(
-    clusters: DataFrame, radii: DataFrame, edges: DataFrame, unsettled: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """Edges and radii after the titles of the given clusters have looked farther.
+def linkage_edges(
+    titles: DataFrame, first_radius: int = 4, measure: Measure | None = None
+) -> DataFrame:
+    """(a, b, distance): the pairs of titles that some pass of single linkage can need.
 
-    A known neighbour bounds how far a cluster looks; without one the radius grows by half.
+    A pair that shorter ones connect is never needed. The radius doubles until all titles are
+    connected; a wider search leaves out pairs that are connected already where they meet, and of
+    those it finds every task keeps a forest, with the pairs that tie in it.
     """
-    wider = F.least(
-        F.coalesce("distance", F.lit(2**31 - 1)), F.ceil(F.col("radius") * 1.5).cast("int")
-    )
-    looking = cut(
-        clusters.join(unsettled.select("cluster", wider.alias("wider")), "cluster")
-        .join(radii, "title")
-        .where("radius < wider")
-        .select("title", "wider")
-    )
-    # the radii are few: edit distances reached by steps of one half
-    for (radius,) in looking.select("wider").distinct().orderBy("wider").collect():
-        those = looking.where(F.col("wider") == radius)
-        found = both_ways(edit_distance_join(clusters, radius, of=those, apart="cluster"))
+    points = cut(titles.select("title", F.col("title").alias("cluster")).distinct())
+    n_clusters, radius = points.count(), first_radius
+    edges = titles.sparkSession.createDataFrame([], "a string, b string, distance int")
+    while n_clusters > 1:
+        near = titles_within(points, radius, measure, apart="cluster")
+        near = near.select(F.col("title_a").alias("a"), F.col("title_b").alias("b"), "distance")
+        found = cut(near.mapInArrow(_forest, "a string, b string, distance int"))
         edges = edges.unionByName(found)
-    reached = radii.join(looking, "title", "left").select(
-        "title", F.greatest("radius", "wider").alias("radius")
-    )
-    return cut(edges.distinct()), cut(reached)
+        of_a = points.select(F.col("title").alias("a"), F.col("cluster").alias("cluster_a"))
+        of_b = points.select(F.col("title").alias("b"), F.col("cluster").alias("cluster_b"))
+        links = salted_join(salted_join(found, of_a, ["a"], "b"), of_b, ["b"], "a").select(
+            F.col("cluster_a").alias("a"), F.col("cluster_b").alias("b")
+        )
+        names = points.select(F.col("cluster").alias("id")).distinct()
+        merged = connected_components(names, links.distinct()).select(
+            F.col("id").alias("cluster"), "component"
+        )
+        points = cut(
+            salted_join(points, merged, ["cluster"], "title").select(
+                "title", F.col("component").alias("cluster")
+            )
+        )
+        n_clusters = points.select("cluster").distinct().count()
+        radius *= 2
+    return cut(edges)
+
 
+FOREST_ROWS = 1 << 19
 
-def _nearest_clusters(clusters: DataFrame, radii: DataFrame, edges: DataFrame) -> DataFrame:
-    """Per cluster its nearest known other cluster, number of titles and their smallest radius,
-    and whether that neighbour is certain to be the nearest.
 
-    A pair that is not known lies beyond the radius of both ends, so beyond the smallest radius
-    inside the cluster and beyond the smallest one outside of it.
+def _forest(batches):
+    """The edges of a task that no shorter edges connect, without repeats that tie.
+
+    Of the edges of one length that lead from one connected part to one title, one is enough.
     """
-    best = (
-        _between(edges, clusters)
-        .groupBy("cluster")
-        .agg(F.min(F.struct("distance", "other")).alias("best"))
-    )
-    own = cut(
-        clusters.join(radii, "title")
-        .groupBy("cluster")
-        .agg(F.min("radius").alias("radius"), F.count(F.lit(1)).alias("titles"))
-    )
-    lowest = own.orderBy("radius", "cluster").limit(2).collect()
-    if len(lowest) < 2:
-        outside = F.col("radius")
-    else:
-        outside = F.when(
-            F.col("cluster") == lowest[0]["cluster"], F.lit(lowest[1]["radius"])
-        ).otherwise(F.lit(lowest[0]["radius"]))
-    known = F.greatest(F.col("radius"), outside)
-    return own.join(best, "cluster", "left").select(
-        "cluster",
-        "titles",
-        known.alias("radius"),
-        F.col("best.other").alias("nearest"),
-        F.col("best.distance").alias("distance"),
-        F.coalesce(F.col("best.distance") <= known, F.lit(False)).alias("settled"),
-    )
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= FOREST_ROWS:
+            held = [_forest_of(pa.Table.from_batches(held))]
+            rows = held[0].num_rows
+    if rows:
+        yield _forest_of(pa.Table.from_batches(held))
+
+
+def _forest_of(edges: pa.Table) -> pa.RecordBatch:
+    both = pa.chunked_array([*edges.column("a").chunks, *edges.column("b").chunks])
+    ends = both.combine_chunks().dictionary_encode()
+    a, b = ends.indices.to_numpy().astype(np.int64).reshape(2, -1)
+    distance = edges.column("distance").to_numpy()
+    n = len(ends.dictionary)
+    label, kept = np.arange(n), []
+    for length in np.unique(distance):
+        at = np.flatnonzero(distance == length)
+        at = at[label[a[at]] != label[b[at]]]
+        from_a = np.unique(label[a[at]] * n + b[at], return_index=True)[1]
+        from_b = np.unique(label[b[at]] * n + a[at], return_index=True)[1]
+        kept.append(at[np.union1d(from_a, from_b)])
+        low = label
+        while True:
+            lower = low.copy()
+            least = np.minimum(low[a[at]], low[b[at]])
+            np.minimum.at(lower, low[a[at]], least)
+            np.minimum.at(lower, low[b[at]], least)
+            lower = lower[lower]
+            if np.array_equal(lower, low):
+                break
+            low = lower
+        label = low[label]
+    return edges.take(pa.array(np.concatenate(kept))).combine_chunks().to_batches()[0]
 
 
 def affinity_propagation(

@@ -25,3 +25,13 @@ def top_words(counts: DataFrame, by: list[str], n: int = TOP_WORDS) -> DataFrame
         .where(F.col("rank") <= n)
         .withColumn("hue", F.col("cluster") * F.lit(360.0) / F.lit(HUE_CLUSTERS))
     )
+
+
+def merged_counts(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """The maps of all groups merged into one, in rising ``order``: the last entry of a key wins.
+
+    ``counts`` has one ``cnt`` for each key and order. Returns the keys, ``cnt`` and the order it
+    comes from. Entries are merged map-side, so a key of any number of groups is one row a task.
+    """
+    last = F.max(F.struct(order, "cnt")).alias("last")
+    return counts.groupBy(*keys).agg(last).select(*keys, "last.cnt", f"last.{order}")

@@ -10,7 +10,7 @@ from coterie.functions.text import (
     content_words,
     strip_markup,
 )
-from coterie.operators import clustroids, density, features, words
+from coterie.operators import clustroids, density, features, metric_join, words
 from coterie.operators.edit_join import both_ways, edit_distance_join
 from coterie.operators.graph import connected_components
 from coterie.plans.registry import Registry
@@ -40,6 +40,7 @@ SWEEP_YEARS = (1994, 2004)
 # steps written out in SQL; the clusterings end when nothing moves, after 7 steps on the fixtures
 SQL_STEPS = 10
 EPS = 5
+NEAREST = 10
 MIN_SAMPLES = 3
 CUT_HEIGHT = 3
 # steps written out in SQL; exemplars come to rest earlier on the fixtures
@@ -363,6 +364,18 @@ def cluster_top_words(spark, sf_dir):
     return words.top_words(counts, ["period_start"])
 
 
+@QUERIES.add(
+    "merged_word_counts",
+    WORD_COUNTS
+    + """ SELECT cluster, word, cnt, period_start FROM word_counts
+QUALIFY row_number() OVER (PARTITION BY cluster, word ORDER BY period_start DESC) = 1""",
+)
+def merged_word_counts(spark, sf_dir):
+    """The word counts of all periods as one map, where later periods replace earlier ones."""
+    counts = words.cluster_word_counts(clustered_titles(spark, sf_dir), ["period_start"])
+    return words.merged_counts(counts, ["cluster", "word"], "period_start")
+
+
 TEXT_PAIRS = """ SELECT DISTINCT p_name || ' ' || p_type AS a, p_type || ' ' || p_brand AS b FROM part"""
 
 
@@ -475,6 +488,28 @@ def single_linkage_cut(spark, sf_dir):
     return density.single_linkage_cut(part_titles(spark, sf_dir), CUT_HEIGHT)
 
 
+@QUERIES.add(
+    "nearest_titles",
+    NEAR
+    + f""" SELECT title, neighbour, distance, row_number() OVER w AS rank FROM distances
+WINDOW w AS (PARTITION BY title ORDER BY distance, neighbour)
+QUALIFY row_number() OVER w <= {NEAREST}""",
+)
+def nearest_titles(spark, sf_dir):
+    return metric_join.nearest_titles(part_titles(spark, sf_dir), NEAREST, levenshtein)
+
+
+@QUERIES.add(
+    "metric_range_pairs",
+    NEAR
+    + f""" SELECT title AS title_a, neighbour AS title_b, distance FROM distances
+WHERE distance <= {EPS} AND title < neighbour""",
+)
+def metric_range_pairs(spark, sf_dir):
+    """The pairs of ``levenshtein_eps_join`` by pivots, which serve any metric."""
+    return metric_join.metric_pairs(part_titles(spark, sf_dir), EPS, levenshtein)
+
+
 @QUERIES.add("affinity_propagation", messages_sql(SQL_MESSAGE_STEPS))
 def affinity_propagation(spark, sf_dir):
     titles = part_titles(spark, sf_dir)

@@ -3,13 +3,16 @@
 from pyspark.sql import functions as F
 
 from coterie.operators import minhash, similarity
+from coterie.operators.lineage import scratch_path
 from coterie.plans.registry import Registry
 from coterie.plans.tables import posts, table
+from coterie.sources import lines
 
 QUERIES = Registry()
 
 PRINT_CUT = 0.02  # similarity above which the brute-force comparison lists a pair
 CHARACTER_CUT = 0.8
+GROUP_FOLDERS = 16
 
 
 def md5_sql(value: str, digits: int = 8) -> str:
@@ -308,6 +311,22 @@ def lsh_candidate_contents(spark, sf_dir):
     return minhash.group_contents(posts(spark, sf_dir), groups)
 
 
+@QUERIES.add(
+    "io_group_bodies_roundtrip",
+    groups_sql(None)
+    + """ SELECT band, bucket, replace(text, chr(10), ' ') AS body,
+  row_number() OVER (PARTITION BY band, bucket ORDER BY post_id) - 1 AS body_no
+FROM candidates JOIN documents ON doc_id = post_id""",
+)
+def io_group_bodies_roundtrip(spark, sf_dir):
+    """Candidate bodies written to a folder for each group's hash and read again."""
+    path = scratch_path(spark, "groups")
+    groups = minhash.near_duplicate_groups(kept_sets(spark, sf_dir))
+    contents = minhash.group_contents(posts(spark, sf_dir), groups)
+    lines.write_group_contents(contents, path, GROUP_FOLDERS)
+    return lines.read_group_contents(spark, path).select("band", "bucket", "body_no", "body")
+
+
 @QUERIES.add(
     "lsh_band_plan",
     WEIGHTED

@@ -175,3 +175,21 @@ def write_group_contents(contents: DataFrame, path: str, folders: int = 256) ->
         .write.partitionBy("folder")
         .text(path)
     )
+
+
+GROUP_BLOCK = r"(?s)^\n*Group (\d+)/(\d+), Body (\d+):(?:\n(.*))?$"
+
+
+def read_group_contents(spark: SparkSession, path: str) -> DataFrame:
+    """(band, bucket, body_no, body) of all groups that ``write_group_contents`` has written."""
+    blocks = spark.read.option("lineSep", "\n\n").text(path).where(F.col("value").rlike(GROUP_BLOCK))
+
+    def part(number: int):
+        return F.regexp_extract("value", GROUP_BLOCK, number)
+
+    return blocks.select(
+        part(1).cast("int").alias("band"),
+        part(2).cast("bigint").alias("bucket"),
+        part(3).cast("bigint").alias("body_no"),
+        part(4).alias("body"),
+    )

@@ -152,13 +152,14 @@ def test_reports_split_a_frequent_title(spark, tmp_path, monkeypatch):
 
 
 def test_group_contents(spark, tmp_path):
-    rows = [(0, 7, i, f"text {i}") for i in range(3)]
+    rows = [(0, 7, i, f"text {i}") for i in range(3)] + [(3, 1 << 50, 0, ""), (3, 1 << 50, 1, " Group 1/2, Body 3: ")]
     path = str(tmp_path / "groups")
     lines.write_group_contents(
         spark.createDataFrame(rows, "band int, bucket bigint, body_no bigint, body string"), path
     )
     text = [r["value"] for r in spark.read.text(path).select("value").collect()]
     assert {"Group 0/7, Body 0:", "text 0", "Group 0/7, Body 2:", "text 2"} <= set(text)
+    assert sorted(tuple(r) for r in lines.read_group_contents(spark, path).collect()) == rows
 
 
 def test_cleaning(spark):
