@@ -28,7 +28,7 @@ def _placed(points: DataFrame, measure: Measure, n_pivots: int) -> tuple[DataFra
     """
     order = md5_int(F.concat(F.lit("pivot:"), "title"))
     pivots = [r["title"] for r in points.select("title").distinct().orderBy(order, "title").limit(n_pivots).collect()]
-    away = F.array(*[measure(F.col("title"), F.lit(pivot)) for pivot in pivots])
+    away = F.array(*[measure(F.col("title"), F.lit(pivot)) for pivot in pivots]).cast("array<int>")
     placed = points.withColumn("away", away)
     home = F.array_position("away", F.array_min("away")).cast("int")
     return cut(placed.withColumn("home", home)), len(pivots)
