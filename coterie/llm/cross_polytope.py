@@ -82,6 +82,23 @@ def _hash_function(tables: int, probes: int):
     return send
 
 
+def distances(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """The Euclidean distance of each row to the query.
+
+    Where squares would leave the range of a double, they are taken in parts of the largest
+    difference. A distance beyond that range is infinite.
+    """
+    with np.errstate(over="ignore"):
+        apart = rows - query
+        found = np.sqrt((apart**2).sum(axis=1))
+        odd = np.flatnonzero(~((found > 1e-140) & (found < 1e150)))
+        if len(odd):
+            most = np.abs(apart[odd]).max(axis=1)
+            odd, most = odd[most > 0], most[most > 0]
+            found[odd] = most * np.sqrt(((apart[odd] / most[:, None]) ** 2).sum(axis=1))
+    return found
+
+
 def _rerank_function(most: int):
     """The ``most`` nearest rows of a chunk for each query that probes it, by exact distance.
 
@@ -99,7 +116,7 @@ def _rerank_function(most: int):
             blocks = [x[at : at + step] for at in range(0, len(x), step)]
             take = min(len(x), most)
             for i in range(len(q)):
-                exact = np.concatenate([np.sqrt(((part - q[i]) ** 2).sum(axis=1)) for part in blocks])
+                exact = np.concatenate([distances(part, q[i]) for part in blocks])
                 chosen = np.flatnonzero(exact <= np.partition(exact, take - 1)[take - 1])
                 order = chosen[np.lexsort((row_ids[chosen], least_ids[chosen], exact[chosen]))[:take]]
                 query += [query_ids[i]] * len(order)

@@ -411,6 +411,29 @@ def test_nearest_neighbours_of_small_tables(spark):
     assert [i for _, i in found[0]] == [j for j, _ in sorted(short, key=lambda x: x[1])]
 
 
+def test_distances_of_very_large_and_small_vectors():
+    rng = np.random.default_rng(3)
+    for scale in (1e-300, 1e-170, 1.0, 1e155, 1e300):
+        rows, query = rng.normal(size=(50, 8)), rng.normal(size=8)
+        rows[7] = query
+        want = np.array([math.dist(row, query) for row in rows])
+        found = cross_polytope.distances(rows * scale, query * scale)
+        assert found[7] == 0 and np.allclose(found / scale, want, rtol=1e-12)
+        assert (np.argsort(found) == np.argsort(want)).all()
+
+
+def test_nearest_neighbours_of_very_large_vectors(spark):
+    rows = [(0, [1e200, 0.0]), (1, [3e200, 0.0]), (2, [2e200, 0.0]), (3, [1e-200, 1e-200]), (100, [1e-200, 2e-200])]
+    vectors = cross_polytope.usable(
+        spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), "vec_id", "embedding"
+    )
+    found = defaultdict(list)
+    for r in cross_polytope.nearest(vectors, vectors).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    assert [i for i, _ in found[0]] == [2, 3, 100, 1]
+    assert found[0][0][1] == 1e200 and found[3][0] == (100, 1e-200)
+
+
 def nearest_in_a_chunk(x, ids, q, most):
     rng = np.random.default_rng(8)
     rows = {"rep": rng.permutation(len(x)), "vector": x.tolist(), "least_id": ids}
