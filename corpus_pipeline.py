@@ -11,13 +11,26 @@ from coterie.plans.tables import table
 SHARDS = 16
 
 
+def free_name(name: str, docs: DataFrame) -> str:
+    """The name, behind as many underscores as no column of the documents has."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality classifier does not reject."""
+    """The documents that the quality classifier does not reject.
+
+    Each row is judged by its text, null and empty ones too; repeated rows are judged alike and
+    all stay or go. No rows give no rows.
+    """
+    own = free_name("_score", docs)
     scored = quality_knn.score_documents(
-        docs.withColumnRenamed("score", "_score"), table(spark, sf_dir, "labels")
+        docs.withColumnRenamed("score", own), table(spark, sf_dir, "labels")
     )
     kept = scored.where(F.col("score") >= quality_knn.THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_score", "score").select(*docs.columns)
+    return kept.withColumnRenamed(own, "score").select(*docs.columns)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +51,11 @@ def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of which less than a twentieth is benchmark passages."""
+    """The documents of which less than a twentieth is benchmark passages.
+
+    Null and empty texts and texts of any length are judged whole; repeated rows are judged
+    alike. No rows give no rows.
+    """
     names = {name: f"_doc_{i}" for i, name in enumerate(docs.columns)}
     own = docs.select("doc_id", "text", *[F.col(n).alias(new) for n, new in names.items()])
     found = decontamination.contamination(
@@ -52,29 +69,35 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources begins to take it; the rest goes.
 
-    Rows that agree in id, source and text share what is taken of them.
+    Rows that agree in id, source and text share what is taken of them. Rows without words add
+    nothing to the mix and go. No rows give no rows.
     """
     key = F.xxhash64("text")
+    names = ("_id", "_source", "_text", "_times", "_copy")
+    own_id, own_source, own_text, times, copy = (free_name(name, docs) for name in names)
     taken = mixing.mix_sources(
         docs.select("doc_id", "source", "text", key.alias("_key")), kept=["source", "_key"]
     )
     share = taken.groupBy(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_key").alias("_text")
-    ).agg(F.ceil(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias("_times"))
+        F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("_key").alias(own_text)
+    ).agg(F.ceil(F.try_divide(F.sum("taken"), F.sum("size"))).cast("int").alias(times))
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (key == F.col("_text"))
+        F.col("doc_id").eqNullSafe(F.col(own_id))
+        & F.col("source").eqNullSafe(F.col(own_source))
+        & (key == F.col(own_text))
     )
     return (
-        docs.join(share.where("_times > 0"), same)
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+        docs.join(share.where(F.col(times) > 0), same)
+        .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(*docs.columns)
     )
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row with its shard; copies of a document are in one shard."""
+    """Every row with its shard; copies of a document are in one shard, a null id counts as one.
+
+    A column ``shard`` of the documents is replaced. No rows give no rows.
+    """
     return docs.withColumn("shard", sharding.rendezvous_shard(F.col("doc_id"), [1.0] * SHARDS))
 
 
