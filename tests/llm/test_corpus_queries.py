@@ -38,3 +38,17 @@ def test_stage_on_odd_rows(spark, stage):
     known = {tuple(row)[:6] for row in docs.collect()}
     assert {tuple(row)[:6] for row in result.select(*docs.columns).collect()} <= known
     assert run(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+@pytest.mark.parametrize("stage", [0, 3])
+def test_stage_keeps_columns_of_its_own_names(spark, stage):
+    from test_operators import ROWS
+
+    names = ["_score", "score", "_copy", "_times", "_id", "_text", "_source", "_key"]
+    rows = [(d, t, "en", s, *[f"{name}{d}" for name in names]) for d, t, _, s, *_ in ROWS]
+    schema = "doc_id bigint, text string, lang string, source string, "
+    docs = spark.createDataFrame(rows, schema + ", ".join(f"{name} string" for name in names))
+    result = corpus_pipeline.STAGES[stage][1](spark, docs, SF_DIR)
+    assert result.columns == docs.columns
+    found = [tuple(r) for r in result.collect()]
+    assert found and set(found) <= {tuple(r) for r in docs.collect()}
