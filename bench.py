@@ -46,6 +46,10 @@ HEADLINE = [
     "single_linkage_merges",
     "affinity_propagation",
     "kmeans_vectors",
+    "maximal_itemsets",
+    "adaptive_threshold_trace",
+    "itemset_containment_count",
+    "nearest_titles",
 ]
 
 
