@@ -284,6 +284,30 @@ def near_duplicate_documents(spark, sf_dir):
     return minhash.near_duplicate_groups(kept_sets(spark, sf_dir))
 
 
+@QUERIES.add(
+    "lsh_candidate_pairs",
+    banded_sql(minhash.BUCKETS)
+    + f""",
+classes AS MATERIALIZED (
+  SELECT min(post_id) AS rep, count(*) AS copies, list(post_id) AS posts FROM (
+    SELECT post_id, list(bucket ORDER BY band) AS buckets FROM members GROUP BY post_id)
+  GROUP BY buckets),
+placed AS (SELECT rep, copies, band, bucket FROM classes JOIN members ON post_id = rep)
+SELECT a.rep AS post_a, b.rep AS post_b, CAST(count(*) AS INTEGER) AS n_bands,
+  any_value(a.copies) AS copies_a, any_value(b.copies) AS copies_b
+FROM placed a JOIN placed b ON a.band = b.band AND a.bucket = b.bucket AND a.rep < b.rep
+GROUP BY a.rep, b.rep HAVING count(*) / {minhash.BANDS} >= {minhash.THRESHOLD}
+UNION ALL
+SELECT rep, post_id, {minhash.BANDS}, copies, copies
+FROM (SELECT rep, copies, unnest(posts) AS post_id FROM classes) WHERE post_id <> rep""",
+)
+def lsh_candidate_pairs(spark, sf_dir):
+    """Pairs that share enough bands, between classes of equal bands, and who is in each class."""
+    signatures = minhash.minhash_signatures(kept_sets(spark, sf_dir))
+    members = minhash.band_buckets(signatures, n_buckets=minhash.BUCKETS)
+    return minhash.candidate_pairs(members).rows()
+
+
 @QUERIES.add(
     "lsh_verified_pairs",
     groups_sql(None).replace("tokens AS", "post_tokens AS").replace("FROM tokens", "FROM post_tokens")

@@ -143,3 +143,39 @@ def test_salted_join_equals_a_join(spark):
     unique = spark.createDataFrame([(0, "x"), (1, "y")], "k bigint, w string")
     salted = skew.salted_join(large, unique, ["k"], "v")
     assert sorted(salted.collect()) == sorted(large.join(unique, "k").select(salted.columns).collect())
+
+
+def test_candidate_pairs_count_shared_bands(spark):
+    chance = random.Random(8)
+    vectors = {post: [chance.randrange(3) for _ in range(8)] for post in range(60)}
+    # one bucket of the first band holds everybody, one class has twenty copies
+    vectors |= {100 + i: [0, *vectors[i][1:]] for i in range(40)}
+    vectors |= {200 + i: list(vectors[0]) for i in range(20)}
+    rows = [(post, band, bucket) for post, v in vectors.items() for band, bucket in enumerate(v)]
+    members = spark.createDataFrame(rows, "post_id bigint, band int, bucket bigint")
+    found = minhash.candidate_pairs(members, n_bands=8, share=0.5)
+
+    classes = {}
+    for post in sorted(vectors):
+        classes.setdefault(tuple(vectors[post]), []).append(post)
+    first = {posts[0]: (vector, len(posts)) for vector, posts in classes.items()}
+    expected = set()
+    for a, (of_a, copies_a) in first.items():
+        for b, (of_b, copies_b) in first.items():
+            shared = sum(x == y for x, y in zip(of_a, of_b))
+            if a < b and shared >= 4:
+                expected.add((a, b, shared, copies_a, copies_b))
+    pairs = [tuple(row) for row in found.pairs.collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == expected
+    assert {(r.post_id, r.representative, r.n_bands, r.n_members) for r in found.copies.collect()} == {
+        (post, posts[0], 8, len(posts)) for posts in classes.values() for post in posts[1:]
+    }
+
+
+def test_candidate_pairs_of_one_hot_bucket(spark, monkeypatch):
+    monkeypatch.setattr("coterie.operators.heavy_join.LEAST_TILE", 8)
+    rows = [(post, band, 0 if band < 2 else post * 10 + band) for post in range(120) for band in range(4)]
+    members = spark.createDataFrame(rows, "post_id bigint, band int, bucket bigint")
+    assert minhash.candidate_pairs(members, n_bands=4, share=0.5).pairs.count() == 120 * 119 // 2
+    assert minhash.candidate_pairs(members, n_bands=4, share=0.75).pairs.count() == 0
+    assert minhash.candidate_pairs(members.limit(0), n_bands=4).rows().count() == 0
