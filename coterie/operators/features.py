@@ -1,13 +1,17 @@
 """TF-IDF features of texts and k-means over features and vectors."""
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from coterie.functions.hashing import md5_int
 from coterie.operators.lineage import cut
 
 SEED = 459392
+ROUNDS = 5
 
 
 def _terms(body: Column) -> Column:
@@ -95,18 +99,16 @@ def kmeans(
 ) -> DataFrame:
     """``points`` with the k-means ``cluster`` of their ``features``, arrays of equal length.
 
-    Starts from ``k`` different vectors in a seeded random order of the keys, assigns every point
-    to the nearest centre (ties to the lowest number) and moves the centres to the means until
+    Starts from ``start_centres``, assigns every point to the nearest centre (ties to the lowest number) and moves the centres to the means until
     none moves; raises if that takes more than ``max_steps``. A centre without points stays.
     Distances and centres are rounded to nine digits, so the order of additions does not matter.
     A step is one pass in Arrow batches: each task adds up its points to one row a cluster, and the
     driver only sees the ``k`` sums.
     """
     points = cut(points)
-    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
-    vectors = points.groupBy("features").agg(F.min(ticket).alias("ticket"))
-    first = vectors.orderBy("ticket").limit(k).select("features").collect()
-    centres = np.array([row["features"] for row in first], np.float64)
+    centres = start_centres(points, k, key, seed)
+    if not len(centres):
+        return points.withColumn("cluster", F.lit(None).cast("int"))
     for _ in range(max_steps):
         sums = (
             points.select("features")
@@ -128,6 +130,91 @@ def kmeans(
     raise RuntimeError(f"centres still move after {max_steps} steps")
 
 
+def start_centres(
+    points: DataFrame, k: int, key: str, seed: int = SEED, rounds: int = ROUNDS
+) -> np.ndarray:
+    """``k`` different vectors far apart, one a row (all vectors, if there are fewer).
+
+    Candidates begin with ``k`` vectors drawn evenly. Each round draws ``2 * k`` more, with chances
+    that go by a vector's points times its squared distance to the nearest candidate so far. Then
+    every candidate weighs the points that are nearest to it, and ``k`` of them are drawn one by
+    one, with chances by weight times squared distance to those drawn before. All draws compare
+    hashes of the vectors' smallest keys: of numbers -log(u) / chance the least ones win, so a
+    round is one pass and a top of ``2 * k`` rows, and a rerun draws the same. The driver holds
+    at most ``k * (1 + 2 * rounds)`` candidates.
+    """
+    ticket = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    vectors = points.groupBy("features").agg(
+        F.min(ticket).alias("ticket"), F.count(F.lit(1)).alias("weight")
+    )
+    vectors = vectors.withColumn("away", F.lit(float("inf")))
+    drawn = vectors.orderBy("ticket").limit(k).select("features", "ticket").collect()
+    if not drawn:
+        return np.zeros((0, 0))
+    candidates = list(drawn)
+    for number in range(1, rounds + 1):
+        if not drawn:
+            break
+        vectors = cut(vectors.mapInArrow(_nearing(_matrix(drawn)), vectors.schema))
+        even = (md5_int(F.concat_ws(":", F.lit(f"{seed}:{number}"), "ticket")) + 0.5) / 2.0**32
+        wait = -F.log(even) / (F.col("weight") * F.col("away"))
+        drawn = (
+            vectors.where("away > 0").orderBy(wait, "ticket").limit(2 * k)
+            .select("features", "ticket").collect()
+        )
+        candidates += drawn
+    candidates.sort(key=lambda row: row["ticket"])
+    held = (
+        points.select("features")
+        .mapInArrow(_summing(_matrix(candidates)), SUMS)
+        .groupBy("cluster")
+        .agg(F.sum(F.element_at("sums", -1)).alias("n"))
+    )
+    weights = np.zeros(len(candidates))
+    for cluster, n in held.collect():  # one row a candidate
+        weights[cluster] = n
+    return _drawn(_matrix(candidates), weights, [row["ticket"] for row in candidates], k, seed)
+
+
+def _drawn(
+    candidates: np.ndarray, weights: np.ndarray, tickets: list[str], k: int, seed: int
+) -> np.ndarray:
+    """``k`` of the candidates, each drawn by its weight and its distance to those before it."""
+    away, chosen = np.ones(len(candidates)), []
+    for number in range(1, k + 1):
+        texts = [f"{seed}:pick:{number}:{ticket}" for ticket in tickets]
+        heads = [int(hashlib.md5(text.encode()).hexdigest()[:8], 16) for text in texts]
+        even = (np.array(heads) + 0.5) / 2.0**32
+        open_ = np.flatnonzero(weights * away > 0)
+        if not len(open_):
+            break
+        wait = -np.log(even[open_]) / (weights * away)[open_]
+        chosen.append(open_[wait.argmin()])
+        squares = ((candidates - candidates[chosen[-1]]) ** 2).sum(axis=1)
+        away = squares if number == 1 else np.minimum(away, squares)
+    return candidates[chosen]
+
+
+def _matrix(rows: list) -> np.ndarray:
+    return np.array([row["features"] for row in rows], np.float64).reshape(len(rows), -1)
+
+
+def _nearing(candidates: np.ndarray):
+    """Lowers ``away`` to the squared distance to the nearest of the candidates."""
+
+    def lower(batches):
+        for batch in batches:
+            away = batch.column("away").to_numpy().copy()
+            if batch.num_rows:
+                vectors = _vectors(batch)
+                for candidate in candidates:
+                    np.minimum(away, ((vectors - candidate) ** 2).sum(axis=1), out=away)
+            at = batch.schema.get_field_index("away")
+            yield batch.set_column(at, "away", pa.array(away))
+
+    return lower
+
+
 DIGITS = 9
 STEP_VALUES = 1 << 20
 SUMS = "cluster int, sums array<double>"

@@ -540,13 +540,58 @@ def tfidf_features(spark, sf_dir):
     return document_tfidf(spark, sf_dir).withColumn("tfidf", F.round("tfidf", 6))
 
 
+def even_sql(text: str) -> str:
+    """A number between 0 and 1 that the first 32 bits of a text's MD5 give."""
+    return f"((CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) + 0.5) / 4294967296)"
+
+
+def start_sql(k: int) -> str:
+    """The starting centres of ``points`` (id, features), as ``centres_1`` (centre, cluster)."""
+    nearing = """
+  SELECT v.features, v.ticket, any_value(v.weight) AS weight,
+    least(any_value(v.away), min(pow(list_distance(v.features, d.features), 2))) AS away
+  FROM {} v LEFT JOIN {} d ON true GROUP BY v.features, v.ticket"""
+    text = f""",
+vectors AS MATERIALIZED (
+  SELECT features, min(md5('{features.SEED}:' || id)) AS ticket, count(*) AS weight,
+    CAST('inf' AS DOUBLE) AS away FROM points GROUP BY features),
+drawn_0 AS MATERIALIZED (SELECT features, ticket FROM vectors ORDER BY ticket LIMIT {k}),
+away_0 AS MATERIALIZED ({nearing.format("vectors", "drawn_0")})"""
+    for number in range(1, features.ROUNDS + 1):
+        even = even_sql(f"'{features.SEED}:{number}:' || ticket")
+        text += f""",
+drawn_{number} AS MATERIALIZED (
+  SELECT features, ticket FROM away_{number - 1} WHERE away > 0
+  ORDER BY -ln({even}) / (weight * away), ticket LIMIT {2 * k}),
+away_{number} AS MATERIALIZED ({nearing.format(f"away_{number - 1}", f"drawn_{number}")})"""
+    every = " UNION ALL ".join(f"FROM drawn_{number}" for number in range(features.ROUNDS + 1))
+    text += f""",
+candidates AS MATERIALIZED ({every}),
+left_0 AS MATERIALIZED (
+  SELECT features, ticket, count(*) AS weight, 1.0::DOUBLE AS away FROM (
+    SELECT c.features, c.ticket FROM points p, candidates c QUALIFY row_number() OVER (
+      PARTITION BY id ORDER BY round(list_distance(p.features, c.features), 9), ticket) = 1)
+  GROUP BY features, ticket)"""
+    for number in range(1, k + 1):
+        even = even_sql(f"'{features.SEED}:pick:{number}:' || ticket")
+        nearest = "pow(list_distance(l.features, p.features), 2)"
+        away = nearest if number == 1 else f"least(away, {nearest})"
+        text += f""",
+pick_{number} AS MATERIALIZED (
+  SELECT features FROM left_{number - 1} WHERE away > 0
+  ORDER BY -ln({even}) / (weight * away), ticket LIMIT 1),
+left_{number} AS MATERIALIZED (
+  SELECT l.features, ticket, weight, {away} AS away FROM left_{number - 1} l, pick_{number} p)"""
+    picks = " UNION ALL ".join(
+        f"SELECT features AS centre, {number - 1} AS cluster FROM pick_{number}"
+        for number in range(1, k + 1)
+    )
+    return text + f", centres_1 AS MATERIALIZED ({picks})"
+
+
 def kmeans_sql(k: int, steps: int) -> str:
     """k-means of ``points`` (id, features) written out; ``assigned`` is the last assignment."""
-    text = f""",
-centres_1 AS MATERIALIZED (
-  SELECT features AS centre, row_number() OVER (ORDER BY ticket) - 1 AS cluster FROM (
-    SELECT features, min(md5('{features.SEED}:' || id)) AS ticket FROM points
-    GROUP BY features ORDER BY ticket LIMIT {k}))"""
+    text = start_sql(k)
     for step in range(1, steps + 1):
         text += f""",
 assigned_{step} AS MATERIALIZED (

@@ -212,11 +212,7 @@ def test_kmeans_follows_lloyd_steps(spark):
     vectors[50:90] = vectors[3]
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "id int, features array<double>")
     found = {r["id"]: r["cluster"] for r in features.kmeans(frame, 6, "id").collect()}
-    tickets = {}
-    for i, v in enumerate(vectors.tolist()):
-        ticket = hashlib.md5(f"{features.SEED}:{i}".encode()).hexdigest()
-        tickets[tuple(v)] = min(ticket, tickets.get(tuple(v), ticket))
-    centres = np.array(sorted(tickets, key=tickets.get)[:6])
+    centres = features.start_centres(frame, 6, "id")
     for _ in range(200):
         distance = np.round(np.sqrt(((vectors[:, None] - centres) ** 2).sum(axis=2)), 9)
         cluster = distance.argmin(axis=1)
@@ -225,3 +221,59 @@ def test_kmeans_follows_lloyd_steps(spark):
             break
         centres = np.array(moved)
     assert found == dict(enumerate(cluster.tolist()))
+
+
+def even(text):
+    return (int(hashlib.md5(text.encode()).hexdigest()[:8], 16) + 0.5) / 2**32
+
+
+def test_start_centres_are_drawn_by_distance(spark):
+    """Against the same draws one by one, with one vector that holds a third of the rows."""
+    chance = np.random.default_rng(6)
+    vectors = np.round(chance.normal(size=(150, 3)), 3)
+    vectors[:50] = vectors[0]
+    rows = [tuple(v) for v in vectors.tolist()]
+    frame = spark.createDataFrame(list(enumerate(map(list, rows))), "id int, features array<double>")
+    k, seed = 4, features.SEED
+    ticket, weight = {}, {}
+    for i, v in enumerate(rows):
+        name = hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
+        ticket[v] = min(name, ticket.get(v, name))
+        weight[v] = weight.get(v, 0) + 1
+
+    def away(v, others):
+        return min(sum((x - y) ** 2 for x, y in zip(v, other)) for other in others)
+
+    found = sorted(ticket, key=ticket.get)[:k]
+    for number in range(1, features.ROUNDS + 1):
+        wait = {
+            v: -np.log(even(f"{seed}:{number}:{ticket[v]}")) / (weight[v] * away(v, found))
+            for v in ticket
+            if away(v, found) > 0
+        }
+        found = found + sorted(wait, key=wait.get)[: 2 * k]
+    held = dict.fromkeys(found, 0)
+    for v in rows:
+        held[min(found, key=lambda c: (round(away(v, [c]) ** 0.5, 9), ticket[c]))] += 1
+    picked = []
+    for number in range(1, k + 1):
+        mass = {c: held[c] * (away(c, picked) if picked else 1) for c in found}
+        wait = {
+            c: -np.log(even(f"{seed}:pick:{number}:{ticket[c]}")) / mass[c] for c in found if mass[c]
+        }
+        picked.append(min(wait, key=wait.get))
+    assert [tuple(c) for c in features.start_centres(frame, k, "id").tolist()] == picked
+
+
+def test_start_centres_reach_small_far_groups(spark):
+    sizes = {0.0: 300, 1000.0: 6, 2000.0: 4, 3000.0: 3}
+    values = [[place + i % 7 / 10] for place, n in sizes.items() for i in range(n)]
+    frame = spark.createDataFrame(list(enumerate(values)), "id int, features array<double>")
+    assert {round(c[0], -3) for c in features.start_centres(frame, 4, "id").tolist()} == set(sizes)
+
+
+def test_kmeans_of_few_vectors_and_of_none(spark):
+    frame = spark.createDataFrame([(i, [float(i % 2)]) for i in range(6)], "id int, features array<double>")
+    found = features.kmeans(frame, 5, "id").collect()
+    assert {(r.features[0], r.cluster) for r in found} in ({(0, 0), (1, 1)}, {(0, 1), (1, 0)})
+    assert features.kmeans(frame.limit(0), 5, "id").count() == 0
