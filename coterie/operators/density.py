@@ -75,6 +75,129 @@ def dbscan(
     )
 
 
+def dbscan_labels(
+    titles: DataFrame, eps: int, min_samples: int, measure: Measure | None = None
+) -> DataFrame:
+    """(title, is_core, cluster) as ``dbscan`` gives them, without the pairs of dense places.
+
+    Titles within half of ``eps`` of a common centre are within ``eps`` of one another; if they
+    are ``min_samples``, counted with their weights, all of them are core and in one cluster. Such
+    balls are found first, see ``full_balls``, and those whose centres are within ``eps`` are one
+    block. The range join then leaves out pairs inside a block where they meet: neighbours are
+    listed and counted for titles outside of balls only, and between blocks that may still touch.
+    """
+    points = cut(titles.select("title", "weight"))
+    balls = cut(full_balls(points, eps, min_samples, measure))
+    centres = cut(balls.select(F.col("ball").alias("title")).distinct())
+    touching = titles_within(centres, eps, measure).select(
+        F.col("title_a").alias("a"), F.col("title_b").alias("b")
+    )
+    joined = connected_components(centres.select(F.col("title").alias("id")), touching).select(
+        F.col("id").alias("ball"), F.col("component").alias("joined")
+    )
+    inside = salted_join(balls, joined, ["ball"], "title").select("title", "joined")
+    # a title outside is its own block; blocks of balls are named by a centre, which is inside
+    blocks = cut(
+        points.join(inside, "title", "left").select(
+            "title",
+            "weight",
+            F.col("joined").isNotNull().alias("dense"),
+            F.coalesce("joined", "title").alias("block"),
+        )
+    )
+    near = titles_within(blocks, eps, measure, apart="block")
+    near = cut(both_ways(near).select("title", "neighbour"))
+    outside = blocks.where("NOT dense")
+    around = (
+        salted_join(
+            near.join(outside.select("title"), "title", "left_semi"),
+            points.select(F.col("title").alias("neighbour"), "weight"),
+            ["neighbour"],
+            "title",
+        )
+        .groupBy("title")
+        .agg(F.sum("weight").alias("around"))
+    )
+    crowded = F.col("weight") + F.coalesce("around", F.lit(0)) >= min_samples
+    core_outside = outside.join(around, "title", "left").where(crowded)
+    core = cut(
+        blocks.where("dense").select("title", "block").unionByName(core_outside.select("title", "block"))
+    )
+    to_core = cut(
+        salted_join(
+            near,
+            core.select(F.col("title").alias("neighbour"), F.col("block").alias("b")),
+            ["neighbour"],
+            "title",
+        )
+    )
+    of_title = core.select("title", F.col("block").alias("a"))
+    links = salted_join(to_core, of_title, ["title"], "neighbour").select("a", "b").distinct()
+    components = connected_components(core.select(F.col("block").alias("id")).distinct(), links)
+    components = components.select(F.col("id").alias("block"), "component")
+    clustered = cut(salted_join(core, components, ["block"], "title"))
+    first = clustered.groupBy("component").agg(F.min("title").alias("first"))
+    numbers = dense_index(first, ["first"], "cluster").select("component", "cluster")
+    core_clusters = cut(
+        salted_join(clustered, numbers, ["component"], "title").select("title", "cluster")
+    )
+    border_clusters = (
+        salted_join(
+            to_core.join(core.select("title"), "title", "left_anti"),
+            core_clusters.withColumnRenamed("title", "neighbour"),
+            ["neighbour"],
+            "title",
+        )
+        .groupBy("title")
+        .agg(F.min("cluster").alias("cluster"))
+    )
+    every = core_clusters.select("title", F.lit(True).alias("is_core"), "cluster").unionByName(
+        border_clusters.select("title", F.lit(False).alias("is_core"), "cluster")
+    )
+    return points.join(every, "title", "left").select(
+        "title",
+        F.coalesce("is_core", F.lit(False)).alias("is_core"),
+        F.coalesce("cluster", F.lit(-1)).alias("cluster"),
+    )
+
+
+def full_balls(
+    points: DataFrame, eps: int, min_samples: int, measure: Measure | None = None
+) -> DataFrame:
+    """(title, ball): titles at most ``eps // 2`` from ``ball``, a centre that reaches ``min_samples``.
+
+    Of ``n`` titles about the square root of ``n`` are centres, drawn by a hash; balls may overlap,
+    and a title is listed under its nearest full one (ties to the smallest). So a place of ``m``
+    titles costs ``m`` times its centres, and one with no centre has few more titles than that root.
+    """
+    n_titles = points.count()
+    ticket = md5_int(F.concat(F.lit("ball:"), "title")) / F.lit(2.0**32)
+    drawn = ticket * F.lit(float(n_titles) ** 0.5) < 1
+    marked = cut(points.select("title", "weight", drawn.alias("drawn")))
+    centres = marked.where("drawn").select("title")
+    if measure is None:
+        pairs = edit_distance_join(marked, eps // 2, of=centres)
+    else:
+        pairs = metric_pairs(marked, eps // 2, measure, apart="drawn")
+    own = centres.select("title", F.lit(0).alias("distance"), F.col("title").alias("ball"))
+    reach = salted_join(
+        both_ways(pairs), centres.withColumnRenamed("title", "neighbour"), ["neighbour"], "title"
+    ).select("title", "distance", F.col("neighbour").alias("ball"))
+    reach = cut(salted_join(reach.unionByName(own), points, ["title"], "ball"))
+    full = (
+        reach.groupBy("ball")
+        .agg(F.sum("weight").alias("held"))
+        .where(F.col("held") >= min_samples)
+        .select("ball")
+    )
+    return (
+        salted_join(reach, full, ["ball"], "title")
+        .groupBy("title")
+        .agg(F.min(F.struct("distance", "ball")).alias("best"))
+        .select("title", F.col("best.ball").alias("ball"))
+    )
+
+
 def single_linkage_cut(
     titles: DataFrame, height: int, measure: Measure | None = None
 ) -> DataFrame:

@@ -444,8 +444,7 @@ def components(spark, sf_dir):
     )
 
 
-@QUERIES.add(
-    "dbscan_titles",
+DENSITY = (
     NEAR
     + f""", degrees AS MATERIALIZED (
   SELECT t.title, 1 + count(d.neighbour) AS n_neighbours
@@ -463,7 +462,15 @@ labels AS (
   UNION ALL
   SELECT d.title, min(cluster) FROM distances d JOIN numbered n ON d.neighbour = n.id
   WHERE distance <= {EPS} AND d.title NOT IN (FROM core) GROUP BY d.title)
-SELECT title, n_neighbours, n_neighbours >= {MIN_SAMPLES} AS is_core, coalesce(cluster, -1) AS cluster
+"""
+)
+
+
+@QUERIES.add(
+    "dbscan_titles",
+    DENSITY
+    + f"""SELECT title, n_neighbours, n_neighbours >= {MIN_SAMPLES} AS is_core,
+  coalesce(cluster, -1) AS cluster
 FROM degrees LEFT JOIN labels USING (title)""",
 )
 def dbscan_titles(spark, sf_dir):
@@ -471,6 +478,18 @@ def dbscan_titles(spark, sf_dir):
     return density.dbscan(points, EPS, MIN_SAMPLES)
 
 
+@QUERIES.add(
+    "dbscan_labels",
+    DENSITY
+    + f"""SELECT title, n_neighbours >= {MIN_SAMPLES} AS is_core, coalesce(cluster, -1) AS cluster
+FROM degrees LEFT JOIN labels USING (title)""",
+)
+def dbscan_labels(spark, sf_dir):
+    """Labels only, by balls of dense places."""
+    points = part_titles(spark, sf_dir).withColumn("weight", F.lit(1))
+    return density.dbscan_labels(points, EPS, MIN_SAMPLES)
+
+
 @QUERIES.add("single_linkage_merges", linkage_sql(LINKAGE_PASSES))
 def single_linkage_merges(spark, sf_dir):
     return density.single_linkage_merges(part_titles(spark, sf_dir))

@@ -91,6 +91,65 @@ def test_dbscan_under_another_metric(spark):
             assert found[a].cluster == min(clusters, default=-1)
 
 
+@pytest.mark.parametrize("metric", [None, *METRICS])
+@pytest.mark.parametrize(("eps", "min_samples"), [(2, 6), (3, 4)])
+def test_dbscan_labels_by_balls(spark, metric, eps, min_samples):
+    """Against neighbours counted one by one, with a weight that makes a lone title core."""
+    measure, distance = METRICS[metric or "levenshtein"]
+    titles = [*TITLES, "far away from all others"]
+    weights = {t: min_samples if t == titles[-1] else 1 for t in titles}
+    points = spark.createDataFrame(list(weights.items()), "title string, weight bigint")
+    found = density.dbscan_labels(points, eps, min_samples, measure if metric else None)
+    found = {r.title: r for r in found.collect()}
+    near = {a: [b for b in titles if distance(a, b) <= eps] for a in titles}
+    core = {a for a in titles if sum(weights[b] for b in near[a]) >= min_samples}
+    assert {t for t, r in found.items() if r.is_core} == core
+    label, numbers = {}, 0
+    for seed in sorted(core):
+        if seed not in label:
+            open_ = [seed]
+            while open_:
+                title = open_.pop()
+                if title not in label:
+                    label[title] = numbers
+                    open_ += [b for b in near[title] if b in core]
+            numbers += 1
+    for title in titles:
+        joins = [label[b] for b in near[title] if b in core]
+        assert found[title].cluster == label.get(title, min(joins, default=-1))
+
+
+def test_dense_places_make_few_pairs(spark, monkeypatch):
+    """Two places of 900 titles, each within four edits of all in its place, and some titles between."""
+    letters = "abcdefghijklmnopqrstuvwxyzABCD"
+    places = [f"{stem}{x}{y}" for stem in ("first place ", "some other spot ") for x in letters for y in letters]
+    titles = [*places, "first placeXYZ", "alone", "some other spt ab"]
+    seen = []
+
+    def counted(join):
+        def run(*args, **options):
+            found = join(*args, **options)
+            seen.append(found.count())
+            return found
+
+        return run
+
+    monkeypatch.setattr(density, "edit_distance_join", counted(density.edit_distance_join))
+    points = frame(spark, titles).withColumn("weight", F.lit(1))
+    found = {r.title: r for r in density.dbscan_labels(points, 4, 20).collect()}
+    assert {found[t].cluster for t in places[:900]} == {0}
+    assert {found[t].cluster for t in places[900:]} == {1}
+    assert (found["alone"].cluster, found["alone"].is_core) == (-1, False)
+    assert found["some other spt ab"].cluster == 1
+    # all pairs would be 2 * 900 * 899 / 2 = 809,100
+    assert sum(seen) < 60_000
+
+
+def test_dbscan_labels_of_none(spark):
+    none = frame(spark, ["a"]).withColumn("weight", F.lit(1)).limit(0)
+    assert density.dbscan_labels(none, 3, 2).count() == 0
+
+
 def test_linkage_under_another_metric(spark):
     titles = TITLES[::4]
     found = density.single_linkage_merges(frame(spark, titles), 2, insert_delete_distance).collect()
