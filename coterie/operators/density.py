@@ -367,6 +367,18 @@ def _forest_of(edges: pa.Table) -> pa.RecordBatch:
     return edges.take(pa.array(np.concatenate(kept))).combine_chunks().to_batches()[0]
 
 
+def mutual_similarities(nearest: DataFrame) -> DataFrame:
+    """(title, neighbour, similarity) in both directions of the rows of a nearest-neighbour join."""
+    both = F.array(
+        F.struct("title", "neighbour"),
+        F.struct(F.col("neighbour").alias("title"), F.col("title").alias("neighbour")),
+    )
+    return (
+        nearest.select(F.inline(both), (-F.col("distance")).cast("double").alias("similarity"))
+        .distinct()
+    )
+
+
 def affinity_propagation(
     titles: DataFrame,
     similarities: DataFrame,

@@ -162,13 +162,22 @@ FROM outgoing_{i} JOIN merged_{i} ON cluster = id"""
     )
 
 
-def messages_sql(steps: int) -> str:
-    """Affinity propagation over the pairs within EPS with its steps written out."""
+LISTED_WITHIN = f"""
+listed AS (SELECT title, neighbour, CAST(-distance AS DOUBLE) AS s FROM distances
+  WHERE distance <= {EPS})"""
+LISTED_NEAREST = f"""
+chosen AS MATERIALIZED (SELECT title, neighbour, distance FROM distances
+  QUALIFY row_number() OVER (PARTITION BY title ORDER BY distance, neighbour) <= {NEAREST}),
+listed AS MATERIALIZED (SELECT title, neighbour, CAST(-distance AS DOUBLE) AS s FROM (
+  SELECT title, neighbour, distance FROM chosen
+  UNION SELECT neighbour, title, distance FROM chosen))"""
+
+
+def messages_sql(listed: str, steps: int) -> str:
+    """Affinity propagation over the ``listed`` pairs with its steps written out."""
     text = (
         NEAR
-        + f""",
-listed AS (SELECT title, neighbour, CAST(-distance AS DOUBLE) AS s FROM distances
-  WHERE distance <= {EPS}),
+        + f""",{listed},
 messages_0 AS MATERIALIZED (
   SELECT title, neighbour, s, 0.0::DOUBLE AS r, 0.0::DOUBLE AS a FROM listed
   UNION ALL
@@ -529,7 +538,7 @@ def metric_range_pairs(spark, sf_dir):
     return metric_join.metric_pairs(part_titles(spark, sf_dir), EPS, levenshtein)
 
 
-@QUERIES.add("affinity_propagation", messages_sql(SQL_MESSAGE_STEPS))
+@QUERIES.add("affinity_propagation", messages_sql(LISTED_WITHIN, SQL_MESSAGE_STEPS))
 def affinity_propagation(spark, sf_dir):
     titles = part_titles(spark, sf_dir)
     pairs = both_ways(edit_distance_join(titles, EPS))
@@ -537,6 +546,15 @@ def affinity_propagation(spark, sf_dir):
     return density.affinity_propagation(titles, density.cut(listed), tie_break=TIE_BREAK)
 
 
+@QUERIES.add("affinity_propagation_nearest", messages_sql(LISTED_NEAREST, SQL_MESSAGE_STEPS))
+def affinity_propagation_nearest(spark, sf_dir):
+    """Every title lists its nearest titles, however far they are, and those that list it."""
+    titles = part_titles(spark, sf_dir)
+    nearest = metric_join.nearest_titles(titles, NEAREST, levenshtein)
+    listed = density.cut(density.mutual_similarities(nearest))
+    return density.affinity_propagation(titles, listed, tie_break=TIE_BREAK)
+
+
 TFIDF = f"""WITH terms AS (
   SELECT doc_id AS post_id, term, count(*) AS tf FROM (
     SELECT doc_id, unnest(regexp_extract_all(lower(text), '([\\p{{L}}\\p{{N}}_]{{2,}})', 1)) AS term

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from coterie.functions.distance import insert_delete_distance
-from coterie.operators import clustroids, density, features
+from coterie.functions.distance import insert_delete_distance, levenshtein
+from coterie.operators import clustroids, density, features, metric_join
 from coterie.operators.edit_join import both_ways, edit_distance_join
 from coterie.operators.graph import connected_components
 
@@ -188,6 +188,23 @@ def test_affinity_propagation_finds_the_centres(spark):
     assert {row["title"]: row["exemplar"] for row in found} == expected
 
 
+def test_affinity_propagation_over_nearest_titles(spark):
+    """Members of a group are further apart than any small radius; each still lists its nearest."""
+    groups = {"a" * 40: "b", "z" * 40: "y"}
+    expected = {}
+    for centre, other in groups.items():
+        expected[centre] = centre
+        for i in range(4):
+            expected[centre[: 10 * i] + other * 10 + centre[10 * i + 10 :]] = centre
+    points = titles(spark, sorted(expected))
+    nearest = metric_join.nearest_titles(points, 4, levenshtein)
+    listed = density.cut(density.mutual_similarities(nearest))
+    pairs = {(r.title, r.neighbour) for r in listed.collect()}
+    assert len(pairs) == listed.count() and pairs == {(b, a) for a, b in pairs}
+    found = density.affinity_propagation(points, listed, stable_steps=4).collect()
+    assert {row["title"]: row["exemplar"] for row in found} == expected
+
+
 def test_affinity_propagation_settles_between_symmetric_titles(spark):
     listed = spark.createDataFrame(
         [(a, b, -1.0) for a in "xy" for b in "xy" if a != b], "title string, neighbour string, similarity double"
