@@ -49,7 +49,7 @@ TIE_BREAK = 0.01
 LINKAGE_PASSES = 6
 TEXT_CLUSTERS = 20
 # steps written out in SQL; the centres come to rest earlier on the fixtures
-SQL_MEAN_STEPS = 40
+SQL_MEAN_STEPS = 80
 
 TITLES = "WITH RECURSIVE " + PRODUCT_TITLES_SQL
 PERIODS = (
