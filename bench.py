@@ -50,6 +50,8 @@ HEADLINE = [
     "adaptive_threshold_trace",
     "itemset_containment_count",
     "nearest_titles",
+    "lsh_candidate_pairs",
+    "dbscan_labels",
 ]
 
 
