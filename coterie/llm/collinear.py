@@ -32,13 +32,14 @@ from coterie.llm.exchange import (
 from coterie.operators.lineage import cut
 
 SEED_WORDS = 5
-WINDOW = 8
+WINDOW = 4
 LEAST_WORDS = 50
 PERCENT = 75
 GAP_COST = 0.02
 LEAST_SEEDS = 2
 MARGIN = 60
 DROP = 8
+END_GAIN = 3
 HOT_PLACES = 64
 SEED_BUCKET_BYTES = 16 << 20
 
@@ -163,6 +164,15 @@ def _of_kind(table: pa.Table, kinds, types) -> dict[str, np.ndarray]:
     return unpack([blob for kind, blob in packed if kind in kinds], types)
 
 
+def _by_text(rows: dict):
+    """((doc_id, version), its rows) of rows sorted by these."""
+    ids, versions = rows["doc_id"], rows["version"]
+    begin = np.flatnonzero((np.diff(ids) != 0) | (np.diff(versions) != 0)) + 1
+    begin = np.concatenate(([0], begin)) if len(ids) else begin
+    for i, j in zip(begin, [*begin[1:], len(ids)]):
+        yield (int(ids[i]), int(versions[i])), {name: of[i:j] for name, of in rows.items()}
+
+
 def repeated_windows(places: np.ndarray, n_words: int, length: int, width: int, window: int):
     """Where ``length`` words can begin that another document holds as well.
 
@@ -177,20 +187,36 @@ def repeated_windows(places: np.ndarray, n_words: int, length: int, width: int,
     return np.unique(ranges(begin, np.maximum(end - begin + 1, 0)))
 
 
+def equal_stretches(rows: dict, width: int) -> np.ndarray:
+    """Bounds of each row's stretch, whose seeds leave out no word and match one hub in step.
+
+    ``rows`` are the matches of one text by place. A stretch's words are equal in both texts.
+    """
+    pos = rows["pos"].astype(np.int64)
+    new = np.diff(pos) > width
+    for key in (rows["hub"], rows["hub_version"], rows["hub_pos"].astype(np.int64) - pos):
+        new |= np.diff(key) != 0
+    cuts = np.flatnonzero(new)
+    begin, last = np.append(0, cuts + 1), np.append(cuts, len(pos) - 1)
+    return np.stack([pos[begin], pos[last] + width], axis=1)
+
+
 def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts: int):
-    """Hashes of all runs of ``length`` words whose seeds occur in other documents too."""
+    """Hashes of the runs of ``length`` words whose seeds all occur in other documents too.
+
+    A run inside of a stretch that is equal in an earlier document is left out: the passage with
+    that document holds it. The first document with the run is in no such stretch and sends it.
+    """
 
     def send(texts: pa.Table, found: pa.Table) -> pa.Table:
         matches, marks = _of_kind(found, [MATCH], MATCH_TYPES), _of_kind(found, [MARK], MARK_TYPES)
+        order = np.lexsort((matches["pos"], matches["version"], matches["doc_id"]))
+        matches = {name: values[order] for name, values in matches.items()}
+        stretches = {name: rows for name, rows in _by_text(matches)}
         rows = {name: np.concatenate((matches[name], marks[name])) for name, _ in MARK_TYPES}
         order = np.lexsort((rows["pos"], rows["version"], rows["doc_id"]))
-        ids, versions, places = (rows[name][order] for name, _ in MARK_TYPES)
-        begin = np.flatnonzero((np.diff(ids) != 0) | (np.diff(versions) != 0)) + 1
-        begin = np.concatenate(([0], begin)) if len(ids) else begin
-        by_text = {
-            (int(ids[i]), int(versions[i])): np.unique(places[i:j]).astype(np.int64)
-            for i, j in zip(begin, [*begin[1:], len(ids)])
-        }
+        rows = {name: values[order] for name, values in rows.items()}
+        by_text = {name: np.unique(of["pos"]).astype(np.int64) for name, of in _by_text(rows)}
         out, held, size, hasher = [rows_batch([])], [], 0, SpanHash()
         for ids, versions, data, offsets in text_blocks(texts) if by_text else ():
             names = list(zip(ids.tolist(), versions.tolist()))
@@ -203,6 +229,10 @@ def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts
                     continue
                 inside = hashes[bounds[row] : bounds[row + 1]]
                 at = repeated_windows(own, len(inside), length, width, window)
+                if name in stretches:
+                    begin, end = equal_stretches(stretches[name], width).T
+                    of = np.searchsorted(begin, at, "right") - 1
+                    at = at[(of < 0) | (at + length > end[of])]
                 if len(at):
                     keys = window_hash(inside, length)[at]
                     held.append((keys, np.full(len(at), name[0]), np.full(len(at), name[1]), at))
@@ -400,11 +430,14 @@ def common_words(a: np.ndarray, b: np.ndarray) -> int:
     return int(best[-1])
 
 
-def extended(same: np.ndarray, drop: int = DROP) -> int:
-    """How far to go on while matches outnumber mismatches, giving up ``drop`` below the best."""
+def extended(same: np.ndarray, gain: int = 1, drop: int = DROP) -> int:
+    """How far to go on while matches, ``gain`` each, outweigh mismatches, one each.
+
+    It gives up ``drop`` below the best.
+    """
     if not len(same):
         return 0
-    score = np.cumsum(np.where(same, 1, -1))
+    score = np.cumsum(np.where(same, gain, -1))
     best = np.maximum.accumulate(np.maximum(score, 0))
     fallen = np.flatnonzero(best - score >= drop)
     score = score[: fallen[0]] if len(fallen) else score
@@ -413,7 +446,7 @@ def extended(same: np.ndarray, drop: int = DROP) -> int:
     return int(np.argmax(score)) + 1
 
 
-def aligned(a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int):
+def aligned(a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int, gain: int = 1):
     """(start and end in a, start and end in b, matched words) of a chain, with its ends extended.
 
     ``seeds`` are places in ``a`` and ``b``. Between seeds equally long gaps are compared word by
@@ -421,10 +454,10 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int):
     """
     p, h = seeds[:, 0], seeds[:, 1]
     left = min(p[0], h[0])
-    before = extended((a[p[0] - left : p[0]] == b[h[0] - left : h[0]])[::-1])
+    before = extended((a[p[0] - left : p[0]] == b[h[0] - left : h[0]])[::-1], gain)
     end_a, end_b = p[-1] + width, h[-1] + width
     right = min(len(a) - end_a, len(b) - end_b)
-    after = extended(a[end_a : end_a + right] == b[end_b : end_b + right])
+    after = extended(a[end_a : end_a + right] == b[end_b : end_b + right], gain)
     start_a, start_b = p[0] - before, h[0] - before
     end_a, end_b = end_a + after, end_b + after
     if (np.diff(p) == np.diff(h)).all():
@@ -445,6 +478,37 @@ PASSAGES = (
 )
 
 
+def passages_of(
+    a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int, least_words: int, percent: int
+) -> list[tuple]:
+    """What ``aligned`` gives for a chain where it is long and alike enough.
+
+    A chain that is too short is extended over ends with fewer matches. One that is not alike
+    enough is cut where its seeds leave out words or get out of step, and each part is tried.
+    """
+
+    def passes(found):
+        ends = found[1] - found[0], found[3] - found[2]
+        return min(ends) >= least_words and 100 * found[4] >= percent * max(ends)
+
+    for gain in (1, END_GAIN):
+        found = aligned(a, b, seeds, width, gain)
+        if passes(found):
+            return [found]
+    p, h = seeds[:, 0], seeds[:, 1]
+    cuts = np.flatnonzero((np.diff(p) > width) | (np.diff(p) != np.diff(h))) + 1
+    if not len(cuts):
+        return []
+    parts, seen = [], -1
+    for part in np.split(seeds, cuts):
+        if part[0, 0] >= seen:  # not inside of what an earlier part was extended to
+            found = aligned(a, b, part, width)
+            if passes(found):
+                parts.append(found)
+                seen = found[1]
+    return parts
+
+
 def _align_function(width: int, least_words: int, percent: int):
     def align(batches):
         names = ["doc_id", "other_id", "start_word", "end_word", "other_start", "other_end", "n_matched"]
@@ -457,10 +521,8 @@ def _align_function(width: int, least_words: int, percent: int):
                 first, hub_first = columns["first"][row], columns["hub_first"][row]
                 a = np.frombuffer(columns["words"][row], np.uint32)
                 b = np.frombuffer(columns["hub_words"][row], np.uint32)
-                found = aligned(a, b, seeds - [first, hub_first], width)
-                longest = max(found[1] - found[0], found[3] - found[2])
-                shortest = min(found[1] - found[0], found[3] - found[2])
-                if shortest >= least_words and 100 * found[4] >= percent * longest:
+                seeds = seeds - [first, hub_first]
+                for found in passages_of(a, b, seeds, width, least_words, percent):
                     out.append(
                         (columns["doc_id"][row], columns["hub"][row], found[0] + first,
                          found[1] + first, found[2] + hub_first, found[3] + hub_first, found[4],
@@ -488,11 +550,12 @@ def repeated_passages(
 
     1. Seeds, the least of each ``window`` runs of ``width`` words, are matched to their first
        place in the corpus, the smallest doc_id; so copies cost matches, not pairs.
-    2. Runs of ``least_words`` words whose seeds all occur in other documents are matched to the
-       first place of the whole run. So no equal words of that length are lost where their parts
-       are first held by different documents.
+    2. Runs of ``least_words`` words whose seeds all occur in other documents, but not all in step
+       in one, are matched to the first place of the whole run. So no equal words of that length
+       are lost where their parts are first held by different documents.
     3. A document's matches with one earlier document are chained.
-    4. Chains are aligned on the words of both documents and extended at their ends.
+    4. Chains are aligned on the words of both documents and extended at their ends, see
+       ``passages_of``.
 
     Null and empty texts have no words. Rows without doc_id take no part; rows that share one are
     one document and do not repeat each other. Repeated rows count once. A passage that is only

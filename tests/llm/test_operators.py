@@ -1,5 +1,6 @@
 """The corpus operators against brute force, on documents with every odd case."""
 
+import itertools
 import math
 import random
 import re
@@ -291,6 +292,57 @@ def test_collinear_passage_of_stock_parts(spark):
     assert len(found) == len({(r.doc_id, r.other_id, r.start_word) for r in found})
 
 
+def best_match(a, b):
+    """Brute force: the most equal words of two stretches in step, of 50 words and three quarters."""
+    best = 0
+    for shift in range(-len(b) + 50, len(a) - 49):
+        i, j = max(shift, 0), max(-shift, 0)
+        n = min(len(a) - i, len(b) - j)
+        same = [0, *itertools.accumulate(x == y for x, y in zip(a[i : i + n], b[j : j + n]))]
+        for start in range(n - 49):
+            for end in range(start + 50, n + 1):
+                if 4 * (same[end] - same[start]) >= 3 * (end - start):
+                    best = max(best, same[end] - same[start])
+    return best
+
+
+def test_collinear_recall_of_edited_passages(spark):
+    rng = random.Random(8)
+
+    def new(n):
+        return ["".join(rng.choices("abcdefghij", k=9)) for _ in range(n)]
+
+    rows, planted = [], {}
+    for edits in (5, 10, 15, 20, 24):
+        for length in (55, 60, 80, 120):
+            for _ in range(12):
+                passage = new(length)
+                changed = list(passage)
+                for at in rng.sample(range(length), edits * length // 100):
+                    changed[at] = new(1)[0]
+                first, doc = len(rows), len(rows) + 1
+                rows.append((first, new(20) + passage + new(20)))
+                rows.append((doc, new(15) + changed + new(25)))
+                if best_match(rows[doc][1], rows[first][1]):
+                    planted[doc] = (edits, first)
+    assert len(planted) == len(rows) / 2
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    found = {(r.doc_id, r.other_id) for r in collinear.repeated_passages(frame).collect()}
+    assert found <= {(doc, first) for doc, (_, first) in planted.items()}
+    for edits in (5, 10, 15, 20, 24):
+        of_edits = [(doc, first) for doc, (e, first) in planted.items() if e == edits]
+        assert sum(pair in found for pair in of_edits) >= 0.9 * len(of_edits)
+
+
+def test_a_failing_chain_is_cut_to_its_equal_parts():
+    a, b = np.arange(1000, 1200), np.arange(2000, 2200)
+    b[100:152] = a[100:152]
+    b[20:26], b[170:176] = a[20:26], a[170:176]
+    seeds = np.array([20, 21, *range(100, 147, 3), 170, 171])
+    found = collinear.passages_of(a, b, np.stack([seeds, seeds], axis=1), 5, 50, 75)
+    assert found == [(100, 152, 100, 152, 52)]
+
+
 def test_chains_take_the_best():
     import numpy as np
 
