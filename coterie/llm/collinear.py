@@ -70,11 +70,16 @@ def minimizers(hashes: np.ndarray, bounds: np.ndarray, width: int, window: int):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     seeds = window_hash(hashes, width)
     place_bits = np.uint64((1 << max(24, n.bit_length())) - 1)
-    order = (seeds & ~place_bits) | np.arange(n, dtype=np.uint64)
-    least = np.lib.stride_tricks.sliding_window_view(order, window).min(axis=1)
+    least = (seeds & ~place_bits) | np.arange(n, dtype=np.uint64)
+    size = 1
+    while size < window:  # the least of two overlapping windows is that of a longer one
+        step = min(size, window - size)
+        least = np.minimum(least[:-step], least[step:])
+        size += step
     ends = np.repeat(bounds[1:], np.diff(bounds))[: len(least)]
     inside = np.arange(len(least)) + window + width - 1 <= ends
-    at = np.unique((least[inside] & place_bits).astype(np.int64))
+    at = (least[inside] & place_bits).astype(np.int64)  # never falls
+    at = at[np.diff(at, prepend=-1) > 0]
     row = np.searchsorted(bounds, at, "right") - 1
     return seeds[at], row, at - bounds[row]
 
@@ -435,7 +440,7 @@ def extended(same: np.ndarray, gain: int = 1, drop: int = DROP) -> int:
 
     It gives up ``drop`` below the best.
     """
-    if not len(same):
+    if not same[:drop].any():
         return 0
     score = np.cumsum(np.where(same, gain, -1))
     best = np.maximum.accumulate(np.maximum(score, 0))
@@ -453,23 +458,29 @@ def aligned(a: np.ndarray, b: np.ndarray, seeds: np.ndarray, width: int, gain: i
     word, others by their best alignment.
     """
     p, h = seeds[:, 0], seeds[:, 1]
-    left = min(p[0], h[0])
-    before = extended((a[p[0] - left : p[0]] == b[h[0] - left : h[0]])[::-1], gain)
-    end_a, end_b = p[-1] + width, h[-1] + width
+    left = int(min(p[0], h[0]))
+    end_a, end_b = int(p[-1]) + width, int(h[-1]) + width
     right = min(len(a) - end_a, len(b) - end_b)
-    after = extended(a[end_a : end_a + right] == b[end_b : end_b + right], gain)
-    start_a, start_b = p[0] - before, h[0] - before
-    end_a, end_b = end_a + after, end_b + after
-    if (np.diff(p) == np.diff(h)).all():
-        matches = int((a[start_a:end_a] == b[start_b:end_b]).sum())
+    in_step = bool((p - h == p[0] - h[0]).all())
+    if in_step:
+        low = int(p[0]) - left
+        same = a[low : end_a + right] == b[int(h[0]) - left : end_b + right]
+        before = extended(same[:left][::-1], gain)
+        after = extended(same[end_a - low :], gain)
+        matches = int(np.count_nonzero(same[left - before : end_a - low + after]))
     else:
+        before = extended((a[p[0] - left : p[0]] == b[h[0] - left : h[0]])[::-1], gain)
+        after = extended(a[end_a : end_a + right] == b[end_b : end_b + right], gain)
+    start_a, start_b = int(p[0]) - before, int(h[0]) - before
+    end_a, end_b = end_a + after, end_b + after
+    if not in_step:
         matches = int((a[start_a : p[0]] == b[start_b : h[0]]).sum())
         matches += int((a[p[-1] : end_a] == b[h[-1] : end_b]).sum())
         for i in range(len(p) - 1):
             x, y = a[p[i] : p[i + 1]], b[h[i] : h[i + 1]]
             same = len(x) == len(y)
             matches += int((x == y).sum()) if same else common_words(x, y)
-    return int(start_a), int(end_a), int(start_b), int(end_b), matches
+    return start_a, end_a, start_b, end_b, matches
 
 
 PASSAGES = (
