@@ -10,6 +10,7 @@ from coterie.llm.buffers import (
     TO_LOWER,
     SpanHash,
     byte_view,
+    mixed,
     pieces,
     ranges,
     window_hash,
@@ -38,12 +39,14 @@ PERCENT = 75
 GAP_COST = 0.02
 LEAST_SEEDS = 2
 MARGIN = 60
+EDGE_WORDS = 60
+ORIGIN = 1 << 31
 DROP = 8
 END_GAIN = 3
 HOT_PLACES = 64
 SEED_BUCKET_BYTES = 16 << 20
 
-SEED, MATCH, MARK, LONG = 0, 1, 2, 3
+SEED, MATCH, MARK, LONG, EDGE_SEED, EDGE = range(6)
 SEED_TYPES = [("seed", "u8"), ("doc_id", "i8"), ("version", "u4"), ("pos", "u4")]
 MATCH_TYPES = [
     ("doc_id", "i8"), ("version", "u4"), ("pos", "u4"), ("hub", "i8"), ("hub_version", "u4"),
@@ -116,7 +119,9 @@ def _sorted_seeds(rows: dict):
     return order, np.diff(np.append(begin, len(order)))
 
 
-def _dealt_seeds(held: list, n_seeds: int, n_texts: int, kind: int) -> pa.RecordBatch:
+def _dealt_seeds(
+    held: list, n_seeds: int, n_texts: int, kind: int, unmet: int = SEED
+) -> pa.RecordBatch:
     """Seeds dealt to buckets; those that are hot here are matched here to their first place."""
     rows = {name: np.concatenate([h[i] for h in held]) for i, (name, _) in enumerate(SEED_TYPES)}
     if not len(rows["seed"]):
@@ -127,7 +132,7 @@ def _dealt_seeds(held: list, n_seeds: int, n_texts: int, kind: int) -> pa.Record
     sent = np.sort(order[~matched])
     columns = [rows[name][sent] for name, _ in SEED_TYPES]
     packed = by_bucket(bucket_of(columns[0], n_seeds), columns, SEED_TYPES)
-    return rows_batch(out + [(SEED, b, blob) for b, blob in packed])
+    return rows_batch(out + [(unmet, b, blob) for b, blob in packed])
 
 
 def _seed_function(width: int, window: int, n_seeds: int, n_texts: int):
@@ -206,8 +211,30 @@ def equal_stretches(rows: dict, width: int) -> np.ndarray:
     return np.stack([pos[begin], pos[last] + width], axis=1)
 
 
+def edges(rows: dict, width: int, length: int):
+    """(key, place, origin, whether it is needed) where the matches of a text go over to another hub.
+
+    ``rows`` are the matches of one text by place. The key names both hubs, the place is the last
+    one with the first hub, and the origin where that hub's beginning would lie in the text. An
+    edge is not needed by a text where both sides are passages on their own. Edges over one hub
+    between count too: it may be lost in another text, or hold no more than the words between.
+    """
+    pos, hub, version = rows["pos"].astype(np.int64), rows["hub"], rows["hub_version"]
+    cuts = np.flatnonzero((np.diff(hub) != 0) | (np.diff(version) != 0))
+    begin, last = np.append(0, cuts + 1), np.append(cuts, len(pos) - 1)
+    short = pos[last] + width - pos[begin] < length
+    needed = np.append(short[:-1] | short[1:], short[:-2] | short[2:])
+    at, to = np.append(cuts, cuts[:-1]), np.append(cuts, cuts[1:]) + 1
+    near = pos[to] - pos[at] <= EDGE_WORDS
+    at, to, needed = at[near], to[near], needed[near]
+    key = np.zeros(len(at), np.uint64)
+    for part in (hub[at], version[at], hub[to], version[to]):
+        key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + part.astype(np.uint64))
+    return key, pos[at], pos[at] - rows["hub_pos"][at].astype(np.int64) + ORIGIN, needed
+
+
 def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts: int):
-    """Hashes of the runs of ``length`` words whose seeds all occur in other documents too.
+    """Hashes of the runs of ``length`` words whose seeds all occur in other documents too, and edges.
 
     A run inside of a stretch that is equal in an earlier document is left out: the passage with
     that document holds it. The first document with the run is in no such stretch and sends it.
@@ -223,6 +250,12 @@ def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts
         rows = {name: values[order] for name, values in rows.items()}
         by_text = {name: np.unique(of["pos"]).astype(np.int64) for name, of in _by_text(rows)}
         out, held, size, hasher = [rows_batch([])], [], 0, SpanHash()
+        of_edges = []
+        for (doc_id, version), of in stretches.items():
+            keys, _, origin, _ = edges(of, width, length)
+            of_edges.append((keys, np.full(len(keys), doc_id), np.full(len(keys), version), origin))
+        if of_edges:
+            out.append(_dealt_seeds(of_edges, n_seeds, n_texts, EDGE, EDGE_SEED))
         for ids, versions, data, offsets in text_blocks(texts) if by_text else ():
             names = list(zip(ids.tolist(), versions.tolist()))
             if not any(name in by_text for name in names):
@@ -271,6 +304,28 @@ def exact_runs(rows: dict, length: int, width: int):
         yield (doc, version), (hub, hub_version), p, p + shift[i]
 
 
+def chains_over_edges(matches: dict, met: dict, width: int, length: int):
+    """(text, hub, places, hub's places) of edges that an earlier document has as well.
+
+    The places are the text's last ones before the edges that lie in step with the hub.
+    """
+    order = np.lexsort((matches["pos"], matches["version"], matches["doc_id"]))
+    by_text = dict(_by_text({name: values[order] for name, values in matches.items()}))
+    order = np.lexsort((met["version"], met["doc_id"]))
+    for name, rows in _by_text({name: values[order] for name, values in met.items()}):
+        _, places, origins, needed = edges(by_text[name], width, length)
+        columns = [rows[n].tolist() for n in ("hub", "hub_version", "pos", "hub_pos")]
+        in_step: dict[tuple, list] = {}
+        for hub, version, origin, hub_origin in sorted(set(zip(*columns))):
+            p = places[needed & (origins == origin)]
+            in_step.setdefault((hub, version, origin - hub_origin), []).append(p)
+        for (hub, version, shift), held in sorted(in_step.items(), key=lambda item: item[0]):
+            p = np.unique(np.concatenate(held))
+            p = p[p >= shift]
+            if len(p):
+                yield name, (hub, version), p, p - shift
+
+
 class PrefixMax:
     """A Fenwick tree: the largest value among the first places, and who holds it."""
 
@@ -358,8 +413,17 @@ def _chain_function(width: int, gap_cost: float, least_seeds: int, length: int):
                     name = (int(rows["doc_id"][start]), int(rows["version"][start]))
                     hub = (int(rows["hub"][start]), int(rows["hub_version"][start]))
                     by_text.setdefault(name, []).append((hub, p[one], h[one], False))
+        runs: dict[tuple, list] = {}
         for name, hub, p, h in exact_runs(_of_kind(found, [LONG], MATCH_TYPES), length, width):
             by_text.setdefault(name, []).append((hub, p, h, True))
+            runs.setdefault((name, hub, int(h[0] - p[0])), []).append((p[0], p[1] + width))
+        met = _of_kind(found, [EDGE], MATCH_TYPES)
+        for name, hub, p, h in chains_over_edges(rows, met, width, length):
+            far = np.ones(len(p), bool)  # what an equal run in step is not extended to
+            for begin, end in runs.get((name, hub, int(h[0] - p[0])), ()):
+                far &= (p < begin - MARGIN) | (p > end + MARGIN)
+            if far.any():
+                by_text.setdefault(name, []).append((hub, p[far], h[far], True))
         out, hasher, done = [], SpanHash(), set()
         for ids, versions, data, offsets in text_blocks(texts) if by_text else ():
             names = list(zip(ids.tolist(), versions.tolist()))
@@ -533,6 +597,8 @@ def _align_function(width: int, least_words: int, percent: int):
                 a = np.frombuffer(columns["words"][row], np.uint32)
                 b = np.frombuffer(columns["hub_words"][row], np.uint32)
                 seeds = seeds - [first, hub_first]
+                if seeds[-1, 1] + width > len(b):  # an edge of a hub that ends before
+                    continue
                 for found in passages_of(a, b, seeds, width, least_words, percent):
                     out.append(
                         (columns["doc_id"][row], columns["hub"][row], found[0] + first,
@@ -564,6 +630,9 @@ def repeated_passages(
     2. Runs of ``least_words`` words whose seeds all occur in other documents, but not all in step
        in one, are matched to the first place of the whole run. So no equal words of that length
        are lost where their parts are first held by different documents.
+       Where a document's matches go over from one earlier document to another, the two name an
+       edge, which is matched to the first document that has the same edge; so reworded passages
+       whose parts were first held by several documents meet one that holds them together.
     3. A document's matches with one earlier document are chained.
     4. Chains are aligned on the words of both documents and extended at their ends, see
        ``passages_of``.
@@ -589,15 +658,18 @@ def repeated_passages(
         .cogroup(matches.groupBy("bucket"))
         .applyInArrow(_window_function(least_words, width, window, n_seeds, n_texts), ROWS)
     )
-    long_met = (
-        long.where(F.col("kind") == SEED)
-        .groupBy("bucket")
-        .applyInArrow(_meet_function(n_texts, LONG), ROWS)
-    )
-    matches = matches.where(F.col("kind") == MATCH).unionByName(long.where(F.col("kind") == LONG))
+    matches = matches.where(F.col("kind") == MATCH)
+    matches = matches.unionByName(long.where(F.col("kind").isin(LONG, EDGE)))
+    for unmet, kind in ((SEED, LONG), (EDGE_SEED, EDGE)):
+        long_met = (
+            long.where(F.col("kind") == unmet)
+            .groupBy("bucket")
+            .applyInArrow(_meet_function(n_texts, kind), ROWS)
+        )
+        matches = matches.unionByName(long_met)
     chained = cut(
         texts_by_bucket(rows, n_texts).groupBy("bucket")
-        .cogroup(matches.unionByName(long_met).groupBy("bucket"))
+        .cogroup(matches.groupBy("bucket"))
         .applyInArrow(_chain_function(width, GAP_COST, LEAST_SEEDS, least_words), CHAINS)
     )
     hubs = chained.select("hub", "hub_version").distinct()

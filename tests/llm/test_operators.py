@@ -334,6 +334,33 @@ def test_collinear_recall_of_edited_passages(spark):
         assert sum(pair in found for pair in of_edits) >= 0.9 * len(of_edits)
 
 
+def test_collinear_recall_of_edited_passages_of_stock_parts(spark):
+    rng = random.Random(9)
+
+    def new(n):
+        return ["".join(rng.choices("abcdefghij", k=9)) for _ in range(n)]
+
+    rows, planted = [], {}
+    for edits in (5, 10, 15, 20, 24):
+        for parts, length in ((2, 40), (3, 30), (4, 20)):
+            for _ in range(16):
+                pieces = [new(length) for _ in range(parts)]
+                rows += [(len(rows) + i, new(20) + piece + new(20)) for i, piece in enumerate(pieces)]
+                whole = [word for piece in pieces for word in piece]
+                changed = list(whole)
+                for at in rng.sample(range(len(whole)), edits * len(whole) // 100):
+                    changed[at] = new(1)[0]
+                holder, doc = len(rows), len(rows) + 1
+                rows += [(holder, new(15) + whole + new(25)), (doc, new(20) + changed + new(9))]
+                planted[doc] = (edits, holder)
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    found = {(r.doc_id, r.other_id) for r in collinear.repeated_passages(frame).collect()}
+    assert found <= {(doc, holder) for doc, (_, holder) in planted.items()}
+    for edits in (5, 10, 15, 20, 24):
+        of_edits = [(doc, holder) for doc, (e, holder) in planted.items() if e == edits]
+        assert sum(pair in found for pair in of_edits) >= 0.9 * len(of_edits)
+
+
 def test_a_failing_chain_is_cut_to_its_equal_parts():
     a, b = np.arange(1000, 1200), np.arange(2000, 2200)
     b[100:152] = a[100:152]
