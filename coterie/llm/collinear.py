@@ -211,26 +211,22 @@ def equal_stretches(rows: dict, width: int) -> np.ndarray:
     return np.stack([pos[begin], pos[last] + width], axis=1)
 
 
-def edges(rows: dict, width: int, length: int):
-    """(key, place, origin, whether it is needed) where the matches of a text go over to another hub.
+def edges(rows: dict):
+    """(key, place, origin, next place) where the matches of a text go over to another hub.
 
     ``rows`` are the matches of one text by place. The key names both hubs, the place is the last
-    one with the first hub, and the origin where that hub's beginning would lie in the text. An
-    edge is not needed by a text where both sides are passages on their own. Edges over one hub
-    between count too: it may be lost in another text, or hold no more than the words between.
+    one with the first hub, and the origin where that hub's beginning would lie in the text. Edges
+    over one hub between count too: it may be lost in another text, or hold only words between.
     """
     pos, hub, version = rows["pos"].astype(np.int64), rows["hub"], rows["hub_version"]
     cuts = np.flatnonzero((np.diff(hub) != 0) | (np.diff(version) != 0))
-    begin, last = np.append(0, cuts + 1), np.append(cuts, len(pos) - 1)
-    short = pos[last] + width - pos[begin] < length
-    needed = np.append(short[:-1] | short[1:], short[:-2] | short[2:])
     at, to = np.append(cuts, cuts[:-1]), np.append(cuts, cuts[1:]) + 1
     near = pos[to] - pos[at] <= EDGE_WORDS
-    at, to, needed = at[near], to[near], needed[near]
+    at, to = at[near], to[near]
     key = np.zeros(len(at), np.uint64)
     for part in (hub[at], version[at], hub[to], version[to]):
         key = mixed(key * np.uint64(0xD6E8FEB86659FD93) + part.astype(np.uint64))
-    return key, pos[at], pos[at] - rows["hub_pos"][at].astype(np.int64) + ORIGIN, needed
+    return key, pos[at], pos[at] - rows["hub_pos"][at].astype(np.int64) + ORIGIN, pos[to]
 
 
 def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts: int):
@@ -252,7 +248,7 @@ def _window_function(length: int, width: int, window: int, n_seeds: int, n_texts
         out, held, size, hasher = [rows_batch([])], [], 0, SpanHash()
         of_edges = []
         for (doc_id, version), of in stretches.items():
-            keys, _, origin, _ = edges(of, width, length)
+            keys, _, origin, _ = edges(of)
             of_edges.append((keys, np.full(len(keys), doc_id), np.full(len(keys), version), origin))
         if of_edges:
             out.append(_dealt_seeds(of_edges, n_seeds, n_texts, EDGE, EDGE_SEED))
@@ -304,16 +300,30 @@ def exact_runs(rows: dict, length: int, width: int):
         yield (doc, version), (hub, hub_version), p, p + shift[i]
 
 
-def chains_over_edges(matches: dict, met: dict, width: int, length: int):
+def sure_passage(p: np.ndarray, h: np.ndarray, width: int, length: int, percent: int):
+    """(begin, end) of a chain whose seeds alone make it long and alike enough, or None."""
+    span = int(p[-1] - p[0]) + width
+    longest = max(span, int(h[-1] - h[0]) + width)
+    held = width + int(np.minimum(np.minimum(np.diff(p), np.diff(h)), width).sum())
+    sure = min(span, int(h[-1] - h[0]) + width) >= length and 100 * held >= percent * longest
+    return (int(p[0]), int(p[0]) + span) if sure else None
+
+
+def chains_over_edges(matches: dict, met: dict, sure: dict):
     """(text, hub, places, hub's places) of edges that an earlier document has as well.
 
-    The places are the text's last ones before the edges that lie in step with the hub.
+    The places are the text's last ones before the edges that lie in step with the hub. Edges with
+    both sides in passages that are ``sure`` for this text are left out.
     """
     order = np.lexsort((matches["pos"], matches["version"], matches["doc_id"]))
     by_text = dict(_by_text({name: values[order] for name, values in matches.items()}))
     order = np.lexsort((met["version"], met["doc_id"]))
     for name, rows in _by_text({name: values[order] for name, values in met.items()}):
-        _, places, origins, needed = edges(by_text[name], width, length)
+        _, places, origins, after = edges(by_text[name])
+        inside = np.zeros((2, len(places)), bool)
+        for begin, end in sure.get(name, ()):
+            inside |= (np.stack([places, after]) >= begin) & (np.stack([places, after]) < end)
+        needed = ~inside.all(axis=0)
         columns = [rows[n].tolist() for n in ("hub", "hub_version", "pos", "hub_pos")]
         in_step: dict[tuple, list] = {}
         for hub, version, origin, hub_origin in sorted(set(zip(*columns))):
@@ -389,7 +399,7 @@ CHAINS = (
 )
 
 
-def _chain_function(width: int, gap_cost: float, least_seeds: int, length: int):
+def _chain_function(width: int, gap_cost: float, least_seeds: int, length: int, percent: int):
     """The chains of each document with each hub, and the document's words around them."""
 
     def chain(texts: pa.Table, found: pa.Table) -> pa.Table:
@@ -418,7 +428,15 @@ def _chain_function(width: int, gap_cost: float, least_seeds: int, length: int):
             by_text.setdefault(name, []).append((hub, p, h, True))
             runs.setdefault((name, hub, int(h[0] - p[0])), []).append((p[0], p[1] + width))
         met = _of_kind(found, [EDGE], MATCH_TYPES)
-        for name, hub, p, h in chains_over_edges(rows, met, width, length):
+        sure = {
+            name: [
+                span
+                for _, p, h, exact in held
+                if (span := (p[0], p[-1] + width) if exact else sure_passage(p, h, width, length, percent))
+            ]
+            for name, held in by_text.items()
+        }
+        for name, hub, p, h in chains_over_edges(rows, met, sure):
             far = np.ones(len(p), bool)  # what an equal run in step is not extended to
             for begin, end in runs.get((name, hub, int(h[0] - p[0])), ()):
                 far &= (p < begin - MARGIN) | (p > end + MARGIN)
@@ -670,7 +688,7 @@ def repeated_passages(
     chained = cut(
         texts_by_bucket(rows, n_texts).groupBy("bucket")
         .cogroup(matches.groupBy("bucket"))
-        .applyInArrow(_chain_function(width, GAP_COST, LEAST_SEEDS, least_words), CHAINS)
+        .applyInArrow(_chain_function(width, GAP_COST, LEAST_SEEDS, least_words, percent), CHAINS)
     )
     hubs = chained.select("hub", "hub_version").distinct()
     hubs = hubs.mapInArrow(_hub_buckets(n_texts), "bucket int, hub bigint, hub_version bigint")
