@@ -41,6 +41,7 @@ LEAST_SEEDS = 2
 MARGIN = 60
 EDGE_WORDS = 60
 ORIGIN = 1 << 31
+HUB_CELLS = 1 << 18
 DROP = 8
 END_GAIN = 3
 HOT_PLACES = 64
@@ -692,8 +693,12 @@ def repeated_passages(
     )
     hubs = chained.select("hub", "hub_version").distinct()
     hubs = hubs.mapInArrow(_hub_buckets(n_texts), "bucket int, hub bigint, hub_version bigint")
+    # few other texts than hubs need to move: at most HUB_CELLS hashes of hubs go to all tasks
+    cells = hubs.select(F.pmod(F.xxhash64("hub"), F.lit(HUB_CELLS)).alias("cell")).distinct()
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(HUB_CELLS))
+    hub_rows = rows.join(F.broadcast(cells), cell == F.col("cell"), "left_semi")
     hub_words = (
-        texts_by_bucket(rows, n_texts).groupBy("bucket")
+        texts_by_bucket(hub_rows, n_texts).groupBy("bucket")
         .cogroup(hubs.groupBy("bucket"))
         .applyInArrow(_words_function(), "hub bigint, hub_version bigint, hub_words binary")
     )
