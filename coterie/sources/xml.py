@@ -21,6 +21,9 @@ POST_SCHEMA = "_Id string, _PostTypeId string, _Body string"
 # Entities that every XML parser knows; they stay as they are.
 PREDEFINED = ["amp", "lt", "gt", "quot", "apos"]
 
+# characters of records that leave a task together
+BATCH_CHARACTERS = 1 << 20
+
 # What a scan can be inside of at the beginning of a file block, and what ends it.
 ENDS = {"markup": None, "comment": "-->", "cdata": "]]>", "instruction": "?>"}
 TAG = re.compile(r"""[^\s/>]+(?:[^>"']|"[^"]*"|'[^']*')*?(/?)>""")
@@ -139,11 +142,17 @@ def _record_parts(batches):
     """(path, owner, number, start, part): the children of each file's root element.
 
     A record that lies within a block is one part, numbered from 1. A record that does not is one
-    part in each of its blocks, with the block where it began as ``owner`` and number 0.
+    part in each of its blocks, with the block where it began as ``owner`` and number 0. Parts leave
+    the task in batches of bounded size, so it holds no whole block.
     """
     names = ["path", "start", "inside", "depth", "owner"]
+    columns = ["path", "owner", "number", "start", "part"]
+
+    def batch(parts):
+        return pa.RecordBatch.from_pylist([dict(zip(columns, row, strict=True)) for row in parts])
+
     for (path, start, inside, depth, owner), pieces in _by_block(batches, names):
-        scan, number, parts = _Scan(inside, depth), 0, []
+        scan, number, parts, size = _Scan(inside, depth), 0, [], 0
         held = [] if depth > 1 else None
         for piece in pieces:
             before, tag = scan.depth, scan.is_tag(piece)
@@ -155,14 +164,16 @@ def _record_parts(batches):
                 end = piece.find(">") if piece.startswith("/") else TAG.match(piece).end() - 1
                 held.append("<" + piece[: end + 1])
                 parts.append((path, owner, number, start, "".join(held)))
-                held = None
+                held, size = None, size + len(parts[-1][-1])
+                if size >= BATCH_CHARACTERS:
+                    yield batch(parts)
+                    parts, size = [], 0
             else:
                 held.append("<" + piece)
         if held is not None:
             parts.append((path, owner, 0, start, "".join(held)))
-        columns = ["path", "owner", "number", "start", "part"]
         if parts:
-            yield pa.RecordBatch.from_pylist([dict(zip(columns, row, strict=True)) for row in parts])
+            yield batch(parts)
 
 
 def record_elements(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """File layouts: what is written, what is refused and what is read."""
 
+import pyarrow as pa
 import pytest
 
 from coterie.functions.text import content_words, strip_markup, ENGLISH_STOP_WORDS
@@ -168,3 +169,19 @@ def test_cleaning(spark):
     )
     words = content_words(strip_markup(F.col("h")), ENGLISH_STOP_WORDS)
     assert frame.select(words).first()[0] == ["quick", "fox", "été"]
+
+
+def test_records_of_a_block_leave_in_bounded_batches(monkeypatch):
+    """A block of many records, one of them left open, comes out in parts of a few records."""
+    monkeypatch.setattr(xml, "BATCH_CHARACTERS", 100, raising=False)
+    values = ["", "dblp>"]
+    for n in range(200):
+        values += [f"article key='{n}'>", f"author>A{n}", "/author>", "/article>"]
+    values += ["article key='open'>"]
+    names = ["path", "start", "inside", "depth", "owner", "value"]
+    rows = [dict(zip(names, ("f", 0, "markup", 0, 0, value))) for value in values]
+    batches = list(xml._record_parts([pa.RecordBatch.from_pylist(rows)]))
+    assert max(batch.num_rows for batch in batches) <= 3
+    parts = [row for batch in batches for row in batch.to_pylist()]
+    assert [row["number"] for row in parts] == [*range(1, 201), 0]
+    assert parts[7]["part"] == "<article key='7'><author>A7</author></article>"
