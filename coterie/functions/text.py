@@ -40,26 +40,25 @@ def bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def _windows(parts: Column, size: int, separator: str) -> Column:
+def word_windows(body: Column, size: int) -> Column:
+    """Array of all runs of ``size`` tokens joined by a space; empty for shorter bodies."""
+
     def runs(units: Column) -> Column:
         last = F.size(units) - (size - 1)
         starts = F.when(last >= 1, F.sequence(F.lit(1), last))
-        joined = F.transform(
-            starts, lambda i: F.array_join(F.slice(units, i, F.lit(size)), separator)
-        )
+        joined = F.transform(starts, lambda i: F.array_join(F.slice(units, i, F.lit(size)), " "))
         return F.coalesce(joined, F.array().cast("array<string>"))
 
-    return bound(parts, runs)
-
-
-def word_windows(body: Column, size: int) -> Column:
-    """Array of all runs of ``size`` tokens joined by a space; empty for shorter bodies."""
-    return _windows(tokens(body), size, " ")
+    return bound(tokens(body), runs)
 
 
 def character_windows(body: Column, size: int) -> Column:
-    """Array of all runs of ``size`` characters; empty for shorter bodies."""
-    return _windows(F.split(body, ""), size, "")
+    """Array of all runs of ``size`` characters; empty for shorter bodies.
+
+    One pass over the text: at every character a lookahead takes the run that starts there.
+    """
+    runs = F.regexp_extract_all(body, F.lit(rf"(?s)(?=(.{{{size}}}))."), 1)
+    return F.coalesce(runs, F.array().cast("array<string>"))
 
 
 def strip_markup(html: Column) -> Column:
