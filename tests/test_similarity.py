@@ -3,10 +3,11 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from coterie.operators import indexing, minhash, similarity, skew, spectrum
+from coterie.operators import indexing, minhash, similarity, skew, spectrum, universe
 
 
 @pytest.fixture(scope="module")
@@ -179,3 +180,41 @@ def test_candidate_pairs_of_one_hot_bucket(spark, monkeypatch):
     assert minhash.candidate_pairs(members, n_bands=4, share=0.5).pairs.count() == 120 * 119 // 2
     assert minhash.candidate_pairs(members, n_bands=4, share=0.75).pairs.count() == 0
     assert minhash.candidate_pairs(members.limit(0), n_bands=4).rows().count() == 0
+
+
+ODD_TEXTS = [" a  b c d e f ", "a b c d e", "     ", "é\n𝄞 x y z  q", "a b c d", "", None, "one two three four\nfive six seven"]
+
+
+def test_windows_of_odd_texts(spark):
+    posts = spark.createDataFrame(list(enumerate(ODD_TEXTS)), "post_id int, body string")
+    want = {(i, at, text[at : at + 5]) for i, text in enumerate(ODD_TEXTS) for at in range(len(text or "") - 4)}
+    found = similarity.character_shingles(posts)
+    assert {tuple(row) for row in found.collect()} == want
+    # one pass over the text, no array of its characters
+    assert "array_join" not in found._jdf.queryExecution().toString()
+
+
+def test_numbers_of_shingles_over_several_ranges(spark, monkeypatch):
+    monkeypatch.setattr(universe, "STEP_SHINGLES", 4)
+    chance = random.Random(5)
+    sets = {post: chance.sample([*range(6), *(x << 18 for x in range(1, 40))], 5) for post in range(30)}
+    place = {x: i for i, x in enumerate(sorted(set().union(*sets.values())))}
+    found = similarity.characteristic_matrix(frame(spark, sets)).collect()
+    assert sorted((r.shingle_idx, r.post_id) for r in found) == sorted(
+        (place[x], post) for post, values in sets.items() for x in values
+    )
+    assert universe.distinct_shingles(frame(spark, sets)) == len(place)
+    assert universe.distinct_shingles(frame(spark, sets).limit(0)) == 0
+
+
+def test_sets_and_signatures_leave_in_bounded_steps(monkeypatch):
+    """A batch of long posts is taken a few posts at a time."""
+    monkeypatch.setattr(minhash, "BATCH_SHINGLES", 10)
+    monkeypatch.setattr(similarity, "BATCH_SHINGLES", 10)
+    posts = pa.RecordBatch.from_pylist([{"post_id": i, "body": f"a b c d e f {i}"} for i in range(20)])
+    sets = list(similarity._sets_function(5, b" ")([posts]))
+    assert max(batch.num_rows for batch in sets) == 4
+    whole = pa.Table.from_batches(sets).combine_chunks().to_batches()
+    signatures = list(minhash._signature_function(97, 3)(whole))
+    assert max(batch.num_rows for batch in signatures) <= 4
+    assert sum(batch.num_rows for batch in signatures) == 20
