@@ -1,9 +1,11 @@
 """Supports of itemsets counted on bitmaps: which baskets of a range hold an item.
 
-Baskets are dealt to ranges by hash and numbered inside them. A range is one row: the compressed
-bitmap of each frequent item over the range's baskets. An itemset's support in a range is the
-population count of its items' bitmaps after AND, and ranges add up. No basket is joined with
-itself, so a basket of any size costs a bit for each of its items.
+Baskets with the same frequent items are one, with their number as its weight. They are dealt to
+ranges by a hash of the items and numbered inside them by falling weight. A range is one row: the
+compressed bitmap of each frequent item over the range's baskets, and of each binary digit of the
+weights. An itemset's support in a range is the population count of its items' bitmaps after AND,
+once for each digit, and ranges add up. No basket is joined with itself, so a basket of any size
+costs a bit for each of its items.
 """
 
 from dataclasses import dataclass
@@ -25,34 +27,55 @@ WORD_BITS = 64
 
 
 def _pack_range(n_items: int):
-    """One range's bitmaps from its (basket_id, item_no) rows."""
+    """One range's bitmaps from its (items, weight) rows: of all items, then of the weights' digits."""
+
+    def bitmaps(numbers: np.ndarray, places: np.ndarray, n_rows: int, n_words: int) -> np.ndarray:
+        bits = np.left_shift(np.uint64(1), (places % WORD_BITS).astype(np.uint64))
+        words = np.zeros(n_rows * n_words, np.uint64)
+        np.bitwise_or.at(words, numbers.astype(np.int64) * n_words + places // WORD_BITS, bits)
+        return words.reshape(n_rows, n_words)
 
     def pack(rows: pa.Table) -> pa.Table:
-        baskets = rows.column("basket_id").combine_chunks().dictionary_encode()
-        basket, item = baskets.indices.to_numpy(), rows.column("item_no").to_numpy()
-        n_words = -(-len(baskets.dictionary) // WORD_BITS)
-        bits = np.left_shift(np.uint64(1), (basket % WORD_BITS).astype(np.uint64))
-        words = np.zeros(n_items * n_words, np.uint64)
-        np.bitwise_or.at(words, item.astype(np.int64) * n_words + basket // WORD_BITS, bits)
+        rows = rows.sort_by([("weight", "descending")])
+        lists = rows.column("items").combine_chunks()
+        weights = rows.column("weight").to_numpy()
+        n_words = -(-len(weights) // WORD_BITS)
+        basket = np.repeat(np.arange(len(weights)), lists.value_lengths().to_numpy())
+        words = bitmaps(lists.flatten().to_numpy(), basket, n_items, n_words)
+        n_digits = int(weights[0]).bit_length()
+        digit, place = np.nonzero((weights >> np.arange(n_digits)[:, None]) & 1)
+        words = np.concatenate((words, bitmaps(digit, place, n_digits, n_words)))
         codec = pa.Codec("zstd", 1)
-        bitmaps = [codec.compress(w.tobytes(), asbytes=True) for w in words.reshape(n_items, -1)]
+        packed = [codec.compress(w.tobytes(), asbytes=True) for w in words]
         return pa.table(
-            [pa.array([n_words], pa.int32()), pa.array([bitmaps], pa.list_(pa.binary()))],
-            ["n_words", "bitmaps"],
+            [
+                pa.array([n_words], pa.int32()),
+                pa.array([n_digits], pa.int32()),
+                pa.array([packed], pa.list_(pa.binary())),
+            ],
+            ["n_words", "n_digits", "bitmaps"],
         )
 
     return pack
 
 
-def _words(row: dict) -> np.ndarray:
-    """A range's bitmaps as items by words."""
+def _words(row: dict) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A range's bitmaps as items by words, and those of the weights' digits up to the last word set."""
     codec, size = pa.Codec("zstd", 1), row["n_words"] * 8
     raw = b"".join(codec.decompress(bitmap, size, asbytes=True) for bitmap in row["bitmaps"])
-    return np.frombuffer(raw, np.uint64).reshape(len(row["bitmaps"]), row["n_words"])
+    words = np.frombuffer(raw, np.uint64).reshape(len(row["bitmaps"]), row["n_words"])
+    n_items = len(words) - row["n_digits"]
+    digits = [digit[: np.flatnonzero(digit)[-1] + 1] if digit.any() else digit[:0] for digit in words[n_items:]]
+    return words[:n_items], digits
 
 
-def _ones(words: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+def _weight(words: np.ndarray, digits: list[np.ndarray]) -> np.ndarray:
+    """The weight of the baskets in each row of bitmaps."""
+    total = np.zeros(len(words), np.int64)
+    for place, digit in enumerate(digits):
+        ones = np.bitwise_count(words[:, : len(digit)] & digit).sum(axis=1, dtype=np.int64)
+        total += ones << place
+    return total
 
 
 def _item_lists(items: np.ndarray) -> pa.ListArray:
@@ -74,9 +97,9 @@ def _pairs_function(batches):
     """The pairs of items that share a basket of a range, and in how many."""
     for batch in batches:
         for row in batch.to_pylist():
-            words = _words(row)
+            words, digits = _words(row)
             for first in range(len(words) - 1):
-                n = _ones(words[first + 1 :] & words[first])
+                n = _weight(words[first + 1 :] & words[first], digits)
                 later = np.flatnonzero(n)
                 pairs = np.stack([np.full(len(later), first), later + first + 1], axis=1)
                 yield _counted(pairs, n[later])
@@ -86,7 +109,7 @@ def _candidates_function(batches):
     """Counts of the candidates that come with each range."""
     for batch in batches:
         for row in batch.to_pylist():
-            words = _words(row)
+            words, digits = _words(row)
             lengths = np.frombuffer(row["lengths"], np.int32)
             flat = np.frombuffer(row["flat"], np.int32)
             starts = np.cumsum(lengths) - lengths
@@ -99,7 +122,7 @@ def _candidates_function(batches):
                     common = words[part[:, 0]]
                     for place in range(1, length):
                         common = common & words[part[:, place]]
-                    yield _counted(part, _ones(common))
+                    yield _counted(part, _weight(common, digits))
 
 
 def _pack_candidates(rows: pa.Table) -> pa.Table:
@@ -166,24 +189,32 @@ def vertical_index(baskets: DataFrame, support: int) -> VerticalIndex:
     """The bitmaps of all items in at least ``support`` baskets.
 
     ``baskets`` is (basket_id, item), an item at most once in a basket. Items are numbered in their
-    own order. A range has as many baskets as keep its bitmaps within a fixed size.
+    own order. Only frequent items are gathered into a basket's array, so their number bounds its
+    size.
     """
     singles = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("support"))
     singles = singles.where(F.col("support") >= support)
     items = cut(dense_index(singles, ["item"], "item_no"))
     items = items.select("item", "support", F.col("item_no").cast("int").alias("item_no"))
-    n_items = items.count()
-    tasks = int(baskets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # only sizes the ranges
-    n_baskets = baskets.agg(F.approx_count_distinct("basket_id")).first()[0]
+    kept = salted_join(baskets, items.select("item", "item_no"), ["item"], "basket_id")
+    lists = kept.groupBy("basket_id").agg(F.array_sort(F.collect_set("item_no")).alias("items"))
+    return VerticalIndex(items, _ranges(lists.select("items"), items.count()), support)
+
+
+def _ranges(lists: DataFrame, n_items: int) -> DataFrame:
+    """The bitmaps of ``items``, an array a basket, in ranges whose bitmaps stay within a fixed size."""
+    weighed = cut(lists.groupBy("items").agg(F.count(F.lit(1)).alias("weight")))
+    n_baskets = weighed.count()
+    tasks = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     most = min(MOST_RANGE_BASKETS, max(WORD_BITS, 8 * RANGE_BYTES // max(n_items, 1)))
     n_ranges = max(1, -(-n_baskets // most), min(tasks, n_baskets // WORD_BITS))
-    kept = salted_join(baskets, items.select("item", "item_no"), ["item"], "basket_id")
-    ranges = cut(
-        kept.select(
-            F.pmod(F.xxhash64("basket_id"), F.lit(n_ranges)).alias("range"), "basket_id", "item_no"
-        )
+    return cut(
+        weighed.withColumn("range", F.pmod(F.xxhash64("items"), F.lit(n_ranges)))
         .groupBy("range")
-        .applyInArrow(_pack_range(n_items), "n_words int, bitmaps array<binary>")
+        .applyInArrow(_pack_range(n_items), "n_words int, n_digits int, bitmaps array<binary>")
     )
-    return VerticalIndex(items, ranges, support)
+
+
+def index_of_sets(itemsets: DataFrame, items: DataFrame) -> VerticalIndex:
+    """The bitmaps of different ``items`` arrays of item numbers, each as a basket of its own."""
+    return VerticalIndex(items, _ranges(itemsets.select("items"), items.count()), 1)

@@ -137,3 +137,15 @@ def test_adaptive_threshold_counts_no_candidate_twice(spark, baskets, monkeypatc
     assert found(sets) == want
     for step, threshold, k, n in trace:
         assert n == sum(len(key) == k for key in brute_force(baskets, threshold))
+
+
+def test_equal_baskets_are_one_row_of_bitmaps(spark):
+    """Copies of few baskets take no more words than the baskets that differ."""
+    kinds = [("a", "b", "c"), ("a", "b"), ("b", "c", "d"), ("d",)]
+    rows = [(n, item) for n in range(1000) for item in kinds[min(n % 7, 3)]]
+    data = spark.createDataFrame(rows, "basket_id bigint, item string")
+    index = vertical.vertical_index(data, 1)
+    assert sum(row["n_words"] for row in index.ranges.collect()) == 1
+    baskets = {n: kinds[min(n % 7, 3)] for n in range(1000)}
+    assert found(ops.frequent_itemsets(data, 1)) == brute_force(baskets, 1)
+    assert found(ops.maximal_itemsets(data, 100)) == brute_maximal(baskets, 100)
