@@ -181,11 +181,12 @@ def adaptive_threshold_trace(spark, sf_dir):
 @QUERIES.add(
     "support_histogram",
     SUPPORTS
-    + f""" SELECT k, support, count(*) AS n_itemsets FROM supports
-WHERE support > {SET_SUPPORT} GROUP BY ALL""",
+    + """ SELECT k, support, count(*) AS n_itemsets FROM supports
+WHERE support >= 1 GROUP BY ALL""",
 )
 def support_histogram(spark, sf_dir):
-    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), SET_SUPPORT, strict=True)
+    """Every set of items that some basket holds."""
+    found = ops.frequent_itemsets(kept_baskets(spark, sf_dir), 1)
     return ops.support_histogram(found).orderBy("k", "support")
 
 
