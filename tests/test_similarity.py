@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -218,3 +219,30 @@ def test_sets_and_signatures_leave_in_bounded_steps(monkeypatch):
     signatures = list(minhash._signature_function(97, 3)(whole))
     assert max(batch.num_rows for batch in signatures) <= 4
     assert sum(batch.num_rows for batch in signatures) == 20
+
+
+def test_members_of_the_same_sets_go_as_one(spark):
+    """A line that many posts hold is one weighed member; shingles of one post do not move."""
+    line = list(range(100, 150))
+    sets = {post: {*line, *range(1000 * post, 1000 * post + 200)} for post in range(1, 31)}
+    sets[31], sets[32] = {100, 7}, {7, 8}
+    found = universe.shared_members(frame(spark, sets)).collect()
+    assert sorted(tuple(r) for r in found) == sorted(
+        [(101, 49, post) for post in range(1, 31)] + [(100, 1, post) for post in range(1, 32)] + [(7, 1, 31), (7, 1, 32)]
+    )
+    assert expand(similarity.similar_pairs(frame(spark, sets), 0.02)) == brute_force(sets, 0.02)
+
+
+def test_pairs_leave_a_tile_in_strips(spark, shingles, monkeypatch):
+    """However many pairs a tile has, a batch holds those of a strip."""
+    monkeypatch.setattr(spectrum, "STRIP_CELLS", 40)
+    held, kept = [], spectrum._Block.strips
+    monkeypatch.setattr(spectrum._Block, "strips", lambda self, height: held.append(height) or kept(self, height))
+    row = {"ids": np.arange(90), "sizes": np.full(90, 3), "copies": np.ones(90, int), "member": np.repeat([1, 2, 3], 90)}
+    row |= {"weight": np.ones(270, int), "holder": np.tile(np.arange(90, dtype=np.int32), 3)}
+    block = spectrum._Block({name: values.tobytes() for name, values in row.items()})
+    parts = [spectrum.common_members(side, block.whole()) for side in block.strips(7)]
+    assert held == [7] and [len(part) for part in parts] == [7] * 12 + [6]
+    assert (np.concatenate(parts) == 3).all()
+    found = similarity.similar_pairs(frame(spark, shingles), 0.02)
+    assert expand(found) == brute_force(shingles, 0.02)
