@@ -246,3 +246,15 @@ def test_pairs_leave_a_tile_in_strips(spark, shingles, monkeypatch):
     assert (np.concatenate(parts) == 3).all()
     found = similarity.similar_pairs(frame(spark, shingles), 0.02)
     assert expand(found) == brute_force(shingles, 0.02)
+
+
+def test_sets_of_common_shingles_meet_by_sums(spark):
+    """Where every shingle is common, few pairs that are not similar become candidates."""
+    chance = random.Random(6)
+    sets = {post: set(chance.sample(range(400), 200)) for post in range(40)}
+    sets |= {100 + post: sets[post] ^ set(chance.sample(range(400), 12)) for post in range(20)}
+    want = brute_force(sets, 0.8)
+    representatives, _ = similarity._classes(frame(spark, sets))
+    near = similarity._near(similarity._candidates(representatives, 0.8), representatives, 0.8)
+    assert len(want) == 20 and want.keys() <= {tuple(r) for r in near.collect()} and near.count() < 40
+    assert expand(similarity.similar_pairs(frame(spark, sets), 0.8)) == want
