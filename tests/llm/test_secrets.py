@@ -104,3 +104,53 @@ def test_short_candidates():
     text = "abcdefgh ab12cd34 12345678 abc1234 longlowercaseword x=y=z=12"
     found = [text[s:e] for s, e in secret_scan.candidates(text, [])]
     assert found == ["ab12cd34", "longlowercaseword", "x=y=z=12"]
+
+
+def test_every_window_of_the_corpus_is_learned_from(spark):
+    """Small parts: together they hold every different window once, and all of them are used."""
+    chance = random.Random(5)
+    texts, _ = some_texts(chance, 400)
+    texts = [f"{t} {chance.randrange(10**9):09d}x" for t in texts]
+    texts += [f"token = {chance.randrange(16**20):020x} {t[:30]}" for t in texts[:90]] + texts[:50] + [None]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").na.fill("")
+    want = {0: set(), 1: set()}
+    for text in set(texts) - {None}:
+        base = secret_scan.base_findings(text)
+        found = [(secret_scan.ASSIGN.match(text, s).start(2) if k == 0 else s, e) for s, k, e in base]
+        for label, tokens in ((1, found), (0, secret_scan.candidates(text, base))):
+            places = [(at, e) for s, e in tokens for at in secret_scan.windows(text, s, e)]
+            want[label] |= {secret_scan.encoded(text, at, e).tobytes() for at, e in places}
+
+    most, width = 128, secret_scan.WIDTH
+    parts = secret_scan.window_parts(frame, most).collect()
+    for label, name in ((0, "others"), (1, "findings")):
+        blobs = [bytes(r[name]) for r in parts]
+        rows = [blob[at : at + width] for blob in blobs for at in range(0, len(blob), width)]
+        assert len(rows) == len(want[label]) and set(rows) == want[label]
+    assert len(parts) > 6 and max(len(r.others + r.findings) for r in parts) < 2 * most * width
+
+    held = [secret_scan._dealt_examples(r.asDict()) for r in parts]
+    for examples, *uses in held:
+        assert sorted(np.concatenate(uses).tolist()) == list(range(len(examples.rows)))
+    net, report = secret_scan.learn(frame, most)
+    tested = [kind for examples, chosen, _, _ in held for kind in examples.kinds[chosen]]
+    assert {kind: n for kind, (n, _) in report.items()} == {kind: tested.count(kind) for kind in set(tested)}
+    # the threshold keeps the recall over the kept-aside examples of all parts
+    scores = []
+    for examples, _, kept, _ in held:
+        out = secret_scan.logits(examples.rows[kept][examples.labels[kept] == 1], net)
+        scores += secret_scan._sigmoid(net.scale * out + net.shift).tolist()
+    found = np.array(scores) >= net.threshold
+    assert found.mean() >= secret_scan.LEAST_RECALL and np.array(scores).min() < net.threshold
+    # neither the order of the rows nor the tasks that hold them matter
+    again, _ = secret_scan.learn(frame.orderBy("text").repartition(3), most)
+    assert all(np.array_equal(a, b) for a, b in zip(net, again, strict=True))
+    assert report["other"][1] <= 0.05
+
+
+def test_learning_without_other_candidates(spark):
+    only = spark.createDataFrame([("token = " + "0a1b" * 10,), ("",)], "text string")
+    assert secret_scan.learn(only) == (None, {})
+    assert secret_scan.learn(only.where("false")) == (None, {})
+    one = spark.createDataFrame([("abcdefgh12345 words",)], "text string")
+    assert secret_scan.learn(one)[0] is not None
