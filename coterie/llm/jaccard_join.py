@@ -44,13 +44,16 @@ FLUSH_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 HOT_MEMBERS = 64
 CHUNK_NODES = 1000
+FILTER_CELLS = 1 << 26
+FILTER_SLICE = 1 << 16
 SKETCH_BITS = 1024
 SINGLE_BELOW = 64  # sets below this size have a word for each shingle
 SPARE_BITS = 2  # larger ones four words per shingle of the band's smallest set
 
 KEY, STAR, NODE = 0, 1, 2
 COUNT_TYPES = [("count", "i8")]
-KEY_TYPES = [("key", "u8"), ("node", "i8")]
+# 40 bits of a key, besides its bucket: keys that agree in them only bring sets together
+KEY_TYPES = [("high", "u4"), ("low", "u1"), ("node", "i8")]
 PAIR_TYPES = [("hub", "i8"), ("member", "i8")]
 
 
@@ -181,6 +184,14 @@ def shingle_levels(docs: DataFrame, width: int) -> np.ndarray:
     return np.minimum(255, 4 * np.log2(1.0 + counts)).astype(np.uint8)
 
 
+def set_nodes(hashes, bounds, rows) -> np.ndarray:
+    """The node of each of the ``rows``, none of them empty: a hash of the whole set."""
+    sizes = np.diff(bounds)[rows]
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
+    sums = np.add.reduceat(mixed(hashes[ranges(bounds[rows], sizes)] + np.uint64(1)), starts)
+    return mixed(sums + sizes.astype(np.uint64)).view(np.int64)
+
+
 def _key_function(levels, width: int, percent: int, n_buckets: int):
     """The node of each document, a hash of its whole set, and the keys of the nodes.
 
@@ -199,8 +210,7 @@ def _key_function(levels, width: int, percent: int, n_buckets: int):
             full = np.flatnonzero(sizes)
             out = []
             if len(full):
-                sums = np.add.reduceat(mixed(hashes + np.uint64(1)), bounds[full])
-                nodes = mixed(sums + sizes[full].astype(np.uint64)).view(np.int64)
+                nodes = set_nodes(hashes, bounds, full)
                 out += _pairs(NODE, nodes, ids[full], n_buckets)
                 nodes, lead = np.unique(nodes, return_index=True)
                 kept = full[lead]
@@ -217,7 +227,8 @@ def _key_function(levels, width: int, percent: int, n_buckets: int):
                 hub = np.repeat(docs[begin], count)
                 out += _pairs(STAR, hub[hot], docs[hot], n_buckets)  # never the hub itself
                 keys, docs = keys[~hot], docs[~hot]
-                packed = by_bucket(bucket_of(keys, n_buckets), [keys, docs], KEY_TYPES)
+                columns = [keys >> np.uint64(32), keys >> np.uint64(24) & np.uint64(255), docs]
+                packed = by_bucket(bucket_of(keys, n_buckets), columns, KEY_TYPES)
                 out += [(KEY, b, blob) for b, blob in packed]
             return rows_batch(out)
 
@@ -249,7 +260,8 @@ def _meet(table: pa.Table) -> pa.Table:
     """Each key's nodes tied to the first of them; pairs found in tasks are passed on."""
     kinds, blobs = table.column("kind").to_numpy(), table.column("packed").to_pylist()
     rows = unpack([b for k, b in zip(kinds, blobs) if k == KEY], KEY_TYPES)
-    keys, docs = rows["key"], rows["node"]
+    keys = rows["high"].astype(np.uint64) << np.uint64(8) | rows["low"]
+    docs = rows["node"]
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     found = [(KEY, np.zeros((0, 2), np.int64))]
@@ -276,40 +288,95 @@ def _id_buckets(n_buckets: int):
         for batch in batches:
             ids = batch.column("doc_id")
             buckets = pa.array(bucket_of_ids(ids.to_numpy(), n_buckets), pa.int32())
-            yield pa.RecordBatch.from_arrays([buckets, ids], names=["bucket", "doc_id"])
+            yield pa.RecordBatch.from_arrays(
+                [buckets, ids, batch.column("node")], names=["bucket", "doc_id", "node"]
+            )
 
     return deal
 
 
-SIZED = "doc_id bigint, n_shingles bigint, sketch binary, text binary"
+SIZED = "doc_id bigint, n_shingles bigint, node bigint, sketch binary, text binary"
 
 
 def _size_function(width: int):
-    """The set size of every document, and sketch and compressed text of those in a pair."""
+    """The set size of every document, and node, sketch and compressed text of those in a pair.
+
+    A node's text is taken once, from the document that stands for it.
+    """
 
     def measure(texts: pa.Table, wanted: pa.Table) -> pa.Table:
-        wanted = set(wanted.column("doc_id").to_pylist())
+        wanted = set(zip(*(wanted.column(c).to_pylist() for c in ("doc_id", "node")), strict=True))
+        names = {doc_id for doc_id, _ in wanted}
         hasher, codec = SpanHash(), pa.Codec("zstd", 1)
         out = []
         for ids, _, data, offsets in text_blocks(texts):
             hashes, bounds = shingle_sets(data, offsets, hasher, width)
-            packed, sketches = [None] * len(ids), [None] * len(ids)
-            for row in [i for i, name in enumerate(ids.tolist()) if name in wanted]:
+            packed, sketches, nodes = ([None] * len(ids) for _ in range(3))
+            sizes = np.diff(bounds)
+            rows = [i for i, name in enumerate(ids.tolist()) if name in names and sizes[i]]
+            for row, node in zip(rows, set_nodes(hashes, bounds, rows).tolist() if rows else (), strict=True):
+                if (int(ids[row]), node) not in wanted:
+                    continue
+                wanted.remove((int(ids[row]), node))
                 raw = data[offsets[row] : offsets[row + 1]].tobytes()
                 packed[row] = len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
                 sketches[row] = parity_sketches([hashes[bounds[row] : bounds[row + 1]]]).tobytes()
-            columns = [pa.array(ids), pa.array(np.diff(bounds))]
+                nodes[row] = node
+            columns = [pa.array(ids), pa.array(sizes), pa.array(nodes, pa.int64())]
             columns += [pa.array(sketches, pa.binary()), pa.array(packed, pa.binary())]
-            out.append(pa.table(columns, ["doc_id", "n_shingles", "sketch", "text"]))
+            out.append(pa.table(columns, ["doc_id", "n_shingles", "node", "sketch", "text"]))
         empty = pa.schema(
-            [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sketch", pa.binary()),
-             ("text", pa.binary())]
+            [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()),
+             ("sketch", pa.binary()), ("text", pa.binary())]
         )
         return pa.concat_tables(out) if out else empty.empty_table()
 
     return measure
 
 
+def _cells(nodes: np.ndarray) -> np.ndarray:
+    return (mixed(nodes.view(np.uint64)) % np.uint64(FILTER_CELLS)).astype(np.int64)
+
+
+def _cell_slices(batches):
+    for batch in batches:
+        cells = np.unique(_cells(batch.column("node").to_numpy()))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(cells // FILTER_SLICE, pa.int32()), pa.array(cells % FILTER_SLICE, pa.int32())],
+            names=["slice", "cell"],
+        )
+
+
+def _slice_bits(table: pa.Table) -> pa.Table:
+    bits = np.zeros(FILTER_SLICE, np.uint8)
+    bits[table.column("cell").to_numpy()] = 1
+    bits = pa.array([np.packbits(bits).tobytes()], pa.binary())
+    return pa.table([table.column("slice")[:1], bits], ["slice", "bits"])
+
+
+def likely_among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The ``rows`` whose node is one of ``nodes``, and a few others; nothing is shuffled but nodes.
+
+    Tasks pass rows by a bitmap of hashed nodes, 8 MB whatever the size of the corpus, so that texts
+    that no join wants are not moved to it.
+    """
+    slices = nodes.mapInArrow(_cell_slices, "slice int, cell int").distinct()
+    slices = slices.groupBy("slice").applyInArrow(_slice_bits, "slice int, bits binary").collect()
+    bits = np.zeros(FILTER_CELLS // 8, np.uint8)
+    for row in slices:
+        at = row["slice"] * (FILTER_SLICE // 8)
+        bits[at : at + FILTER_SLICE // 8] = np.frombuffer(row["bits"], np.uint8)
+    held = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def keep(batches):
+        for batch in batches:
+            cells = _cells(batch.column("node").to_numpy())
+            found = held.value[cells >> 3] >> (7 - (cells & 7)).astype(np.uint8) & 1
+            yield batch.filter(pa.array(found.astype(bool)))
+
+    return rows.mapInArrow(keep, rows.schema)
+
+
 def sets_of(blobs: list[bytes], hasher: SpanHash, width: int):
     """The shingle hashes of compressed texts."""
     codec = pa.Codec("zstd", 1)
@@ -484,14 +551,14 @@ def _remaining_links(verified: DataFrame, ends: DataFrame, width: int, percent:
         .select("gid", "node", "root", "tile.*")
     )
     schema = "gid bigint, lo int, hi int, side int, node bigint, root bigint"
-    near = (
+    near = cut(
         tiled.join(ends.drop("text"), "node")
         .groupBy("gid", "lo", "hi")
         .applyInArrow(_apart_function(percent), schema)
         .distinct()
     )
     return (
-        near.join(ends.select("node", "text"), "node")
+        near.join(likely_among(ends.select("node", "text"), near.select("node")), "node")
         .groupBy("gid", "lo", "hi")
         .applyInArrow(_between_function(width, percent), "a bigint, b bigint")
     )
@@ -528,22 +595,18 @@ def link_documents(
     pairs = found.where(F.col("kind") != NODE)
     met_nodes = pairs.select("hub").unionAll(pairs.select("member")).distinct().toDF("node")
     reps = nodes.join(met_nodes, "node", "left_semi")
-    wanted = reps.select(F.col("rep").alias("doc_id")).distinct()
-    wanted = wanted.mapInArrow(_id_buckets(n_texts), "bucket int, doc_id bigint")
+    wanted = reps.select(F.col("rep").alias("doc_id"), "node")
+    wanted = wanted.mapInArrow(_id_buckets(n_texts), "bucket int, doc_id bigint, node bigint")
     sized = cut(
         texts_by_bucket(rows, n_texts).groupBy("bucket")
         .cogroup(wanted.groupBy("bucket"))
         .applyInArrow(_size_function(width), SIZED)
     )
-    ends = cut(
-        sized.where("text IS NOT NULL")
-        .join(reps, sized["doc_id"] == reps["rep"])
-        .select("node", "n_shingles", "sketch", "text")
-    )
+    ends = sized.where("text IS NOT NULL").select("node", "n_shingles", "sketch", "text")
 
-    def of(end: str, **columns: str) -> DataFrame:
+    def of(end: str, rows: DataFrame = ends, **columns: str) -> DataFrame:
         names = {"node": end} | {c: f"{end}_{short}" for short, c in columns.items()}
-        return ends.select(*[F.col(c).alias(name) for c, name in names.items()])
+        return rows.select(*[F.col(c).alias(name) for c, name in names.items()])
 
     met = cut(
         pairs.join(of("member", n="n_shingles", sketch="sketch"), "member")
@@ -552,10 +615,12 @@ def link_documents(
         .groupBy("kind", "hub", "member")
         .agg(F.max("near").alias("near"))
     )
+    near = met.where("near")
+    near_nodes = near.select("hub").unionAll(near.select("member")).toDF("node")
+    texts = likely_among(ends.select("node", "text"), near_nodes)
     checked = (
-        met.where("near")
-        .join(of("member", text="text"), "member")
-        .join(of("hub", text="text"), "hub")
+        near.join(of("member", texts, text="text"), "member")
+        .join(of("hub", texts, text="text"), "hub")
         .mapInArrow(_verify_function(width, percent), PAIRS + ", linked boolean")
         .groupBy("kind", "hub", "member")
         .agg(F.max("linked").alias("linked"))
