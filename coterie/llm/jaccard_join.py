@@ -171,17 +171,23 @@ def shingle_levels(docs: DataFrame, width: int) -> np.ndarray:
     """Four times the logarithm of each cell's count over all documents.
 
     Tasks give one array of fixed size each, which are added up in two rounds; the driver gets
-    one array, whatever the size of the corpus.
+    one array, whatever the size of the corpus, and opens a slice of its counts at a time.
     """
     schema = "part int, slice int, counts binary"
     slices = docs.mapInArrow(_count_function(width), schema)
     parts = slices.groupBy("part", "slice").applyInArrow(_sum_slices, schema)
     summed = parts.groupBy("slice").applyInArrow(_sum_slices, schema).collect()
-    counts = np.zeros(1 << CELL_BITS, np.int64)
-    for row in summed:
-        here = unpack([row["counts"]], COUNT_TYPES)["count"]
-        counts[row["slice"] * SLICE_CELLS :][:SLICE_CELLS] = here
-    return np.minimum(255, 4 * np.log2(1.0 + counts)).astype(np.uint8)
+    return levels_of((row["slice"], row["counts"]) for row in summed)
+
+
+def levels_of(slices) -> np.ndarray:
+    """The levels of all cells, of (slice, packed counts); cells of no slice count 0."""
+    levels = np.zeros(1 << CELL_BITS, np.uint8)
+    for number, packed in slices:
+        counts = unpack([packed], COUNT_TYPES)["count"]
+        at = number * SLICE_CELLS
+        levels[at : at + SLICE_CELLS] = np.minimum(255, 4 * np.log2(1.0 + counts)).astype(np.uint8)
+    return levels
 
 
 def set_nodes(hashes, bounds, rows) -> np.ndarray:

@@ -158,6 +158,16 @@ def _example_function():
     return features
 
 
+def example_rows(packed: list[bytes], rarity: np.ndarray) -> np.ndarray:
+    """The weighted terms of packed counts; besides the result only one block of rows is open."""
+    rows = np.empty((len(packed), TERMS), np.float32)
+    for first in range(0, len(packed), BLOCK_ROWS):
+        block = packed[first : first + BLOCK_ROWS]
+        counts = unpack(block, COUNT_TYPES)["count"].reshape(len(block), TERMS)
+        rows[first : first + BLOCK_ROWS] = weighted(counts, rarity)
+    return rows
+
+
 def latent_axes(rows: np.ndarray, dimensions: int) -> np.ndarray:
     """The strongest right singular vectors of ``rows``, by a randomised projection."""
     dimensions = min(dimensions, *rows.shape)
@@ -196,16 +206,15 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_PER_LABEL) ->
         .select("doc_id", "label", "text")
         .mapInArrow(_example_function(), "doc_id bigint, label int, counts binary")
         .dropDuplicates(["doc_id"])
-        .orderBy("doc_id")
         .collect()
     )
+    examples.sort(key=lambda row: row["doc_id"])
     prior = totals.get(1, 0) / sum(totals.values())
     if not examples:
         empty = np.zeros((0, 1), np.float32)
         return Model(rarity, np.zeros((TERMS, 1), np.float32), empty, np.zeros(0), np.zeros(0), prior)
-    counts = np.stack([unpack([row["counts"]], COUNT_TYPES)["count"] for row in examples])
     label = np.array([row["label"] for row in examples])
-    rows = weighted(counts, rarity)
+    rows = example_rows([row["counts"] for row in examples], rarity)
     axes = latent_axes(rows, DIMENSIONS)
     votes = np.array([totals[l] / max(1, (label == l).sum()) for l in label])
     votes = (votes / votes.mean()).astype(np.float32)
