@@ -147,6 +147,23 @@ def test_salted_join_equals_a_join(spark):
     assert sorted(salted.collect()) == sorted(large.join(unique, "k").select(salted.columns).collect())
 
 
+def test_salted_join_broadcasts_no_repeats(spark, tmp_path):
+    """Files below the threshold can hold many rows, of which every salt has a copy."""
+    ids = spark.range(200_000).select(F.col("id").alias("k"))
+    ids.write.parquet(str(tmp_path / "large"))
+    ids.withColumn("w", F.lit(1)).write.parquet(str(tmp_path / "unique"))
+    large, unique = (spark.read.parquet(str(tmp_path / name)) for name in ("large", "unique"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+    try:
+        wide = skew.salted_join(large.withColumn("v", F.col("k")), unique, ["k"], "v")
+        narrow = skew.salted_join(large.withColumn("v", F.col("k")), unique.where("k < 3").limit(3), ["k"], "v")
+        assert "BroadcastHashJoin" not in wide._jdf.queryExecution().executedPlan().toString()
+        assert wide.count() == 200_000 and narrow.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_candidate_pairs_count_shared_bands(spark):
     chance = random.Random(8)
     vectors = {post: [chance.randrange(3) for _ in range(8)] for post in range(60)}
