@@ -1,6 +1,8 @@
 """TF-IDF features of texts and k-means over features and vectors."""
 
 import hashlib
+from collections import Counter
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +14,8 @@ from coterie.operators.lineage import cut
 
 SEED = 459392
 ROUNDS = 5
+# additions in another order may round once to a place that the centres had left
+MOST_RETURNS = 3
 
 
 def _terms(body: Column) -> Column:
@@ -95,12 +99,13 @@ def tfidf_vectors(posts: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def kmeans(
-    points: DataFrame, k: int, key: str, max_steps: int = 200, seed: int = SEED
+    points: DataFrame, k: int, key: str, max_steps: int | None = None, seed: int = SEED
 ) -> DataFrame:
     """``points`` with the k-means ``cluster`` of their ``features``, arrays of equal length.
 
     Starts from ``start_centres``, assigns every point to the nearest centre (ties to the lowest number) and moves the centres to the means until
-    none moves; raises if that takes more than ``max_steps``. A centre without points stays.
+    none moves, which takes the more steps the more points there are. Raises if that takes more than
+    ``max_steps``, where given, or if rounding leads the centres round in a circle. A centre without points stays.
     Distances and centres are rounded to nine digits, so the order of additions does not matter.
     A step is one pass in Arrow batches: each task adds up its points to one row a cluster, and the
     driver only sees the ``k`` sums.
@@ -109,7 +114,8 @@ def kmeans(
     centres = start_centres(points, k, key, seed)
     if not len(centres):
         return points.withColumn("cluster", F.lit(None).cast("int"))
-    for _ in range(max_steps):
+    met = Counter()
+    for _ in count() if max_steps is None else range(max_steps):
         sums = (
             points.select("features")
             .mapInArrow(_summing(centres), SUMS)
@@ -126,6 +132,9 @@ def kmeans(
         if np.array_equal(moved, centres):
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in points.schema)
             return points.mapInArrow(_assigning(centres), f"{columns}, cluster int")
+        met[moved.tobytes()] += 1
+        if met[moved.tobytes()] > MOST_RETURNS:
+            raise RuntimeError("centres move in a circle")
         centres = moved
     raise RuntimeError(f"centres still move after {max_steps} steps")
 
@@ -246,7 +255,8 @@ def _summing(centres: np.ndarray):
                 vectors = _vectors(batch)
                 cluster = _nearest(vectors, centres)
                 sums[:, -1] += np.bincount(cluster, minlength=len(centres))
-                np.add.at(sums[:, :-1], cluster, vectors)
+                for number in np.unique(cluster):
+                    sums[number, :-1] += vectors[cluster == number].sum(axis=0)
         held = np.flatnonzero(sums[:, -1])
         yield pa.RecordBatch.from_arrays(
             [pa.array(held, pa.int32()), pa.array(sums[held].tolist(), pa.list_(pa.float64()))],

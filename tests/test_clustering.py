@@ -240,6 +240,26 @@ def test_kmeans_follows_lloyd_steps(spark):
     assert found == dict(enumerate(cluster.tolist()))
 
 
+def test_kmeans_goes_on_until_nothing_moves(spark, monkeypatch):
+    """Two heavy places and a row of points between them, of which each step moves one."""
+    n, left, right = 205, np.zeros(600), np.full(6000, 1000.0)
+    between = np.full(n, 500.0)
+    for _ in range(30):
+        means = [
+            (np.append(left, between[:k]).mean() + np.append(right, between[k:]).mean()) / 2 for k in range(n)
+        ]
+        between = np.array([2 * means[0] - means[1], *means])
+        between = (between[1:] + between[:-1]) / 2
+    values = np.concatenate((left, between, right))
+    frame = spark.createDataFrame([(i, [v]) for i, v in enumerate(values.tolist())], "id int, features array<double>")
+    first = np.array([[0.0], [2 * (2 * means[0] - means[1])]])
+    monkeypatch.setattr(features, "start_centres", lambda *_: first)
+    steps, kept = [], features._summing
+    monkeypatch.setattr(features, "_summing", lambda centres: steps.append(1) or kept(centres))
+    found = {row["id"]: row["cluster"] for row in features.kmeans(frame, 2, "id").collect()}
+    assert len(steps) > 200 and list(found.values()).count(1) == 6000
+
+
 def even(text):
     return (int(hashlib.md5(text.encode()).hexdigest()[:8], 16) + 0.5) / 2**32
 
