@@ -265,6 +265,20 @@ def test_pairs_leave_a_tile_in_strips(spark, shingles, monkeypatch):
     assert expand(found) == brute_force(shingles, 0.02)
 
 
+def test_blocks_travel_compressed():
+    """A (member, set) row took 20 bytes of a block wherever it moved."""
+    chance = np.random.default_rng(3)
+    number, member = np.divmod(np.unique(chance.integers(0, 1 << 32, 60_000) % (400 << 20)), 1 << 20)
+    rows = pa.table({"block": np.zeros(len(number), np.int32), "number": number, "member": member, "weight": member % 5 + 1})
+    facts = pa.table({"number": np.arange(400), "post_id": np.arange(400) * 9 - 70, "n": np.arange(400) + 500, "copies": np.ones(400, int)})
+    packed = spectrum._pack(rows, facts)
+    assert packed.num_rows == 1 and packed.nbytes < 10 * len(number)
+    block = spectrum._Block.opened({name: packed.column(name)[0] for name in packed.column_names})
+    held = sorted(zip(block.rows[2].tolist(), block.rows[0].tolist(), block.rows[1].tolist()))
+    assert held == list(zip(number.tolist(), member.tolist(), (member % 5 + 1).tolist()))
+    assert (block.ids == np.arange(400) * 9 - 70).all() and (block.sizes == np.arange(400) + 500).all()
+
+
 def test_sets_of_common_shingles_meet_by_sums(spark):
     """Where every shingle is common, few pairs that are not similar become candidates."""
     chance = random.Random(6)
