@@ -79,6 +79,21 @@ def test_spectrum_counts_every_pair(spark, shingles, monkeypatch, height, dense)
     assert total == sum(want.values())
 
 
+@pytest.mark.parametrize("bits", [4, 1 << 15])
+def test_only_sets_of_several_posts_move_for_classes(spark, shingles, monkeypatch, bits):
+    """Also where a bitmap of few cells marks posts that share nothing."""
+    monkeypatch.setattr(similarity, "SLICE_BITS", bits)
+    monkeypatch.setattr(similarity, "MARK_SLICES", 1)
+    representatives, copies = similarity._classes(similarity.cut(frame(spark, shingles)))
+    classes = {}
+    for post, held in shingles.items():
+        classes.setdefault(frozenset(held), []).append(post)
+    want = {min(posts): (len(held), len(posts)) for held, posts in classes.items() if held}
+    assert {r["post_id"]: (r["n"], r["copies"]) for r in representatives.collect()} == want
+    assert representatives.count() == len(want) and copies.count() == sum(map(len, classes.values())) - len(classes)
+    assert "hashpartitioning" not in representatives._jdf.queryExecution().executedPlan().toString()
+
+
 def test_spectrum_of_nothing(spark, shingles):
     assert similarity.similarity_spectrum(frame(spark, shingles).limit(0)).count() == 0
     assert similarity.similarity_spectrum(frame(spark, {1: {2}, 3: {4}})).count() == 0
